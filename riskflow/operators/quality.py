@@ -48,10 +48,6 @@ def _any_blank(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [is_blank(F.col(c)) for c in columns])
 
 
-def _all_present(columns: Sequence[str]) -> Column:
-    return ~_any_blank(columns)
-
-
 def verdict(rules: Rules = Rules(), width: str | None = None) -> Column:
     """``kept`` or the first rule a row breaks. ``width`` names a field-count column, if there is one."""
     checks: list[tuple[str, Column]] = []
@@ -59,7 +55,7 @@ def verdict(rules: Rules = Rules(), width: str | None = None) -> Column:
         checks.append(("ragged", F.col(width) == len(rules.columns)))
     checks.append(("terminal_out_of_range", _in_range(rules)))
     checks += [(f"{c}_not_positive", _positive(c)) for c in rules.positive]
-    checks.append(("blank_field", _all_present(rules.columns)))
+    checks.append(("blank_field", ~_any_blank(rules.columns)))
     if rules.require_timestamp:
         checks.append(("bad_timestamp", parse_timestamp(F.col(rules.timestamp)).isNotNull()))
     broken = [F.when(~F.coalesce(passes, F.lit(False)), F.lit(name)) for name, passes in checks]
@@ -72,8 +68,17 @@ def clean(raw: DataFrame, rules: Rules = Rules()) -> DataFrame:
     All row tests run before the shuffle of ``distinct``; testing for blanks first changes nothing,
     because it never alters a kept value.
     """
-    passing = raw.filter(verdict(rules) == KEPT)
-    return passing.select(*[blank_to_null(F.col(c)).alias(c) for c in rules.columns]).distinct()
+    return raw.filter(verdict(rules) == KEPT).select(*rules.columns).distinct()
+
+
+def blank_fields_to_null(df: DataFrame) -> DataFrame:
+    """Every column with blank values as null; what is blank depends on the column's type."""
+    return df.select(*[blank_to_null(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
+
+
+def complete_rows(df: DataFrame) -> DataFrame:
+    """Rows without any blank value."""
+    return blank_fields_to_null(df).na.drop("any")
 
 
 def audit(

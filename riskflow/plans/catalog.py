@@ -39,6 +39,11 @@ def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.typed(quality.clean(_raw(spark, sf_dir)))
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed transactions, written once for those that read them more than once."""
+    return materialize(_typed(spark, sf_dir), "transactions")
+
+
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stand_ins.lineitem_transactions(_table(spark, sf_dir, "lineitem"))
 
@@ -46,6 +51,10 @@ def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sources and quality
 
 
+def complete_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.complete_rows(_raw(spark, sf_dir))
+
+
 def text_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = stand_ins.raw_lines(_events(spark, sf_dir))
     return parse_lines(lines, RAW_COLUMNS, stand_ins.HEADER)
@@ -101,7 +110,7 @@ def risk_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.formatted_time(features.enrich(_typed(spark, sf_dir)))
+    return features.formatted_time(features.enrich(_stored(spark, sf_dir)))
 
 
 def enrich_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,7 +268,7 @@ def ab_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(features.enrich(_typed(spark, sf_dir)), "features")
+    return materialize(features.enrich(_stored(spark, sf_dir)), "features")
 
 
 def train_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,7 +293,7 @@ def training_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_leak_free(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ready = jobs.prepare_leak_free(materialize(_typed(spark, sf_dir), "typed"))
+    ready = jobs.prepare_leak_free(_stored(spark, sf_dir))
     model = classify.logistic().fit(ready.train)
     return classify.evaluate(classify.predict(model, ready.test, [jobs.ID]))
 
@@ -404,6 +413,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ragged_rows": ragged,
         "profile": profile,
         "missing_by_column": missing_by_column,
+        "complete_rows": complete_rows,
         "clean": clean,
         "reject_reasons": reject_reasons,
         "quarantine": quarantine,

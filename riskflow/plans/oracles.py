@@ -257,6 +257,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT {_FIELD_COLUMNS} FROM fields WHERE len(f) <> 7""",
         "profile": _profile(),
         "missing_by_column": _missing_by_column(),
+        "complete_rows": f"{raw}\nSELECT * FROM raw WHERE NOT {_ANY_BLANK}",
         "clean": f"{clean}\nSELECT * FROM clean",
         "reject_reasons": f"""{raw}, {_VERDICT.strip()}
             SELECT verdict AS reason, CAST(CASE WHEN verdict = 'kept' THEN count(*) ELSE sum(copies) END AS BIGINT) AS n

@@ -69,11 +69,8 @@ def raw_transactions(events: DataFrame) -> DataFrame:
         "tx_fraud_scenario": _swap(mark, {"0d": F.lit("")}, F.col("event_type")),
     }
     copies = _swap(mark, {"0f": F.lit(2), "10": F.lit(3)}, F.lit(1))
-    return (
-        events.withColumn("mark", _mark("event_id"))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-        .select(*[value.alias(name) for name, value in columns.items()])
-    )
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return events.withColumn("mark", _mark("event_id")).select(F.inline(F.array_repeat(row, copies)))
 
 
 def raw_lines(events: DataFrame) -> DataFrame:

@@ -78,12 +78,13 @@ def parse_lines(
     """Lines to string columns plus ``n_fields``; every line equal to the header is dropped.
 
     Short lines get nulls and long ones keep their first fields: ``n_fields`` tells them apart.
-    Trailing empty fields count.
+    Trailing empty fields count. The split is the output of a generator, so that filters on the columns
+    stay above it; below, each would split the line again for every column it names.
     """
     if header is not None:
         lines = lines.filter(F.col("value") != header)
     pattern = "".join(f"[{c}]" if c not in "^\\" else f"\\{c}" for c in delimiter)
-    split = lines.select("value", *keep, F.split("value", pattern).alias("fields"))
+    split = lines.select(*keep, F.explode(F.array(F.split("value", pattern))).alias("fields"))
     return split.select(
         *[F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(columns)],
         F.size("fields").alias("n_fields"),
