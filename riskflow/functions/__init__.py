@@ -1,7 +1,7 @@
 """Column expressions: all built from native functions, so they stay inside generated code."""
 
 from riskflow.functions.buckets import bucket, risk_bucket
-from riskflow.functions.hashing import hash_slice, poisson_weight, split_index
+from riskflow.functions.hashing import hash_slice, poisson_drawn, poisson_weight, split_index
 from riskflow.functions.student import two_sided_p, t_critical
 from riskflow.functions.values import (
     blank_to_null,
@@ -21,6 +21,7 @@ __all__ = [
     "missing_or_zero",
     "parse_timestamp",
     "percent_of",
+    "poisson_drawn",
     "poisson_weight",
     "ratio",
     "risk_bucket",

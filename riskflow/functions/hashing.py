@@ -55,6 +55,11 @@ def poisson_thresholds(rate: float) -> list[str]:
         term *= rate / k
 
 
+def poisson_drawn(draw: Column, rate: float) -> Column:
+    """Whether the weight is above zero: one comparison."""
+    return draw >= poisson_thresholds(rate)[0]
+
+
 def poisson_weight(draw: Column, rate: float) -> Column:
     """How often a row is drawn when each row is sampled with replacement at this rate."""
     steps = [(draw >= bound).cast("int") for bound in poisson_thresholds(rate)]

@@ -12,18 +12,28 @@ def is_blank(column: Column, data_type: T.DataType | None = None) -> Column:
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
         return column.isNull() | F.isnan(column)
     if data_type is None or isinstance(data_type, T.StringType):
-        return column.isNull() | F.isnan(column.try_cast("double")) | (F.trim(column) == "")
+        return column.isNull() | _reads_as_nan(column) | (F.trim(column) == "")
     return column.isNull()
 
 
+def _reads_as_nan(text: Column) -> Column:
+    """The cast of other text than numbers raises and catches an error inside Spark, which costs more than
+    all other tests of a row; so only text that could be NaN is cast."""
+    return F.lower(text).contains("nan") & F.isnan(text.try_cast("double"))
+
+
 def blank_to_null(column: Column, data_type: T.DataType | None = None) -> Column:
     """The value itself, untrimmed, or null where it is blank."""
     return F.when(~is_blank(column, data_type), column)
 
 
 def zero_value(column: Column) -> Column:
-    """True where the value reads as the number zero; false for null and other text."""
-    return F.coalesce(column.try_cast("double") == 0, F.lit(False))
+    """True where the value reads as the number zero; false for null and other text.
+
+    Zero is spelled with a leading ``0`` or ``.``, so other text is not cast (see ``_reads_as_nan``).
+    """
+    could_be = column.cast("string").rlike(r"^[\x00-\x20+-]*[.0]")
+    return F.coalesce(could_be & (column.try_cast("double") == 0), F.lit(False))
 
 
 def missing_or_zero(column: Column) -> Column:

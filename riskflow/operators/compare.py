@@ -19,7 +19,7 @@ from riskflow.fixed_values import (
     LABEL,
     TEST_ALPHA,
 )
-from riskflow.functions import hash_slice, poisson_weight, ratio, t_critical, two_sided_p
+from riskflow.functions import hash_slice, poisson_drawn, poisson_weight, ratio, t_critical, two_sided_p
 from riskflow.functions.hashing import SLICES_PER_DIGEST, digest
 from riskflow.operators.evaluate import confusion, metrics
 
@@ -49,8 +49,9 @@ def replicate_counts(
         .withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES_PER_DIGEST - 1))))
         .withColumn("replicate", F.col("block") * SLICES_PER_DIGEST + F.col("slice"))
         .filter(F.col("replicate") < replicates)
-        .withColumn("weight", poisson_weight(hash_slice(F.col("digest"), F.col("slice")), rate))
-        .filter(F.col("weight") > 0)
+        .withColumn("draw", hash_slice(F.col("digest"), F.col("slice")))
+        .filter(poisson_drawn(F.col("draw"), rate))
+        .withColumn("weight", poisson_weight(F.col("draw"), rate))
     )
     return confusion(weighted, label, by=(model, "replicate"), weight="weight")
 

@@ -26,7 +26,7 @@ from riskflow.operators.encode import SCALED, check_categories, feature_pipeline
 from riskflow.operators.evaluate import long_metrics
 from riskflow.operators.features import TERMINAL_BUCKET, enrich, terminal_profile, typed
 from riskflow.operators.quality import KEPT, Rules, audit, profile, reject_reasons
-from riskflow.operators.sampling import COPY, hash_split, oversample
+from riskflow.operators.sampling import COPY, hash_split, oversample, with_split
 from riskflow.session import materialize, pin_time_zone
 from riskflow.sinks import log_run, model_report, run_rows, write_clean, write_report_text, write_table
 from riskflow.sources import kafka_options, read_delimited, read_kafka_stream
@@ -91,8 +91,9 @@ def prepare(
     check_categories(features, categorical)
     balanced = oversample(features)
     encoding = feature_pipeline(numeric, categorical).fit(balanced)
-    stored = materialize(_encoded(balanced, encoding), "encoded")
-    train, test = hash_split(stored, [ID, COPY], weights)
+    numbered = with_split(_encoded(balanced, encoding), [ID, COPY], weights)
+    stored = materialize(numbered, "encoded", ("split",))
+    train, test = (stored.filter(F.col("split") == i).drop("split") for i in range(2))
     return Prepared(train, test, encoding)
 
 
@@ -125,7 +126,8 @@ def train_job(
     """Fit the fixed-parameter model, log parameters and metrics, save encoding and model together."""
     ready = prepare(features)
     model = classify.logistic().fit(ready.train)
-    measured = classify.evaluate(classify.predict(model, ready.test, [ID, COPY]))
+    predictions = classify.predict(model, ready.test, [ID, COPY])
+    measured = materialize(classify.evaluate(predictions), "metrics")
     log_run(run_rows(classify.parameters(spark, model), run_id, "LR", "param", "name"), runs_path)
     log_run(run_rows(classify.training_summary(spark, model), run_id, "LR", "metric"), runs_path)
     log_run(run_rows(long_metrics(measured), run_id, "LR", "metric"), runs_path)
@@ -174,7 +176,7 @@ def score_job(
 ) -> DataFrame:
     """Score a whole table with a saved model; metrics as (metric, value), logged if a path is given."""
     predictions = classify.predict(classify.load_model(model_path), features, [ID])
-    measured = long_metrics(classify.evaluate(predictions))
+    measured = materialize(long_metrics(classify.evaluate(predictions)), "metrics")
     if runs_path:
         log_run(run_rows(measured, run_id, "saved", "metric"), runs_path)
     return measured

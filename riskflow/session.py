@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,12 +58,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Several later actions then start from columnar files. A lost executor costs a re-read of those
     files, not a second run of the lineage, and every reader sees the same rows.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=list(partition_by) or None)
     return df.sparkSession.read.schema(df.schema).parquet(path)
