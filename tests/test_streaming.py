@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskflow.plans import catalog, stand_ins
+from riskflow.sources import read_table
+from riskflow.sources.kafka import KAFKA_LAYOUT
+from riskflow.streaming import (
+    decode_messages,
+    land_lines,
+    start_console,
+    start_memory,
+    start_table,
+    with_event_time,
+)
+
+from conftest import SMALL
+
+CASES = [
+    ('{"ts":"2020-01-02 03:04:05","user_id":"1","page_id":"2"}', ("2020-01-02 03:04:05", "1", "2")),
+    ('{"ts":"t","user_id":1,"page_id":2.5}', ("t", "1", "2.5")),
+    ('{"ts":"t"}', ("t", None, None)),
+    ('{"ts":null,"user_id":"1"}', (None, "1", None)),
+    ('{"ts":"t","other":[1,2]}', ("t", None, None)),
+    ("not json", (None, None, None)),
+    (None, (None, None, None)),
+]
+
+
+@pytest.fixture()
+def kafka_like(spark):
+    data = [(None, None if v is None else v.encode(), "t", 0, i, None, 0) for i, (v, _) in enumerate(CASES)]
+    return spark.createDataFrame(data, KAFKA_LAYOUT)
+
+
+def test_decode_cases(kafka_like):
+    assert [tuple(r) for r in decode_messages(kafka_like).collect()] == [expected for _, expected in CASES]
+
+
+def test_event_time(kafka_like):
+    hours = with_event_time(decode_messages(kafka_like)).select(F.hour("event_time")).collect()
+    assert [r[0] for r in hours] == [3] + [None] * 6
+
+
+def test_stream_equals_batch(spark, kafka_like, tmp_path):
+    kafka_like.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = decode_messages(
+        spark.readStream.schema(KAFKA_LAYOUT).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    )
+    start_table(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    batch = decode_messages(spark.read.parquet(str(tmp_path / "in")))
+    assert Counter(spark.read.parquet(str(tmp_path / "out")).collect()) == Counter(batch.collect())
+    start_memory(stream, "decoded_rows").awaitTermination()
+    assert Counter(spark.table("decoded_rows").collect()) == Counter(batch.collect())
+
+
+def test_console_query_runs(spark, kafka_like, tmp_path):
+    kafka_like.write.parquet(str(tmp_path / "in"))
+    stream = decode_messages(spark.readStream.schema(KAFKA_LAYOUT).parquet(str(tmp_path / "in")))
+    query = start_console(stream, str(tmp_path / "checkpoint"), trigger={"availableNow": True})
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def test_landing_takes_each_file_once(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    (tmp_path / "in").mkdir()
+
+    def land():
+        land_lines(spark, source, target, checkpoint, ["x", "y"], "x|y").awaitTermination()
+        landed = spark.read.parquet(target)
+        return sorted((r["x"], r["y"], r["n_fields"], str(r["source_date"])) for r in landed.collect())
+
+    (tmp_path / "in" / "2020-01-01.txt").write_text("x|y\n1,2\n3\n")
+    first = [("1", "2", 2, "2020-01-01"), ("3", None, 1, "2020-01-01")]
+    assert land() == first
+    assert land() == first
+    (tmp_path / "in" / "2020-01-02.txt").write_text("x|y\n5,6\n")
+    assert land() == [*first, ("5", "6", 2, "2020-01-02")]
+
+
+def test_catalog_stream_equals_batch(spark):
+    streamed = catalog.stream_decode(spark, SMALL)
+    batch = decode_messages(stand_ins.messages(read_table(spark, SMALL, "events")))
+    assert Counter(streamed.collect()) == Counter(batch.collect())
