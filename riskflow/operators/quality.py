@@ -20,6 +20,7 @@ from riskflow.fixed_values import (
     TERMINAL_RANGE,
 )
 from riskflow.functions import blank_to_null, is_blank, missing_or_zero, parse_timestamp, zero_value
+from riskflow.sources.text import parse_lines
 
 KEPT = "kept"
 
@@ -90,6 +91,17 @@ def audit(
     return copies.withColumn("verdict", verdict(rules, width))
 
 
+def audit_lines(lines: DataFrame, rules: Rules = Rules(), by: Sequence[str] = ()) -> DataFrame:
+    """The audit of text lines (``value``) without header, with the field count as ``n_fields``.
+
+    Lines are equal exactly when all their fields are, so they are counted before they are split: the
+    shuffle carries one text per row instead of one per field, and only distinct lines are parsed.
+    """
+    copies = lines.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("copies"))
+    parsed = parse_lines(copies, rules.columns, keep=(*by, "copies"))
+    return parsed.withColumn("verdict", verdict(rules, "n_fields"))
+
+
 def kept_rows(audited: DataFrame, rules: Rules = Rules(), by: Sequence[str] = ()) -> DataFrame:
     """The clean set of an audit; equals ``clean`` of the raw table."""
     return audited.filter(F.col("verdict") == KEPT).select(*by, *rules.columns)

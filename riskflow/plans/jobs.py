@@ -25,11 +25,11 @@ from riskflow.operators import classify, compare
 from riskflow.operators.encode import SCALED, check_categories, feature_pipeline
 from riskflow.operators.evaluate import long_metrics
 from riskflow.operators.features import TERMINAL_BUCKET, enrich, terminal_profile, typed
-from riskflow.operators.quality import KEPT, Rules, audit, profile, reject_reasons
+from riskflow.operators.quality import KEPT, Rules, audit_lines, profile, reject_reasons
 from riskflow.operators.sampling import COPY, hash_split, oversample, with_split
 from riskflow.session import materialize, pin_time_zone
 from riskflow.sinks import log_run, model_report, run_rows, write_clean, write_report_text, write_table
-from riskflow.sources import kafka_options, read_delimited, read_kafka_stream
+from riskflow.sources import kafka_options, parse_header, read_dated_lines, read_kafka_stream
 from riskflow.streaming import decode_messages, start_table
 
 ID = "tranaction_id"
@@ -45,9 +45,9 @@ def clean_job(
     columnar audit. Rows are compared within one date, as when days are processed one by one.
     """
     pin_time_zone(spark)
-    parsed, columns = read_delimited(spark, source)
-    rules = rules or Rules(columns=tuple(columns))
-    audited = audit(parsed, rules, width="n_fields", by=("source_date",))
+    lines, header = read_dated_lines(spark, source)
+    rules = rules or Rules(columns=tuple(parse_header(header)))
+    audited = audit_lines(lines, rules, by=("source_date",))
     audit_path = write_table(audited, f"{target}/audit", "overwrite", ("verdict", "source_date"))
     stored = spark.read.schema(audited.schema).parquet(audit_path)
     return {

@@ -22,6 +22,8 @@ def build_session(app_name: str = "riskflow", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Tables partitioned into few folders are written without sorting rows by folder first.
+        "spark.sql.maxConcurrentOutputFileWriters": "16",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     settings.update({key: str(value) for key, value in conf.items()})

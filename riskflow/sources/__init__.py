@@ -7,6 +7,7 @@ from riskflow.sources.text import (
     parse_header,
     parse_lines,
     ragged_rows,
+    read_dated_lines,
     read_delimited,
     read_header,
     read_lines,
@@ -20,6 +21,7 @@ __all__ = [
     "parse_header",
     "parse_lines",
     "ragged_rows",
+    "read_dated_lines",
     "read_delimited",
     "read_header",
     "read_kafka_stream",

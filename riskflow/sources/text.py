@@ -29,11 +29,13 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def read_header(spark: SparkSession, path: str | Sequence[str]) -> str:
-    """The first line of a file: one row to the driver.
+    """The first line of the first file by name: one row to the driver.
 
-    Only blocks at offset zero start with a header, so later blocks are left out.
+    Only a block at offset zero starts with a header, so later blocks are left out.
     """
-    first = spark.read.text(path).filter(F.col("_metadata.file_block_start") == 0).select("value").head(1)
+    files = sorted(spark.read.text(path).inputFiles())
+    lines = spark.read.text(files[:1]).filter(F.col("_metadata.file_block_start") == 0) if files else None
+    first = lines.select("value").head(1) if files else None
     if not first:
         raise ValueError(f"no lines in {path}")
     return first[0]["value"]
@@ -59,15 +61,31 @@ def file_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def source_date(path: Column) -> Column:
-    """The last date spelled in a file's path, or null."""
+    """The date a file's name starts with, else its folder's name (also as ``key=date``), else the last
+    date spelled in its path, or null.
+
+    The usual names are read by position; a search, which costs more than parsing a line, is the last
+    resort.
+    """
+    name = F.substring_index(path, "/", -1)
+    folder = F.substring_index(F.substring_index(F.substring_index(path, "/", -2), "/", 1), "=", -1)
     dates = F.regexp_extract_all(path, F.lit(DATE_IN_NAME), F.lit(1))
-    return F.try_element_at(dates, F.lit(-1)).try_cast("date")
+    return F.coalesce(
+        F.substring(name, 1, 10).try_cast("date"),
+        F.substring(folder, 1, 10).try_cast("date"),
+        F.try_element_at(dates, F.lit(-1)).try_cast("date"),
+    )
 
 
 def with_source_date(df: DataFrame, file_column: str = "source_file") -> DataFrame:
     return df.withColumn("source_date", source_date(F.col(file_column)))
 
 
+def _literal(delimiter: str) -> str:
+    """A pattern for the delimiter itself. A plain or escaped character is split without a regex engine."""
+    return "".join(c if c.isalnum() or c in ",; \t" else f"\\{c}" for c in delimiter)
+
+
 def parse_lines(
     lines: DataFrame,
     columns: Sequence[str],
@@ -83,8 +101,7 @@ def parse_lines(
     """
     if header is not None:
         lines = lines.filter(F.col("value") != header)
-    pattern = "".join(f"[{c}]" if c not in "^\\" else f"\\{c}" for c in delimiter)
-    split = lines.select(*keep, F.explode(F.array(F.split("value", pattern))).alias("fields"))
+    split = lines.select(*keep, F.explode(F.array(F.split("value", _literal(delimiter)))).alias("fields"))
     return split.select(
         *[F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(columns)],
         F.size("fields").alias("n_fields"),
@@ -104,7 +121,16 @@ def ragged_rows(parsed: DataFrame, columns: Sequence[str]) -> DataFrame:
 def read_delimited(
     spark: SparkSession, path: str | Sequence[str], check_headers: bool = False
 ) -> tuple[DataFrame, list[str]]:
-    """Read files that share one header: (parsed rows, column names).
+    """Read files that share one header: (parsed rows with file and date, column names)."""
+    lines, header = read_dated_lines(spark, path, check_headers)
+    columns = parse_header(header)
+    return parse_lines(lines, columns, keep=("source_file", "source_date")), columns
+
+
+def read_dated_lines(
+    spark: SparkSession, path: str | Sequence[str], check_headers: bool = False
+) -> tuple[DataFrame, str]:
+    """Lines of files that share one header, without it: (lines with file and date, header).
 
     ``check_headers`` costs one more scan and fails when a file starts with another line, which
     would otherwise be read as a row.
@@ -114,6 +140,4 @@ def read_delimited(
         others = file_headers(spark, path).filter(F.col("header") != header).head(1)
         if others:
             raise ValueError(f"{others[0]['source_file']} has another header")
-    columns = parse_header(header)
-    lines = read_lines(spark, path)
-    return parse_lines(lines, columns, header, keep=("source_file",)).transform(with_source_date), columns
+    return read_lines(spark, path).filter(F.col("value") != header).transform(with_source_date), header

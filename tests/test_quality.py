@@ -10,6 +10,7 @@ from riskflow.operators.quality import (
     KEPT,
     Rules,
     audit,
+    audit_lines,
     blank_fields_to_null,
     clean,
     complete_rows,
@@ -20,7 +21,7 @@ from riskflow.operators.quality import (
     rejected_rows,
     verdict,
 )
-from riskflow.sources import read_delimited
+from riskflow.sources import read_dated_lines, read_delimited
 
 STRICT = Rules(require_timestamp=True)
 SCHEMA = ", ".join(f"{c} string" for c in RAW_COLUMNS)
@@ -33,6 +34,8 @@ def as_dict(df):
 def test_fixture_verdicts(spark, raw_file):
     parsed, _ = read_delimited(spark, raw_file)
     audited = audit(parsed, STRICT, width="n_fields", by=("source_date",))
+    from_lines = audit_lines(read_dated_lines(spark, raw_file)[0], STRICT, by=("source_date",))
+    assert set(audited.collect()) == set(from_lines.select(audited.columns).collect())
     got = {r["tranaction_id"]: (r["verdict"], r["copies"]) for r in audited.collect()}
     assert got == {
         "1": ("kept", 2),

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskflow.fixed_values import RAW_COLUMNS
+from riskflow.sources.text import source_date
 from riskflow.sources import (
     file_headers,
     kafka_options,
@@ -107,3 +108,20 @@ def test_kafka_options():
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         read_kafka_stream(spark, kafka_options("host:9092", "topic"))
+
+
+@pytest.mark.parametrize(
+    "path, date",
+    [
+        ("file:/data/2020-01-02.txt", "2020-01-02"),
+        ("file:/data/2019-01-01/2020-01-02.txt", "2020-01-02"),
+        ("file:/data/2020-01-02/part-0.txt", "2020-01-02"),
+        ("file:/data/day=2020-01-02/part-0.txt", "2020-01-02"),
+        ("file:/data/2019-01-01/x-2020-01-02/y/part-0.txt", "2020-01-02"),
+        ("file:/data/2020-13-45.txt", None),
+        ("file:/data/part-0.txt", None),
+    ],
+)
+def test_source_date(rows, path, date):
+    got = rows([(path,)], "p string").select(source_date(F.col("p"))).first()[0]
+    assert (str(got) if got else None) == date
