@@ -24,6 +24,22 @@ TERMINAL_RANGE = (1, 999)
 MISSING_TEXT_COLUMNS = ("tx_datetime", "customer_id", "terminal_id")
 MISSING_NUMERIC_COLUMNS = ("tx_amount",)
 
+# Metric names of the profile of a raw table.
+PROFILE_ALL = "count_all_rows"
+PROFILE_DUPLICATES = "count_duplicates_rows"
+PROFILE_FRAUD = "count_fraud_rows"
+PROFILE_LEGITIMATE = "count_without_fraud_rows"
+PROFILE_MISSING = "missings_{column}"
+PROFILE_NEGATIVE = "negative_values_{column}"
+PROFILE_BLANK = "count_null_rows"
+PROFILE_REMOVED = "count_del_rows"
+
+# Columns of the terminal profile.
+TERMINAL_TOTAL = "cnt_transactions_on_terminal_id"
+TERMINAL_FRAUD = "cnt_fraud_transactions_on_terminal_id"
+TERMINAL_PERCENT = "percent_fraud_on_terminal"
+TERMINAL_BUCKET = "percent_fraud_on_terminal_udf"
+
 # Terminal risk buckets as (upper edge, edge included, label).
 # The fourth label repeats "and 50"; downstream encodings depend on the text as it is.
 RISK_BUCKETS = (

@@ -153,7 +153,7 @@ def held_after_fast_credit(
     )
     keyed = transactions.withColumn("day", F.to_date(at))
     return (
-        keyed.join(bounds, [client, "day"], "left")
+        attach_list(keyed, bounds, [client, "day"], "left")
         .withColumn("held", held)
         .drop("day", "held_from", "held_until", "held_all_day")
     )

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from riskflow.fixed_values import TERMINAL_RANGE, TIMESTAMP_FORMAT
+from riskflow.fixed_values import (
+    TERMINAL_BUCKET,
+    TERMINAL_FRAUD,
+    TERMINAL_PERCENT,
+    TERMINAL_RANGE,
+    TERMINAL_TOTAL,
+    TIMESTAMP_FORMAT,
+)
 from riskflow.functions import parse_timestamp, percent_of, risk_bucket
 from riskflow.operators.joins import attach_by_range, attach_split
 
-TERMINAL_TOTAL = "cnt_transactions_on_terminal_id"
-TERMINAL_FRAUD = "cnt_fraud_transactions_on_terminal_id"
-TERMINAL_PERCENT = "percent_fraud_on_terminal"
-TERMINAL_BUCKET = "percent_fraud_on_terminal_udf"
-
 
 def typed(cleaned: DataFrame) -> DataFrame:
     """Clean text columns to types, with the hour. A time that cannot be read becomes null."""

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from riskflow.session import materialize
+
 BROADCAST_ROWS = 100_000
 HOT_SHARE = 1000
 
@@ -50,9 +52,11 @@ def small_enough(lookup: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return lookup.limit(rows + 1).count() <= rows
 
 
-def attach_list(left: DataFrame, keys: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Semi, anti or left join with a list of distinct keys, broadcast if its row count allows.
+def attach_list(left: DataFrame, lookup: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Semi, anti or left join of a lookup with one row per key, broadcast if its row count allows.
 
-    A longer list joins by shuffle; Spark may then split skewed partitions of the left side at run time.
+    The lookup is stored first, so that counting it and joining it compute it once. A longer lookup joins
+    by shuffle; only the left side can then be skewed, and Spark splits its skewed partitions at run time.
     """
-    return left.join(F.broadcast(keys) if small_enough(keys) else keys, list(on), how)
+    stored = materialize(lookup, "lookup")
+    return left.join(F.broadcast(stored) if small_enough(stored) else stored, list(on), how)

@@ -16,6 +16,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskflow.fixed_values import (
     MISSING_NUMERIC_COLUMNS,
     MISSING_TEXT_COLUMNS,
+    PROFILE_ALL,
+    PROFILE_BLANK,
+    PROFILE_DUPLICATES,
+    PROFILE_FRAUD,
+    PROFILE_LEGITIMATE,
+    PROFILE_MISSING,
+    PROFILE_NEGATIVE,
+    PROFILE_REMOVED,
     RAW_COLUMNS,
     TERMINAL_RANGE,
 )
@@ -143,20 +151,20 @@ def profile(
     all_rows = F.coalesce(F.sum(copies), F.lit(0)).cast("bigint")
     fraud = rows_where(F.col("tx_fraud").try_cast("int") == 1)
     measures = {
-        "count_all_rows": all_rows,
-        "count_duplicates_rows": all_rows - F.count(F.lit(1)),
-        "count_fraud_rows": fraud,
-        "count_without_fraud_rows": all_rows - fraud,
+        PROFILE_ALL: all_rows,
+        PROFILE_DUPLICATES: all_rows - F.count(F.lit(1)),
+        PROFILE_FRAUD: fraud,
+        PROFILE_LEGITIMATE: all_rows - fraud,
     }
     for column in rules.columns:
         if column in text_columns:
-            measures[f"missings_{column}"] = rows_where(missing_or_zero(F.col(column)))
+            measures[PROFILE_MISSING.format(column=column)] = rows_where(missing_or_zero(F.col(column)))
         if column in numeric_columns:
-            measures[f"missings_{column}"] = rows_where(zero_value(F.col(column)))
+            measures[PROFILE_MISSING.format(column=column)] = rows_where(zero_value(F.col(column)))
     for column in numeric_columns:
-        measures[f"negative_values_{column}"] = rows_where(F.col(column).try_cast("double") < 0)
-    measures["count_null_rows"] = rows_where(_any_blank(rules.columns))
-    measures["count_del_rows"] = all_rows - F.count_if(F.col("verdict") == KEPT)
+        measures[PROFILE_NEGATIVE.format(column=column)] = rows_where(F.col(column).try_cast("double") < 0)
+    measures[PROFILE_BLANK] = rows_where(_any_blank(rules.columns))
+    measures[PROFILE_REMOVED] = all_rows - F.count_if(F.col("verdict") == KEPT)
     counts = audited.agg(*[value.cast("bigint").alias(name) for name, value in measures.items()])
     return counts.unpivot([], list(measures), "metric", "value")
 

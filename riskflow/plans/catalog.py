@@ -8,7 +8,7 @@ from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskflow.fixed_values import NUMERIC_FEATURES, RAW_COLUMNS, REFIT_SEED, REFIT_WEIGHTS
+from riskflow.fixed_values import NUMERIC_FEATURES, RAW_COLUMNS, REFIT_SEED, REFIT_WEIGHTS, TERMINAL_TOTAL
 from riskflow.functions import risk_bucket
 from riskflow.operators import classify, compare, decide, features, quality, sampling
 from riskflow.operators.encode import assembler, encoder, indexer, skipped_rows
@@ -20,6 +20,9 @@ from riskflow.session import materialize, new_path, pin_time_zone
 from riskflow.sources import parse_lines, ragged_rows, read_table
 from riskflow.streaming import decode_messages, land_lines, start_table
 
+# Fits that run at a time. Each keeps its own copy of the training rows, in memory or on disk.
+SEARCH_PARALLELISM = 4
+
 STRICT = Rules(require_timestamp=True)
 
 
@@ -116,7 +119,7 @@ def enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enrich_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     transactions = _lineitem(spark, sf_dir)
     return attach_split(
-        transactions, features.terminal_profile(transactions), "terminal_id", features.TERMINAL_TOTAL
+        transactions, features.terminal_profile(transactions), "terminal_id", TERMINAL_TOTAL
     )
 
 
@@ -271,6 +274,12 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(features.enrich(_stored(spark, sf_dir)), "features")
 
 
+def prepared_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready = jobs.prepare(_features(spark, sf_dir))
+    parts = [part.withColumn("split", F.lit(i)) for i, part in enumerate((ready.train, ready.test))]
+    return parts[0].unionByName(parts[1]).groupBy("split", "tx_fraud").agg(F.count(F.lit(1)).alias("n"))
+
+
 def train_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready = jobs.prepare(_features(spark, sf_dir))
     model = classify.logistic().fit(ready.train)
@@ -302,14 +311,16 @@ def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready = jobs.prepare(_features(spark, sf_dir))
     estimator = classify.logistic()
     grid = classify.parameter_grid(estimator)
-    return classify.search_results(spark, classify.tune(ready.train, estimator, grid), grid)
+    fitted = classify.tune(ready.train, estimator, grid, parallelism=SEARCH_PARALLELISM)
+    return classify.search_results(spark, fitted, grid)
 
 
 def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready = jobs.prepare(_features(spark, sf_dir))
     estimator = classify.logistic()
     grid = classify.parameter_grid(estimator, fit_intercepts=(True,), elastic_net_params=(0.5,))
-    return classify.search_results(spark, classify.cross_validate(ready.train, estimator, grid), grid)
+    fitted = classify.cross_validate(ready.train, estimator, grid, parallelism=SEARCH_PARALLELISM)
+    return classify.search_results(spark, fitted, grid)
 
 
 def score_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,7 +331,7 @@ def score_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.compare_job(spark, _features(spark, sf_dir))
+    return jobs.compare_job(spark, _features(spark, sf_dir), SEARCH_PARALLELISM)
 
 
 def ab_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -447,6 +458,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ab_test": ab_test,
         "ab_interval": ab_interval,
         "ab_summary": ab_summary,
+        "prepared_rows": prepared_rows,
         "train_predict": train_predict,
         "train_metrics": train_metrics,
         "training_summary": training_summary,

@@ -19,12 +19,14 @@ from riskflow.fixed_values import (
     NUMERIC_FEATURES,
     REFIT_SEED,
     REFIT_WEIGHTS,
+    RISK_BUCKET_NULL,
     SPLIT_WEIGHTS,
+    TERMINAL_BUCKET,
 )
 from riskflow.operators import classify, compare
 from riskflow.operators.encode import SCALED, check_categories, feature_pipeline
 from riskflow.operators.evaluate import long_metrics
-from riskflow.operators.features import TERMINAL_BUCKET, enrich, terminal_profile, typed
+from riskflow.operators.features import enrich, terminal_profile, typed
 from riskflow.operators.quality import KEPT, Rules, audit_lines, profile, reject_reasons
 from riskflow.operators.sampling import COPY, hash_split, oversample, with_split
 from riskflow.session import materialize, pin_time_zone
@@ -36,18 +38,28 @@ ID = "tranaction_id"
 
 
 def clean_job(
-    spark: SparkSession, source: str | Sequence[str], target: str, rules: Rules | None = None
+    spark: SparkSession,
+    source: str | Sequence[str],
+    target: str,
+    rules: Rules | None = None,
+    many_days: bool = False,
 ) -> dict[str, str]:
     """Text files to an audited table, a clean table within it, and a profile report.
 
     The text is read and shuffled once. The audited rows are written once, partitioned by verdict and
     date, so the clean table is one of its folders and the quarantine the others; the profile reads the
     columnar audit. Rows are compared within one date, as when days are processed one by one.
+
+    After the shuffle every task holds rows of every date. That is right for a day or a few; with
+    ``many_days`` rows are brought together by folder once more, in parts of even size, because otherwise
+    each task would write a small file into each folder.
     """
     pin_time_zone(spark)
     lines, header = read_dated_lines(spark, source)
     rules = rules or Rules(columns=tuple(parse_header(header)))
     audited = audit_lines(lines, rules, by=("source_date",))
+    if many_days:
+        audited = audited.hint("rebalance", "verdict", "source_date")
     audit_path = write_table(audited, f"{target}/audit", "overwrite", ("verdict", "source_date"))
     stored = spark.read.schema(audited.schema).parquet(audit_path)
     return {
@@ -107,7 +119,7 @@ def prepare_leak_free(
     train_rows, test_rows = hash_split(transactions, [ID], weights)
     profiles = terminal_profile(train_rows)
     train_features = oversample(enrich(train_rows, profiles))
-    unknown = F.coalesce(F.col(TERMINAL_BUCKET), F.lit("Unknown"))
+    unknown = F.coalesce(F.col(TERMINAL_BUCKET), F.lit(RISK_BUCKET_NULL))
     test_features = (
         enrich(test_rows, profiles).withColumn(TERMINAL_BUCKET, unknown).withColumn(COPY, F.lit(1))
     )

@@ -355,6 +355,14 @@ def oracle_sql() -> dict[str, str]:
         "json_decode": _DECODED,
         "stream_decode": _DECODED,
         "stream_landing": f"{raw}, {_LINES.strip()}\nSELECT {_FIELD_COLUMNS}, day AS source_date FROM fields",
+        "prepared_rows": f"""{typed}
+            SELECT split, tx_fraud, count(*) AS n FROM (
+              SELECT tx_fraud, {_split_bucket("tranaction_id || ':' || copies.n || ':'", ['cccccccc'])} AS split
+              FROM typed,
+                   (SELECT count(*) FILTER (WHERE tx_fraud = 0) // count(*) FILTER (WHERE tx_fraud = 1) AS k FROM typed),
+                   (SELECT range AS n FROM range(1, 1000)) AS copies
+              WHERE hour_tx_datetime IS NOT NULL AND copies.n <= CASE WHEN tx_fraud = 1 THEN greatest(k, 1) ELSE 1 END)
+            GROUP BY split, tx_fraud""",
         "decision_tiers": f"""SELECT event_id, CASE WHEN value >= 100 THEN 'red' WHEN value >= 40 THEN 'yellow'
             ELSE 'green' END AS decision FROM events""",
         "blacklist_payee": f"""WITH {blacklist}

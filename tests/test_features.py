@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from riskflow.fixed_values import TERMINAL_TOTAL
 from riskflow.operators import features, joins
 
 TX = "tranaction_id string, terminal_id int, tx_fraud int"
@@ -60,8 +61,8 @@ def test_split_join_equals_plain_join(skewed):
 
 def test_split_join_never_shuffles_hot_rows(skewed):
     profiles = features.terminal_profile(skewed)
-    total = profiles.agg(F.sum(features.TERMINAL_TOTAL)).first()[0]
-    hot = profiles.filter(F.col(features.TERMINAL_TOTAL) * joins.HOT_SHARE > total)
+    total = profiles.agg(F.sum(TERMINAL_TOTAL)).first()[0]
+    hot = profiles.filter(F.col(TERMINAL_TOTAL) * joins.HOT_SHARE > total)
     assert 7 in {r["terminal_id"] for r in hot.collect()}
     assert hot.count() < joins.HOT_SHARE
 

@@ -5,7 +5,8 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from riskflow.operators import classify, evaluate, features
+from riskflow.fixed_values import TERMINAL_BUCKET
+from riskflow.operators import classify, evaluate
 from riskflow.operators.encode import (
     assembler,
     check_categories,
@@ -173,7 +174,7 @@ def test_leak_free_order(spark):
     assert not train_ids & set(test_ids) and len(test_ids) == len(set(test_ids))
     balance = {r["tx_fraud"]: r["count"] for r in ready.test.groupBy("tx_fraud").count().collect()}
     assert balance[1] < balance[0]
-    assert features.TERMINAL_BUCKET in ready.encoding.stages[0].getInputCols()
+    assert TERMINAL_BUCKET in ready.encoding.stages[0].getInputCols()
     assert "tx_fraud_scenario" not in ready.encoding.stages[0].getInputCols()
 
 

@@ -12,6 +12,7 @@ from riskflow.sources import read_table
 from conftest import SMALL
 
 EAGER = {
+    "prepared_rows",
     "train_predict",
     "train_metrics",
     "training_summary",

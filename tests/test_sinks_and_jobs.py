@@ -85,3 +85,18 @@ def test_clean_and_feature_jobs(spark, raw_file, tmp_path):
 def test_clean_job_with_strict_rules(spark, raw_file, tmp_path):
     paths = jobs.clean_job(spark, raw_file, str(tmp_path / "clean"), Rules(require_timestamp=True))
     assert spark.read.parquet(paths["clean"]).count() == 2
+
+
+def test_clean_job_over_many_days(spark, tmp_path):
+    header = "#tranaction_id|tx_datetime|customer_id|terminal_id|tx_amount|tx_fraud|tx_fraud_scenario\n"
+    (tmp_path / "raw").mkdir()
+    for day in range(1, 6):
+        rows = "".join(f"{i},2020-01-0{day} 03:04:05,17,{i % 9 + 1},2.5,0,0\n" for i in range(50))
+        (tmp_path / "raw" / f"2020-01-0{day}.txt").write_text(header + rows + rows)
+    counts = []
+    for many_days in (False, True):
+        paths = jobs.clean_job(spark, str(tmp_path / "raw"), str(tmp_path / str(many_days)), many_days=many_days)
+        clean = spark.read.parquet(paths["clean"])
+        counts.append({str(r["source_date"]): r["count"] for r in clean.groupBy("source_date").count().collect()})
+    assert counts[0] == counts[1] == {f"2020-01-0{day}": 50 for day in range(1, 6)}
+    assert len(clean.inputFiles()) == 5
