@@ -35,11 +35,13 @@ def attach_split(left: DataFrame, lookup: DataFrame, key: str, weight: str) -> D
     ``weight`` is a lookup column with the number of left rows per key. A key is hot when it holds more
     than one in ``HOT_SHARE`` of them, so there are fewer than ``HOT_SHARE`` hot keys, whatever the data:
     those lookup rows are broadcast and hot rows never move. The other rows join by shuffle, where no
-    key is large. Null keys match nothing and skip the join.
+    key is large. Null keys match nothing and skip the join. The lookup is stored first, because all
+    parts read it.
     """
-    total = lookup.agg(F.sum(weight)).scalar()
+    stored = materialize(lookup, "lookup")
+    total = stored.agg(F.sum(weight)).scalar()
     is_hot = F.col(weight) * HOT_SHARE > total
-    hot, cold = lookup.filter(is_hot), lookup.filter(~is_hot)
+    hot, cold = stored.filter(is_hot), stored.filter(~is_hot)
     matched_hot = left.join(F.broadcast(hot), key, "inner")
     rest = left.filter(F.col(key).isNotNull()).join(F.broadcast(hot.select(key)), key, "left_anti")
     matched_cold = rest.join(cold, key, "left")
