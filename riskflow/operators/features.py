@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from riskflow.fixed_values import (
@@ -16,8 +18,9 @@ from riskflow.functions import parse_timestamp, percent_of, risk_bucket
 from riskflow.operators.joins import attach_by_range, attach_split
 
 
-def typed(cleaned: DataFrame) -> DataFrame:
-    """Clean text columns to types, with the hour. A time that cannot be read becomes null."""
+def typed(cleaned: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Clean text columns to types, with the hour and the columns to ``keep`` as they are. A time that
+    cannot be read becomes null."""
     moment = parse_timestamp(F.col("tx_datetime"))
     return cleaned.select(
         "tranaction_id",
@@ -28,6 +31,7 @@ def typed(cleaned: DataFrame) -> DataFrame:
         F.col("tx_fraud").try_cast("int").alias("tx_fraud"),
         "tx_fraud_scenario",
         F.hour(moment).alias("hour_tx_datetime"),
+        *keep,
     )
 
 

@@ -30,7 +30,7 @@ from riskflow.operators.features import enrich, terminal_profile, typed
 from riskflow.operators.quality import KEPT, Rules, audit_lines, profile, reject_reasons
 from riskflow.operators.sampling import COPY, hash_split, oversample, with_split
 from riskflow.session import materialize, pin_time_zone
-from riskflow.sinks import log_run, model_report, run_rows, write_clean, write_report_text, write_table
+from riskflow.sinks import log_run, model_report, run_rows, write_report_text, write_table
 from riskflow.sources import kafka_options, parse_header, read_dated_lines, read_kafka_stream
 from riskflow.streaming import decode_messages, start_table
 
@@ -71,9 +71,14 @@ def clean_job(
 
 
 def feature_job(spark: SparkSession, clean_path: str, target: str) -> str:
-    """Clean text columns to typed transactions with their terminal's risk."""
+    """Clean text columns to typed transactions with their terminal's risk, by source date if known.
+
+    Rows only meet the broadcast terminals and are not moved, so a task writes the dates it read.
+    """
     pin_time_zone(spark)
-    return write_clean(enrich(typed(spark.read.parquet(clean_path))), target)
+    cleaned = spark.read.parquet(clean_path)
+    dates = [c for c in ("source_date",) if c in cleaned.columns]
+    return write_table(enrich(typed(cleaned, keep=dates)), target, "overwrite", dates)
 
 
 @dataclass

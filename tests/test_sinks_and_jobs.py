@@ -80,6 +80,7 @@ def test_clean_and_feature_jobs(spark, raw_file, tmp_path):
     enriched = spark.read.parquet(jobs.feature_job(spark, paths["clean"], str(tmp_path / "features")))
     rates = {r["tranaction_id"]: r["percent_fraud_on_terminal"] for r in enriched.collect()}
     assert rates == {"1": 50.0, "2": 50.0, "10": 100.0}
+    assert {str(r["source_date"]) for r in enriched.collect()} == {"2020-01-02"}
 
 
 def test_clean_job_with_strict_rules(spark, raw_file, tmp_path):
