@@ -35,15 +35,17 @@ def listed_days(
 
     A list is refreshed once a day, so days are its resolution. A listing covers its own day and those
     until ``days`` days (or ``months`` months) later, the last one excluded. Repeated listings of one key
-    and day are merged before they are spread over days.
+    and day are merged first, which leaves a key at most one row per calendar day. Each listing is then
+    cut where the key's next one starts, so that no day is produced twice.
     """
     start = F.col("first_day")
     end = F.add_months(start, months) if months else F.date_add(start, days)
+    following = F.lead("first_day").over(Window.partitionBy(key).orderBy("first_day"))
     return (
         listings.select(key, F.to_date(listed_at).alias("first_day"))
         .distinct()
-        .select(key, F.explode(F.sequence(start, F.date_sub(end, 1))).alias("day"))
-        .distinct()
+        .withColumn("end", F.least(end, following))
+        .select(key, F.explode(F.sequence(start, F.date_sub("end", 1))).alias("day"))
     )
 
 

@@ -142,7 +142,7 @@ def test_default_parameters(spark, ready):
     assert 0.0 <= summary["accuracy"] <= 1.0 and 0.5 <= summary["areaUnderROC"] <= 1.0
 
 
-def test_search_covers_the_grid_and_picks_the_best(spark, ready):
+def test_search_covers_the_grid_and_picks_the_best(spark, ready, prepared_features, tmp_path):
     estimator = classify.logistic()
     grid = classify.parameter_grid(estimator)
     fitted = classify.tune(ready.train, estimator, grid, parallelism=4)
@@ -151,6 +151,10 @@ def test_search_covers_the_grid_and_picks_the_best(spark, ready):
     chosen = [r for r in results if r["chosen"]]
     assert len(chosen) == 1 and chosen[0]["auc"] == max(r["auc"] for r in results)
     assert fitted.bestModel.getRegParam() == chosen[0]["reg_param"]
+    refitted = jobs.refit(prepared_features, fitted.bestModel, str(tmp_path / "best")).stages[-1]
+    assert refitted.getRegParam() == chosen[0]["reg_param"]
+    assert refitted.getElasticNetParam() == chosen[0]["elastic_net_param"]
+    assert refitted.getFitIntercept() == chosen[0]["fit_intercept"]
 
 
 def test_saved_model_gives_the_same_predictions(spark, prepared_features, tmp_path):
