@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 
 import compare
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from riskflow.plans.catalog import queries
+from riskflow.plans.oracles import oracle_sql
 
 from conftest import MEDIUM, SMALL
 
