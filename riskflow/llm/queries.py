@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskflow.llm.exact_dedup import exact_duplicates
+from riskflow.llm.simhash import near_duplicates
 from riskflow.sources import read_table
 
 
@@ -14,5 +15,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup}
+    return {
+        "op1_exact_dedup": op1_exact_dedup,
+        "op10_simhash": op10_simhash,
+    }
