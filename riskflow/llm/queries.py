@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskflow.llm.exact_dedup import exact_duplicates
 from riskflow.llm.simhash import near_duplicates
+from riskflow.llm.toxicity import score_toxicity, train as train_toxicity
 from riskflow.sources import read_table
 
 
@@ -15,6 +16,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train_toxicity(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -22,5 +28,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op3_toxicity": op3_toxicity,
         "op10_simhash": op10_simhash,
     }
