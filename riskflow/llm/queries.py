@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from riskflow.llm.exact_dedup import exact_duplicates
+from riskflow.llm.mixing import mix_sources
+from riskflow.llm.packing import pack_documents, with_digests
 from riskflow.llm.simhash import near_duplicates
 from riskflow.llm.toxicity import score_toxicity, train as train_toxicity
 from riskflow.sources import read_table
@@ -21,6 +24,15 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, train_toxicity(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read_table(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return with_digests(pack_documents(read_table(spark, sf_dir, "documents"), tokenizer)).drop("ids")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -29,5 +41,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op3_toxicity": op3_toxicity,
+        "op5_mixing": op5_mixing,
+        "op7_packing": op7_packing,
         "op10_simhash": op10_simhash,
     }
