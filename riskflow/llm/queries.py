@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from riskflow.llm.exact_dedup import exact_duplicates
+from riskflow.llm.language import identify_language, train as train_language
 from riskflow.llm.mixing import mix_sources
 from riskflow.llm.packing import pack_documents, with_digests
 from riskflow.llm.simhash import near_duplicates
 from riskflow.llm.toxicity import score_toxicity, train as train_toxicity
+from riskflow.llm.warc import archived_pages
 from riskflow.sources import read_table
 
 
@@ -28,11 +30,20 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read_table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return identify_language(docs, train_language(docs))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return with_digests(pack_documents(read_table(spark, sf_dir, "documents"), tokenizer)).drop("ids")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -42,6 +53,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": op1_exact_dedup,
         "op3_toxicity": op3_toxicity,
         "op5_mixing": op5_mixing,
+        "op6_language": op6_language,
         "op7_packing": op7_packing,
+        "op9_warc": op9_warc,
         "op10_simhash": op10_simhash,
     }

@@ -16,6 +16,21 @@ FROM texts
 WINDOW same AS (PARTITION BY t)
 """
 
+WARC = """
+WITH payloads AS (
+    SELECT page_id, encode(coalesce(html, '')) AS p FROM pages
+), keyed AS (
+    SELECT page_id, octet_length(p)::BIGINT AS payload_bytes, sha1(p) AS payload_digest,
+           CASE WHEN octet_length(p) >= 1000 THEN max(page_id) OVER (PARTITION BY p) END AS response
+    FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN response <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response <> page_id THEN response END AS refers_to,
+       true AS verified
+FROM keyed
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op9_warc": WARC}
