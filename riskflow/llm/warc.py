@@ -308,10 +308,10 @@ def with_full_payloads(records: DataFrame) -> DataFrame:
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     plain = records.filter("record_type <> 'revisit'").select(*columns, (F.size("faults") == 0).alias("verified"))
     revisits = records.filter("record_type = 'revisit'").drop("payload_bytes", "payload")
-    wanted = revisits.select("refers_to").distinct()
+    wanted = revisits.select(F.col("refers_to").alias("wanted")).distinct()
     found = (
         records.filter("record_type = 'response'")
-        .join(wanted, F.col("page_id") == wanted.refers_to, "left_semi")
+        .join(wanted, F.col("page_id") == F.col("wanted"), "left_semi")
         .groupBy(F.col("page_id").alias("of_page"), F.col("payload_digest").alias("of_digest"))
         .agg(F.max("payload_bytes").alias("payload_bytes"))
     )
