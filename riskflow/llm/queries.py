@@ -11,6 +11,7 @@ from riskflow.llm.exact_dedup import exact_duplicates
 from riskflow.llm.language import identify_language, train as train_language
 from riskflow.llm.mixing import mix_sources
 from riskflow.llm.packing import pack_documents, with_digests
+from riskflow.llm.quality import quality_verdicts
 from riskflow.llm.simhash import near_duplicates
 from riskflow.llm.toxicity import score_toxicity, train as train_toxicity
 from riskflow.llm.warc import archived_pages
@@ -21,6 +22,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return score_toxicity(docs, train_toxicity(docs, read_table(spark, sf_dir, "labels")))
@@ -51,6 +56,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_quality": op2_quality,
         "op3_toxicity": op3_toxicity,
         "op5_mixing": op5_mixing,
         "op6_language": op6_language,
