@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskflow.llm.exact_dedup import exact_duplicates
 from riskflow.llm.language import identify_language, train as train_language
+from riskflow.llm.licenses import scan_licenses
 from riskflow.llm.mixing import mix_sources
 from riskflow.llm.packing import pack_documents, with_digests
 from riskflow.llm.quality import quality_verdicts
@@ -31,6 +32,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, train_toxicity(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read_table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": op1_exact_dedup,
         "op2_quality": op2_quality,
         "op3_toxicity": op3_toxicity,
+        "op4_licenses": op4_licenses,
         "op5_mixing": op5_mixing,
         "op6_language": op6_language,
         "op7_packing": op7_packing,
