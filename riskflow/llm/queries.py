@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from riskflow.llm.chat import format_chat
 from riskflow.llm.exact_dedup import exact_duplicates
 from riskflow.llm.language import identify_language, train as train_language
 from riskflow.llm.licenses import scan_licenses
@@ -50,6 +51,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_digests(pack_documents(read_table(spark, sf_dir, "documents"), tokenizer)).drop("ids")
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chat(read_table(spark, sf_dir, "conversations"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(read_table(spark, sf_dir, "pages"))
 
@@ -67,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_mixing": op5_mixing,
         "op6_language": op6_language,
         "op7_packing": op7_packing,
+        "op8_chat": op8_chat,
         "op9_warc": op9_warc,
         "op10_simhash": op10_simhash,
     }
