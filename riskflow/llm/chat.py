@@ -81,7 +81,7 @@ def observed_lines(
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     given = F.col(f"`{role_col}`") if role_col else F.lit(None).cast("string")
     alone = F.col(f"`{conv_col}`").isNull() | F.col(f"`{order_col}`").isNull()
-    first = lines.agg(F.min(F.col(f"`{order_col}`"))).scalar() or 0
+    first = lines.agg(F.min(F.col(f"`{order_col}`"))).head()[0] or 0
     return lines.select(
         F.col(f"`{conv_col}`").alias("conv"),
         F.col(f"`{order_col}`").alias("at"),
