@@ -54,7 +54,7 @@ KINDS = {**dict.fromkeys(TARGETS, TARGET), **dict.fromkeys(NEGATIONS, NEGATION),
 REACH = 4
 FEATURES = ("insults", "softened", "targeted", "threats", "clauses", "best_clause")
 # Used where labels do not tell: no labels of one kind, or none at all.
-PRIOR = np.array([-4.0, 0.8, 0.2, 0.5, 1.5, 0.0, 0.2])
+PRIOR = np.array([-4.0, 2.2, 0.4, 0.5, 2.0, 0.0, 0.2])
 _CLAUSE_END = re.compile(r"[.!?;\n]")
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 
