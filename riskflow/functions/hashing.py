@@ -45,14 +45,15 @@ def split_index(columns: Sequence[Column], weights: Sequence[float], salt: str =
 
 def poisson_thresholds(rate: float) -> list[str]:
     """Cumulative Poisson probabilities as draw thresholds, until they reach the draw's resolution."""
-    thresholds, term, cumulative, k = [], math.exp(-rate), 0.0, 0
+    thresholds, cumulative, k = [], 0.0, 0
     while True:
+        # From the logarithm, because exp(-rate) alone is zero for large rates.
+        term = math.exp(k * math.log(rate) - rate - math.lgamma(k + 1)) if rate > 0 else float(k == 0)
         cumulative += term
-        if (1.0 - cumulative) * _RANGE < 1:
+        if (1.0 - cumulative) * _RANGE < 1 or (k > rate and term * _RANGE < 1e-3):
             return thresholds
         thresholds.append(threshold(cumulative))
         k += 1
-        term *= rate / k
 
 
 def poisson_drawn(draw: Column, rate: float) -> Column:

@@ -38,7 +38,7 @@ def replicate_counts(
 
     A digest yields several draws, so a row is hashed once per ``SLICES_PER_DIGEST`` replicates. Rows of
     weight zero, most of them at a small rate, are gone before the aggregate, and what is shuffled is
-    four numbers per model, replicate and task.
+    four numbers per model, replicate and task. A replicate that draws no row has zero counts.
     """
     digests = math.ceil(replicates / SLICES_PER_DIGEST)
     ids = [F.col(c) for c in id_columns]
@@ -53,7 +53,16 @@ def replicate_counts(
         .filter(poisson_drawn(F.col("draw"), rate))
         .withColumn("weight", poisson_weight(F.col("draw"), rate))
     )
-    return confusion(weighted, label, by=(model, "replicate"), weight="weight")
+    drawn = confusion(weighted, label, by=(model, "replicate"), weight="weight")
+    every = predictions.select(F.col(model)).distinct().select(
+        F.col(model).alias("_model"), F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("_replicate")
+    )
+    same = F.col("_model").eqNullSafe(F.col(model)) & (F.col("_replicate") == F.col("replicate"))
+    return every.join(drawn, same, "left").select(
+        F.col("_model").alias(model),
+        F.col("_replicate").alias("replicate"),
+        *[F.coalesce(n, F.lit(0).cast("bigint")).alias(n) for n in ("tp", "tn", "fp", "fn")],
+    )
 
 
 def replicate_metrics(counts: DataFrame) -> DataFrame:
@@ -117,20 +126,25 @@ def histogram(scores: DataFrame, bins: int = 10, by: Sequence[str] = ("model", "
     )
 
 
-def _of(model: str, column: str) -> Column:
-    return F.max(F.when(F.col("model") == model, F.col(column)))
+def _of(value: str, column: str, model: str) -> Column:
+    return F.max(F.when(F.col(model) == value, F.col(column)))
 
 
 def two_sample_test(
-    measured: DataFrame, first: str, second: str, metric: str = "f1", alpha: float = TEST_ALPHA
+    measured: DataFrame,
+    first: str,
+    second: str,
+    metric: str = "f1",
+    alpha: float = TEST_ALPHA,
+    model: str = "model",
 ) -> DataFrame:
     """Two-sample t-test with equal variances between two models' replicates.
 
     One row: (metric, t, dof, p_value, reject). t and p are null when neither model varies.
     """
     sides = {
-        f"{name}_{side}": _of(model, name)
-        for side, model in (("a", first), ("b", second))
+        f"{name}_{side}": _of(value, name, model)
+        for side, value in (("a", first), ("b", second))
         for name in ("mean", "std", "n")
     }
     wide = (
@@ -155,12 +169,18 @@ def mean_interval(
     replicates: int = BOOTSTRAP_REPLICATES,
     confidence: float = INTERVAL_CONFIDENCE,
     metric: str = "f1",
+    model: str = "model",
 ) -> DataFrame:
-    """t-interval of each model's mean: (model, metric, low, mean, high)."""
-    half = F.col("std") / F.sqrt(F.lit(float(replicates))) * t_critical(confidence, replicates - 1)
+    """t-interval of each model's mean: (model, metric, low, mean, high).
+
+    It rests on as many values as were measured; ``replicates`` is the largest number that can have been.
+    Fewer than two values give no bounds.
+    """
+    points = F.array(*[F.lit(t_critical(confidence, dof)) for dof in range(1, replicates)])
+    half = F.col("std") / F.sqrt("n") * F.get(points, F.col("n").cast("int") - 2)
     mean = F.col("mean")
     return measured.filter(F.col("metric") == metric).select(
-        "model", "metric", (mean - half).alias("low"), "mean", (mean + half).alias("high")
+        model, "metric", (mean - half).alias("low"), "mean", (mean + half).alias("high")
     )
 
 

@@ -45,6 +45,7 @@ def listed_days(
         listings.select(key, F.to_date(listed_at).alias("first_day"))
         .distinct()
         .withColumn("end", F.least(end, following))
+        .filter(F.col("end") > F.col("first_day"))
         .select(key, F.explode(F.sequence(start, F.date_sub("end", 1))).alias("day"))
     )
 
@@ -57,19 +58,20 @@ def blacklisted(
     The lifetime is part of the equality key, so the join needs no range condition and a busy key is
     spread over its days.
     """
-    keyed = transactions.withColumn("day", F.to_date(at))
-    return attach_list(keyed, active, [key, "day"], how).drop("day")
+    keyed = transactions.withColumn("_listed_day", F.to_date(at))
+    days = active.select(key, F.col("day").alias("_listed_day"))
+    return attach_list(keyed, days, [key, "_listed_day"], how).select(*transactions.columns)
 
 
 def whitelisted(
     decided: DataFrame, organisations: DataFrame, key: str, column: str = "decision"
 ) -> DataFrame:
     """Never hold a payment to a listed organisation: its decision becomes ``green``."""
-    known = organisations.select(key).distinct().withColumn("listed", F.lit(True))
+    known = organisations.select(key).distinct().withColumn("_listed", F.lit(True))
     return (
         attach_list(decided, known, [key], "left")
-        .withColumn(column, F.when(F.col("listed"), F.lit("green")).otherwise(F.col(column)))
-        .drop("listed")
+        .withColumn(column, F.when(F.col("_listed"), F.lit("green")).otherwise(F.col(column)))
+        .drop("_listed")
     )
 
 
@@ -91,16 +93,16 @@ def fast_credits(
 ) -> DataFrame:
     """Credits issued within the given span after an application of the same client.
 
-    Both inputs are (client, at) and are laid on one time line per client and hour. Applications late
-    enough to reach into the next hour are copied there, which makes every hour complete in itself: a
-    busy client is many small groups instead of one, and a sliding count finds the pairs without
-    forming them.
+    Both inputs are (client, at) and are laid on one time line per client, cut into slots as long as the span.
+    Each application is in its own slot and, if it reaches there, in the next, which makes every slot complete
+    in itself: a busy client is many small groups instead of one, and a sliding count finds the pairs without
+    forming them. Rows without a client or a time match nothing.
     """
     near, far = (bound * 1_000_000 for bound in seconds)
-    slot = 3_600_000_000
-    if far > slot:
-        raise ValueError("the span must fit in one slot")
+    slot = max(far, 1)
     micros = F.unix_micros(F.col(at))
+    known = F.col(client).isNotNull() & F.col(at).isNotNull()
+    applications, credits = applications.filter(known), credits.filter(known)
     ends = F.array(F.floor(F.col("micros") / slot), F.floor((F.col("micros") + far) / slot))
     asked = applications.select(client, F.col(at), micros.alias("micros"), F.lit(1).alias("asked"))
     asked = asked.withColumn("slot", F.explode(F.array_distinct(ends)))
@@ -144,20 +146,20 @@ def held_after_fast_credit(
     first_day = F.col("day") == F.col("issued_day")
     last_day = F.col("day") == F.date_add("issued_day", hold_days)
     bounds = spread.groupBy(client, "day").agg(
-        F.min(F.when(first_day, F.col(credit_at))).alias("held_from"),
-        F.max(F.when(last_day, F.col(credit_at) + F.make_dt_interval(F.lit(hold_days)))).alias("held_until"),
-        F.max(~first_day & ~last_day).alias("held_all_day"),
+        F.min(F.when(first_day, F.col(credit_at))).alias("_held_from"),
+        F.max(F.when(last_day, F.col(credit_at) + F.make_dt_interval(F.lit(hold_days)))).alias("_held_until"),
+        F.max(~first_day & ~last_day).alias("_held_all_day"),
     )
     held = (
-        F.coalesce(F.col("held_all_day"), F.lit(False))
-        | F.coalesce(F.col(at) > F.col("held_from"), F.lit(False))
-        | F.coalesce(F.col(at) <= F.col("held_until"), F.lit(False))
+        F.coalesce(F.col("_held_all_day"), F.lit(False))
+        | F.coalesce(F.col(at) > F.col("_held_from"), F.lit(False))
+        | F.coalesce(F.col(at) <= F.col("_held_until"), F.lit(False))
     )
-    keyed = transactions.withColumn("day", F.to_date(at))
+    keyed = transactions.withColumn("_hold_day", F.to_date(at))
     return (
-        attach_list(keyed, bounds, [client, "day"], "left")
+        attach_list(keyed, bounds.withColumnRenamed("day", "_hold_day"), [client, "_hold_day"], "left")
         .withColumn("held", held)
-        .drop("day", "held_from", "held_until", "held_all_day")
+        .drop("_hold_day", "_held_from", "_held_until", "_held_all_day")
     )
 
 

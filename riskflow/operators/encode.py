@@ -2,27 +2,29 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from riskflow.fixed_values import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from riskflow.fixed_values import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
 
 FEATURES = "features"
 SCALED = "scaledFeatures"
-MAX_CATEGORIES = 10_000
 
 
 def check_categories(
-    df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES, limit: int = MAX_CATEGORIES
+    df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES, limit: int | None = None
 ) -> None:
-    """Fail before fitting when a column has too many values: an indexer keeps its labels on the driver.
+    """With a limit, fail before fitting when a column has more values: an indexer keeps its labels on the driver.
 
-    The sketches are a few kilobytes per task, whatever the columns hold.
+    The count is exact and runs before rows are multiplied. Without a limit nothing is counted.
     """
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    if limit is None:
+        return
+    counts = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
     wide = [c for c in columns if counts[c] > limit]
     if wide:
         raise ValueError(f"more than {limit} categories in {', '.join(wide)}")
@@ -81,6 +83,49 @@ def feature_pipeline(
     )
 
 
+def category_counts(
+    df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES, label: str = LABEL
+) -> DataFrame:
+    """Rows per class and value of each column: (column, value, label, n), in one pass."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    seen = df.select(F.col(label).alias("label"), F.explode(F.array(*cells)).alias("cell"))
+    return seen.groupBy("cell.column", "cell.value", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def fit_features(
+    df: DataFrame,
+    numeric: Sequence[str] = NUMERIC_FEATURES,
+    categorical: Sequence[str] = CATEGORICAL_FEATURES,
+    label: str = LABEL,
+    handle_invalid: str = "error",
+) -> tuple[PipelineModel, int]:
+    """What ``feature_pipeline`` fits on the balanced rows, and the number of copies that balance them.
+
+    Two passes over the rows as they are: class and category counts, and the range of each feature. Copies
+    change the order of categories by their number alone and a range not at all, so no row is repeated here.
+    Without a categorical column the classes are counted alone.
+    """
+    counted = category_counts(df, categorical or [label], label).collect()
+    first = (categorical or [label])[0]
+    by_class = {k: sum(r.n for r in counted if r.column == first and r.label == k) for k in (0, 1)}
+    if not by_class[1]:
+        raise ValueError("cannot balance: no row of the positive class")
+    copies = max(by_class[0] // by_class[1], 1)
+    weights: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
+    for r in counted:
+        if r.value is not None and r.label in (0, 1):
+            weights[r.column][r.value] += r.n * (copies if r.label else 1)
+    indexes = [
+        StringIndexerModel.from_labels(
+            sorted(weights[c], key=lambda v: (-weights[c][v], v)), c, f"{c}_index", handle_invalid
+        )
+        for c in categorical
+    ]
+    rows = df.filter(F.col(label).isin(0, 1))
+    stages = [*indexes, encoder(categorical, handle_invalid), assembler(numeric, categorical), scaler()]
+    return Pipeline(stages=stages).fit(rows), copies
+
+
 def _absent(field: T.StructField) -> Column:
     column = F.col(field.name)
     if isinstance(field.dataType, (T.FloatType, T.DoubleType)):

@@ -10,12 +10,11 @@ from riskflow.fixed_values import (
     TERMINAL_BUCKET,
     TERMINAL_FRAUD,
     TERMINAL_PERCENT,
-    TERMINAL_RANGE,
     TERMINAL_TOTAL,
     TIMESTAMP_FORMAT,
 )
 from riskflow.functions import parse_timestamp, percent_of, risk_bucket
-from riskflow.operators.joins import attach_by_range, attach_split
+from riskflow.operators.joins import attach_list, attach_stored
 
 
 def typed(cleaned: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -64,20 +63,15 @@ def terminal_profile(
 
 
 def enrich(
-    transactions: DataFrame,
-    profiles: DataFrame | None = None,
-    key: str = "terminal_id",
-    key_range: tuple[int, int] | None = TERMINAL_RANGE,
+    transactions: DataFrame, profiles: DataFrame | None = None, key: str = "terminal_id"
 ) -> DataFrame:
-    """Each transaction with its terminal's profile.
+    """Each transaction with its terminal's profile, whatever keys there are.
 
-    ``key_range`` is the range the cleaning rule enforced; it bounds the broadcast. Pass None for keys
-    without a range.
+    ``profiles`` default to those of the transactions themselves; given ones must be stored.
     """
-    profiles = terminal_profile(transactions, key) if profiles is None else profiles
-    if key_range is None:
-        return attach_split(transactions, profiles, key, TERMINAL_TOTAL)
-    return attach_by_range(transactions, profiles, key, key_range)
+    if profiles is None:
+        return attach_list(transactions, terminal_profile(transactions, key), [key], "left")
+    return attach_stored(transactions, profiles, [key], "left")
 
 
 def fraud_free_terminals(profiles: DataFrame, key: str = "terminal_id") -> DataFrame:

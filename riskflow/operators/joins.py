@@ -1,7 +1,9 @@
-"""Attach a lookup table to transactions when keys are skewed.
+"""Attach a lookup table with one row per key to rows whose keys may be skewed.
 
-A lookup is broadcast only when something proves it small: a key range that its rows cannot exceed, or a
-count of its rows. Everything else goes through ``attach_split``, which needs neither.
+A lookup is stored first, so that measuring it and joining it compute it once. It is broadcast if its rows and
+its bytes allow; a larger one joins by shuffle. There only the left side can hold a busy key, and as both sides
+are shuffled for this join alone, Spark splits the partition of such a key at run time. Either way the left
+side is read once.
 """
 
 from __future__ import annotations
@@ -13,52 +15,23 @@ from pyspark.sql import DataFrame, functions as F
 from riskflow.session import materialize
 
 BROADCAST_ROWS = 100_000
-HOT_SHARE = 1000
+BROADCAST_BYTES = 8 << 20  # of Parquet files, several times as much in memory
 
 
-def attach_by_range(left: DataFrame, lookup: DataFrame, key: str, key_range: tuple[int, int]) -> DataFrame:
-    """Left join of a lookup with one row per whole-number key.
+def small_enough(stored: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a stored lookup may be broadcast, by its row count and the size of its files."""
+    files = stored.groupBy("_metadata.file_path").agg(
+        F.count(F.lit(1)).alias("n"), F.max("_metadata.file_size").alias("size")
+    )
+    n, bytes_ = files.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).head()
+    return n <= rows and bytes_ <= size
 
-    The range filter is the proof of size: at most ``high - low + 1`` rows are broadcast. Keys outside
-    the range find no match, so pass the range that the left rows have been filtered by.
-    """
-    low, high = key_range
-    if high - low + 1 > BROADCAST_ROWS:
-        raise ValueError("key range too wide to broadcast; use attach_split")
-    bounded = lookup.filter(F.col(key).between(low, high))
-    return left.join(F.broadcast(bounded), key, "left")
 
-
-def attach_split(left: DataFrame, lookup: DataFrame, key: str, weight: str) -> DataFrame:
-    """Left join of a lookup of any size with one row per key, safe against hot keys.
-
-    ``weight`` is a lookup column with the number of left rows per key. A key is hot when it holds more
-    than one in ``HOT_SHARE`` of them, so there are fewer than ``HOT_SHARE`` hot keys, whatever the data:
-    those lookup rows are broadcast and hot rows never move. The other rows join by shuffle, where no
-    key is large. Null keys match nothing and skip the join. The lookup is stored first, because all
-    parts read it.
-    """
-    stored = materialize(lookup, "lookup")
-    total = stored.agg(F.sum(weight)).scalar()
-    is_hot = F.col(weight) * HOT_SHARE > total
-    hot, cold = stored.filter(is_hot), stored.filter(~is_hot)
-    matched_hot = left.join(F.broadcast(hot), key, "inner")
-    rest = left.filter(F.col(key).isNotNull()).join(F.broadcast(hot.select(key)), key, "left_anti")
-    matched_cold = rest.join(cold, key, "left")
-    unkeyed = left.filter(F.col(key).isNull())
-    return matched_hot.unionByName(matched_cold).unionByName(unkeyed, allowMissingColumns=True)
-
-
-def small_enough(lookup: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most ``rows + 1`` rows of a stored lookup to decide whether it may be broadcast."""
-    return lookup.limit(rows + 1).count() <= rows
+def attach_stored(left: DataFrame, stored: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Semi, anti or left join of a lookup that has been written already."""
+    return left.join(F.broadcast(stored) if small_enough(stored) else stored, list(on), how)
 
 
 def attach_list(left: DataFrame, lookup: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Semi, anti or left join of a lookup with one row per key, broadcast if its row count allows.
-
-    The lookup is stored first, so that counting it and joining it compute it once. A longer lookup joins
-    by shuffle; only the left side can then be skewed, and Spark splits its skewed partitions at run time.
-    """
-    stored = materialize(lookup, "lookup")
-    return left.join(F.broadcast(stored) if small_enough(stored) else stored, list(on), how)
+    """Semi, anti or left join of a lookup with one row per key."""
+    return attach_stored(left, materialize(lookup, "lookup"), on, how)

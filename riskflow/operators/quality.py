@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskflow.fixed_values import (
+    LABEL,
     MISSING_NUMERIC_COLUMNS,
     MISSING_TEXT_COLUMNS,
     PROFILE_ALL,
@@ -43,6 +44,8 @@ class Rules:
     positive: tuple[str, ...] = ("tx_amount", "customer_id")
     timestamp: str = "tx_datetime"
     require_timestamp: bool = False
+    whole: tuple[str, ...] = ("customer_id",)
+    binary: tuple[str, ...] = (LABEL,)
 
 
 def _in_range(rules: Rules) -> Column:
@@ -57,14 +60,22 @@ def _any_blank(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [is_blank(F.col(c)) for c in columns])
 
 
-def verdict(rules: Rules = Rules(), width: str | None = None) -> Column:
-    """``kept`` or the first rule a row breaks. ``width`` names a field-count column, if there is one."""
+def verdict(rules: Rules = Rules(), width: str | None = None, fits: str | None = None) -> Column:
+    """``kept`` or the first rule a row breaks.
+
+    ``width`` names a field-count column and ``fits`` one that tells whether the row's file has the expected
+    columns, if there are such. Whole and binary columns must be readable as what they are stored as.
+    """
     checks: list[tuple[str, Column]] = []
+    if fits:
+        checks.append(("other_columns", F.col(fits)))
     if width:
         checks.append(("ragged", F.col(width) == len(rules.columns)))
     checks.append(("terminal_out_of_range", _in_range(rules)))
     checks += [(f"{c}_not_positive", _positive(c)) for c in rules.positive]
     checks.append(("blank_field", ~_any_blank(rules.columns)))
+    checks += [(f"{c}_unreadable", F.col(c).try_cast("bigint").isNotNull()) for c in rules.whole]
+    checks += [(f"{c}_not_0_or_1", F.col(c).try_cast("int").isin(0, 1)) for c in rules.binary]
     if rules.require_timestamp:
         checks.append(("bad_timestamp", parse_timestamp(F.col(rules.timestamp)).isNotNull()))
     broken = [F.when(~F.coalesce(passes, F.lit(False)), F.lit(name)) for name, passes in checks]
@@ -103,11 +114,15 @@ def audit_lines(lines: DataFrame, rules: Rules = Rules(), by: Sequence[str] = ()
     """The audit of text lines (``value``) without header, with the field count as ``n_fields``.
 
     Lines are equal exactly when all their fields are, so they are counted before they are split: the
-    shuffle carries one text per row instead of one per field, and only distinct lines are parsed.
+    shuffle carries one text per row instead of one per field, and only distinct lines are parsed. A rejected
+    row keeps its whole line as ``line``, so that nothing of it is lost. Lines with a column ``fits`` are
+    rejected where it is false.
     """
-    copies = lines.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("copies"))
-    parsed = parse_lines(copies, rules.columns, keep=(*by, "copies"))
-    return parsed.withColumn("verdict", verdict(rules, "n_fields"))
+    fits = [c for c in ("fits",) if c in lines.columns]
+    copies = lines.groupBy(*by, *fits, "value").agg(F.count(F.lit(1)).alias("copies"))
+    parsed = parse_lines(copies, rules.columns, keep=(*by, *fits, "copies", "value"))
+    judged = parsed.withColumn("verdict", verdict(rules, "n_fields", *fits))
+    return judged.withColumn("line", F.when(F.col("verdict") != KEPT, F.col("value"))).drop("value", *fits)
 
 
 def kept_rows(audited: DataFrame, rules: Rules = Rules(), by: Sequence[str] = ()) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskflow.fixed_values import BOOTSTRAP_RATE, LABEL, SPLIT_WEIGHTS
-from riskflow.functions import split_index
+from riskflow.functions import hash_slice, poisson_drawn, poisson_weight, split_index
+from riskflow.functions.hashing import digest
 
 COPY = "copy_no"
 
@@ -28,15 +29,17 @@ def _copies(balance: DataFrame) -> Column:
     return balance.select(ratio.otherwise(F.raise_error(message)).cast("int")).scalar()
 
 
-def oversample(df: DataFrame, label: str = LABEL) -> DataFrame:
+def oversample(df: DataFrame, label: str = LABEL, copies: int | None = None) -> DataFrame:
     """Repeat every positive row so that classes are about equal; ``copy_no`` counts from 1.
 
+    Pass ``copies`` where the classes have been counted already.
+
     The ratio is a scalar subquery: one narrow pass over the label column, one over the rows, no shuffle
     of rows and no union. Negative rows stay once, rows of neither class are dropped. When negatives are
     fewer than positives the rows stay as they are.
     """
-    copies = _copies(class_balance(df, label))
-    times = F.when(F.col(label) == 1, copies).otherwise(F.lit(1))
+    number = F.lit(copies) if copies else _copies(class_balance(df, label))
+    times = F.when(F.col(label) == 1, number).otherwise(F.lit(1))
     return df.filter(F.col(label).isin(0, 1)).withColumn(COPY, F.explode(F.sequence(F.lit(1), times)))
 
 
@@ -49,18 +52,22 @@ def oversample_by_union(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def with_split(
-    df: DataFrame, id_columns: Sequence[str], weights: Sequence[float] = SPLIT_WEIGHTS, salt: str = ""
+    df: DataFrame,
+    id_columns: Sequence[str],
+    weights: Sequence[float] = SPLIT_WEIGHTS,
+    salt: str = "",
+    name: str = "split",
 ) -> DataFrame:
-    """Number of the split as column ``split``; a row keeps its split in every run."""
-    return df.withColumn("split", split_index([F.col(c) for c in id_columns], weights, salt))
+    """Number of the split as column ``name``; a row keeps its split in every run."""
+    return df.withColumn(name, split_index([F.col(c) for c in id_columns], weights, salt))
 
 
 def hash_split(
     df: DataFrame, id_columns: Sequence[str], weights: Sequence[float] = SPLIT_WEIGHTS, salt: str = ""
 ) -> list[DataFrame]:
     """Disjoint parts by hash of ids: no sort, no shuffle, and stable when a lost part is computed again."""
-    numbered = with_split(df, id_columns, weights, salt)
-    return [numbered.filter(F.col("split") == i).drop("split") for i in range(len(weights))]
+    part = split_index([F.col(c) for c in id_columns], weights, salt)
+    return [df.filter(part == i) for i in range(len(weights))]
 
 
 def random_split(df: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS, seed: int = 42) -> list[DataFrame]:
@@ -68,5 +75,14 @@ def random_split(df: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS, seed:
     return df.randomSplit(list(weights), seed)
 
 
+def hash_sample(
+    df: DataFrame, id_columns: Sequence[str], rate: float = BOOTSTRAP_RATE, salt: str = ""
+) -> DataFrame:
+    """A sample with replacement that every run repeats: each row as often as a Poisson draw from its ids says."""
+    draw = hash_slice(digest([F.col(c) for c in id_columns], salt), 0)
+    copies = F.sequence(F.lit(1), poisson_weight(draw, rate))
+    return df.filter(poisson_drawn(draw, rate)).withColumn(COPY, F.explode(copies))
+
+
 def sample_with_replacement(df: DataFrame, fraction: float = BOOTSTRAP_RATE, seed: int = 42) -> DataFrame:
     return df.sample(True, fraction, seed)

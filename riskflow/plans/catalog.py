@@ -8,16 +8,15 @@ from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskflow.fixed_values import NUMERIC_FEATURES, RAW_COLUMNS, REFIT_SEED, REFIT_WEIGHTS, TERMINAL_TOTAL
+from riskflow.fixed_values import NUMERIC_FEATURES, RAW_COLUMNS, REFIT_SEED, REFIT_WEIGHTS
 from riskflow.functions import risk_bucket
 from riskflow.operators import classify, compare, decide, features, quality, sampling
 from riskflow.operators.encode import assembler, encoder, indexer, skipped_rows
 from riskflow.operators.evaluate import confusion, confusion_matrix, long_metrics, metrics
-from riskflow.operators.joins import attach_split
 from riskflow.operators.quality import Rules
 from riskflow.plans import jobs, stand_ins
 from riskflow.session import materialize, new_path, pin_time_zone
-from riskflow.sources import parse_lines, ragged_rows, read_table
+from riskflow.sources import parse_lines, ragged_rows, read_delimited, read_table
 from riskflow.streaming import decode_messages, land_lines, start_table
 
 # Fits that run at a time. Each keeps its own copy of the training rows, in memory or on disk.
@@ -63,6 +62,18 @@ def text_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_lines(lines, RAW_COLUMNS, stand_ins.HEADER)
 
 
+def file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written as a file per day, an empty one among them, and read by the header of each."""
+    source = new_path(spark, "raw-files")
+    files = stand_ins.raw_files(_events(spark, sf_dir))
+    files.repartition("day").sortWithinPartitions("day", "place").select("day", "value").write.partitionBy(
+        "day"
+    ).text(source)
+    files.select("value").limit(0).coalesce(1).write.text(f"{source}/day=1900-01-01")
+    parsed, _ = read_delimited(spark, source)
+    return parsed.drop("source_file").withColumn("source_date", F.col("source_date").cast("string"))
+
+
 def ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ragged_rows(text_ingest(spark, sf_dir), RAW_COLUMNS)
 
@@ -87,6 +98,11 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rejected_rows(quality.audit(_raw(spark, sf_dir), STRICT))
 
 
+def quarantine_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = stand_ins.raw_lines(_events(spark, sf_dir)).filter(F.col("value") != stand_ins.HEADER)
+    return quality.rejected_rows(quality.audit_lines(lines, STRICT))
+
+
 # Features
 
 
@@ -117,10 +133,11 @@ def enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enrich_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    transactions = _lineitem(spark, sf_dir)
-    return attach_split(
-        transactions, features.terminal_profile(transactions), "terminal_id", TERMINAL_TOTAL
-    )
+    return features.enrich(_lineitem(spark, sf_dir))
+
+
+def enrich_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.enrich(stand_ins.order_transactions(_table(spark, sf_dir, "orders")))
 
 
 def fraud_free_terminals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,8 +178,27 @@ def hash_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = sampling.random_split(_events(spark, sf_dir), REFIT_WEIGHTS, REFIT_SEED)
-    return parts[0].unionByName(parts[1]).select("event_id")
+    """Each row with the number of parts it is in, whether another run puts it into the same one, and whether the
+    parts' sizes are within five standard deviations of their weights."""
+    events = _events(spark, sf_dir).select("event_id")
+
+    def parts() -> DataFrame:
+        split = sampling.random_split(events, REFIT_WEIGHTS, REFIT_SEED)
+        return split[0].withColumn("part", F.lit(0)).unionByName(split[1].withColumn("part", F.lit(1)))
+
+    first = parts().groupBy("event_id").agg(F.count("part").alias("n_parts"), F.max("part").alias("part"))
+    again = parts().withColumnRenamed("part", "again")
+    n, size = F.count(F.lit(1)), F.count_if(F.col("part") == 0)
+    share = REFIT_WEIGHTS[0] / sum(REFIT_WEIGHTS)
+    near = F.abs(size - n * share) <= 5 * F.sqrt(n * share * (1 - share))
+    sized = first.agg(near.alias("sizes_fit")).scalar()
+    return first.join(again, "event_id").select(
+        "event_id", "n_parts", (F.col("part") == F.col("again")).alias("same_again"), sized.alias("sizes_fit")
+    )
+
+
+def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.hash_sample(_events(spark, sf_dir), ["event_id"]).select("event_id", sampling.COPY)
 
 
 def sample_with_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,31 +316,66 @@ def prepared_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).groupBy("split", "tx_fraud").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _sound(predictions: DataFrame) -> DataFrame:
+    """Predictions without what only the model knows, and whether that is sound."""
+    likely = F.col("probability") > 0.5
+    sound = F.col("probability").between(0, 1) & ((F.col("prediction") == 1) == likely)
+    return predictions.withColumn("sound", sound).drop("probability", "prediction")
+
+
+def _class_totals(measured: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows per actual class, and whether the metrics follow from the confusion counts."""
+    n = F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
+    right = F.abs(F.col("accuracy") - (F.col("tp") + F.col("tn")) / n) < 1e-9
+    bounded = [F.col(m).between(0, 1) for m in ("precision", "recall", "f1")]
+    return measured.select(
+        *[F.col(c).cast("bigint").alias(c) for c in keep],
+        (F.col("tp") + F.col("fn")).cast("bigint").alias("positives"),
+        (F.col("tn") + F.col("fp")).cast("bigint").alias("negatives"),
+        (right & bounded[0] & bounded[1] & bounded[2]).alias("sound"),
+    )
+
+
+def _searched(spark: SparkSession, fitted, grid: list[dict]) -> DataFrame:
+    """Every point of the grid, whether its score is one, and how many were chosen."""
+    found = classify.search_results(spark, fitted, grid)
+    chosen = found.agg(F.count_if("chosen").alias("n")).scalar()
+    return found.select(
+        "reg_param",
+        "fit_intercept",
+        "elastic_net_param",
+        F.col("auc").between(0, 1).alias("sound"),
+        chosen.alias("n_chosen"),
+    )
+
+
 def train_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready = jobs.prepare(_features(spark, sf_dir))
     model = classify.logistic().fit(ready.train)
-    return classify.predict(model, ready.test, [jobs.ID, sampling.COPY])
+    return _sound(classify.predict(model, ready.test, [jobs.ID, sampling.COPY]))
 
 
 def train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.train_job(
+    measured = jobs.train_job(
         spark,
         _features(spark, sf_dir),
         new_path(spark, "runs"),
         new_path(spark, "model"),
         "catalog",
     )
+    return _class_totals(measured)
 
 
 def training_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready = jobs.prepare(_features(spark, sf_dir))
-    return classify.training_summary(spark, classify.logistic().fit(ready.train))
+    found = classify.training_summary(spark, classify.logistic().fit(ready.train))
+    return found.select("metric", F.col("value").between(0, 1).alias("sound"))
 
 
 def train_leak_free(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready = jobs.prepare_leak_free(_stored(spark, sf_dir))
     model = classify.logistic().fit(ready.train)
-    return classify.evaluate(classify.predict(model, ready.test, [jobs.ID]))
+    return _class_totals(classify.evaluate(classify.predict(model, ready.test, [jobs.ID])))
 
 
 def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,26 +383,34 @@ def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     estimator = classify.logistic()
     grid = classify.parameter_grid(estimator)
     fitted = classify.tune(ready.train, estimator, grid, parallelism=SEARCH_PARALLELISM)
-    return classify.search_results(spark, fitted, grid)
+    return _searched(spark, fitted, grid)
 
 
 def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready = jobs.prepare(_features(spark, sf_dir))
     estimator = classify.logistic()
-    grid = classify.parameter_grid(estimator, fit_intercepts=(True,), elastic_net_params=(0.5,))
+    grid = classify.parameter_grid(estimator)
     fitted = classify.cross_validate(ready.train, estimator, grid, parallelism=SEARCH_PARALLELISM)
-    return classify.search_results(spark, fitted, grid)
+    return _searched(spark, fitted, grid)
 
 
 def score_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tune, refit the best parameters, save, load and score; report and predictions are written and read."""
     prepared = _features(spark, sf_dir)
-    path = new_path(spark, "model")
-    jobs.refit(prepared, classify.logistic(), path)
-    return jobs.score_job(spark, prepared, path)
+    model, report, scored = (new_path(spark, name) for name in ("model", "report", "scored"))
+    jobs.tune_job(spark, prepared, model, report, SEARCH_PARALLELISM)
+    measured = jobs.score_job(spark, prepared, model, target=scored)
+    names = ("rows", "scored", "skipped", "tp", "tn", "fp", "fn", "accuracy", "precision", "recall", "f1")
+    wide = measured.groupBy().pivot("metric", list(names)).agg(F.first("value"))
+    written = spark.read.parquet(scored).count()
+    reports = spark.read.text(report).filter("value LIKE 'parameters regParam %'").count()
+    return _class_totals(wide, names[:3]).select(
+        "*", F.lit(written).cast("bigint").alias("written"), F.lit(reports).cast("bigint").alias("reports")
+    )
 
 
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.compare_job(spark, _features(spark, sf_dir), SEARCH_PARALLELISM)
+    return jobs.compare_job(spark, _features(spark, sf_dir), SEARCH_PARALLELISM).select("section", "name")
 
 
 def ab_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,6 +500,7 @@ def service_goals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "text_ingest": text_ingest,
+        "file_ingest": file_ingest,
         "ragged_rows": ragged,
         "profile": profile,
         "missing_by_column": missing_by_column,
@@ -428,12 +508,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clean": clean,
         "reject_reasons": reject_reasons,
         "quarantine": quarantine,
+        "quarantine_lines": quarantine_lines,
         "typed_features": typed_features,
         "terminal_rate": terminal_rate,
         "terminal_rate_lineitem": terminal_rate_lineitem,
         "risk_bucket": risk_buckets,
         "enrich": enrich,
         "enrich_unbounded": enrich_unbounded,
+        "enrich_orders": enrich_orders,
         "fraud_free_terminals": fraud_free_terminals,
         "fraud_free_first": fraud_free_first,
         "class_balance": class_balance,
@@ -443,6 +525,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hash_split_counts": hash_split_counts,
         "random_split": random_split,
         "sample_with_replacement": sample_with_replacement,
+        "hash_sample": hash_sample,
         "string_index": string_index,
         "one_hot": one_hot,
         "min_max": min_max,

@@ -24,13 +24,13 @@ from riskflow.fixed_values import (
     TERMINAL_BUCKET,
 )
 from riskflow.operators import classify, compare
-from riskflow.operators.encode import SCALED, check_categories, feature_pipeline
+from riskflow.operators.encode import SCALED, check_categories, feature_pipeline, fit_features
 from riskflow.operators.evaluate import long_metrics
 from riskflow.operators.features import enrich, terminal_profile, typed
 from riskflow.operators.quality import KEPT, Rules, audit_lines, profile, reject_reasons
 from riskflow.operators.sampling import COPY, hash_split, oversample, with_split
-from riskflow.session import materialize, pin_time_zone
-from riskflow.sinks import log_run, model_report, run_rows, write_report_text, write_table
+from riskflow.session import materialize, pin_time_zone, run_scope, small_result
+from riskflow.sinks import log_run, model_report, report_lines, run_rows, write_report_text, write_table
 from riskflow.sources import kafka_options, parse_header, read_dated_lines, read_kafka_stream
 from riskflow.streaming import decode_messages, start_table
 
@@ -99,16 +99,19 @@ def prepare(
     numeric: Sequence[str] = NUMERIC_FEATURES,
     categorical: Sequence[str] = CATEGORICAL_FEATURES,
     weights: Sequence[float] = SPLIT_WEIGHTS,
+    max_categories: int | None = None,
 ) -> Prepared:
     """Balance, fit the encoding on everything, then split.
 
     Copies of a fraud can fall on both sides and the encoding has seen the test rows; ``prepare_leak_free``
-    avoids both.
+    avoids both. Rows are read three times, twice to fit and once to encode them, and repeated only in what
+    is written.
     """
-    check_categories(features, categorical)
-    balanced = oversample(features)
-    encoding = feature_pipeline(numeric, categorical).fit(balanced)
-    numbered = with_split(_encoded(balanced, encoding), [ID, COPY], weights)
+    check_categories(features, categorical, max_categories)
+    encoding, copies = fit_features(features, numeric, categorical)
+    once = encoding.transform(features).select(ID, LABEL, SCALED)
+    balanced = oversample(once, copies=copies).select(ID, COPY, LABEL, SCALED)
+    numbered = with_split(balanced, [ID, COPY], weights)
     stored = materialize(numbered, "encoded", ("split",))
     train, test = (stored.filter(F.col("split") == i).drop("split") for i in range(2))
     return Prepared(train, test, encoding)
@@ -119,19 +122,24 @@ def prepare_leak_free(
     numeric: Sequence[str] = NUMERIC_FEATURES,
     categorical: Sequence[str] = (TERMINAL_BUCKET,),
     weights: Sequence[float] = SPLIT_WEIGHTS,
+    max_categories: int | None = None,
 ) -> Prepared:
-    """Split first; terminal risk, encoding and balance come from training rows only."""
+    """Split first; terminal risk, encoding and balance come from training rows only.
+
+    The terminals' profile is stored once for both parts, and so are the training rows with it.
+    """
     train_rows, test_rows = hash_split(transactions, [ID], weights)
-    profiles = terminal_profile(train_rows)
-    train_features = oversample(enrich(train_rows, profiles))
+    profiles = materialize(terminal_profile(train_rows), "profiles")
+    train_features = materialize(enrich(train_rows, profiles), "train-features")
     unknown = F.coalesce(F.col(TERMINAL_BUCKET), F.lit(RISK_BUCKET_NULL))
     test_features = (
         enrich(test_rows, profiles).withColumn(TERMINAL_BUCKET, unknown).withColumn(COPY, F.lit(1))
     )
-    check_categories(train_features, categorical)
-    encoding = feature_pipeline(numeric, categorical, handle_invalid="keep").fit(train_features)
+    check_categories(train_features, categorical, max_categories)
+    encoding, copies = fit_features(train_features, numeric, categorical, handle_invalid="keep")
+    balanced = oversample(train_features, copies=copies)
     return Prepared(
-        materialize(_encoded(train_features, encoding), "encoded-train"),
+        materialize(_encoded(balanced, encoding), "encoded-train"),
         materialize(_encoded(test_features, encoding), "encoded-test"),
         encoding,
     )
@@ -141,14 +149,16 @@ def train_job(
     spark: SparkSession, features: DataFrame, runs_path: str, model_path: str, run_id: str
 ) -> DataFrame:
     """Fit the fixed-parameter model, log parameters and metrics, save encoding and model together."""
-    ready = prepare(features)
-    model = classify.logistic().fit(ready.train)
-    predictions = classify.predict(model, ready.test, [ID, COPY])
-    measured = materialize(classify.evaluate(predictions), "metrics")
-    log_run(run_rows(classify.parameters(spark, model), run_id, "LR", "param", "name"), runs_path)
-    log_run(run_rows(classify.training_summary(spark, model), run_id, "LR", "metric"), runs_path)
-    log_run(run_rows(long_metrics(measured), run_id, "LR", "metric"), runs_path)
-    classify.save_model(PipelineModel(stages=[*ready.encoding.stages, model]), model_path)
+    with run_scope(spark):
+        ready = prepare(features)
+        model = classify.logistic().fit(ready.train)
+        predictions = classify.predict(model, ready.test, [ID, COPY])
+        measured = small_result(classify.evaluate(predictions))
+        logged = run_rows(classify.parameters(spark, model), run_id, "LR", "param", "name")
+        for values in (classify.training_summary(spark, model), long_metrics(measured)):
+            logged = logged.unionByName(run_rows(values, run_id, "LR", "metric"))
+        log_run(logged, runs_path)
+        classify.save_model(PipelineModel(stages=[*ready.encoding.stages, model]), model_path)
     return measured
 
 
@@ -159,43 +169,83 @@ def both_predictions(ready: Prepared, tuned_model: object, fixed_model: object)
     return fixed.unionByName(tuned)
 
 
-def compare_job(spark: SparkSession, features: DataFrame, parallelism: int = 2) -> DataFrame:
-    """Fit both models and report metrics, t-test, intervals and the chosen parameters."""
-    ready = prepare(features)
+def _compared(spark: SparkSession, ready: Prepared, parallelism: int) -> tuple[DataFrame, object]:
+    """The report of the fixed and the tuned model, and the tuned model."""
     estimator = classify.logistic()
     fixed = estimator.fit(ready.train)
     tuned = classify.tune(ready.train, estimator, classify.parameter_grid(estimator), parallelism=parallelism)
     predictions = materialize(both_predictions(ready, tuned.bestModel, fixed), "predictions")
     replicates = compare.replicate_metrics(compare.replicate_counts(predictions, [ID, COPY]))
     measured = compare.moments(compare.long_scores(materialize(replicates, "replicates")))
-    return model_report(
+    report = model_report(
         compare.summary(predictions),
         compare.two_sample_test(measured, "LR", "LR_TV"),
         compare.mean_interval(measured),
         classify.parameters(spark, tuned.bestModel),
     )
+    return small_result(report), tuned.bestModel
+
+
+def compare_job(spark: SparkSession, features: DataFrame, parallelism: int = 2) -> DataFrame:
+    """Fit both models and report metrics, t-test, intervals and the chosen parameters."""
+    with run_scope(spark):
+        return _compared(spark, prepare(features), parallelism)[0]
 
 
-def refit(features: DataFrame, best: classify.LogisticRegressionModel, path: str) -> PipelineModel:
-    """Fit encoding and the best parameters on the larger part, and save them as one model."""
+def tune_job(
+    spark: SparkSession, features: DataFrame, model_path: str, report_path: str, parallelism: int = 2
+) -> DataFrame:
+    """Tune, write the report as text, fit the best parameters on the larger part and save that model."""
+    with run_scope(spark):
+        report, best = _compared(spark, prepare(features), parallelism)
+        report_lines(report).coalesce(1).write.mode("overwrite").text(report_path)
+        refit(features, best, model_path)
+    return report
+
+
+def refit(
+    features: DataFrame, best: classify.LogisticRegressionModel, path: str, handle_invalid: str = "error"
+) -> PipelineModel:
+    """Fit encoding and the best parameters on the larger part, and save them as one model.
+
+    With ``handle_invalid="keep"`` the model scores categories that it has not seen.
+    """
     balanced = oversample(features)
     train, _ = hash_split(balanced, [ID, COPY], REFIT_WEIGHTS, salt=str(REFIT_SEED))
     estimator = classify.logistic(
         best.getMaxIter(), best.getRegParam(), best.getElasticNetParam()
     ).setFitIntercept(best.getFitIntercept())
-    model = feature_pipeline(extra=[estimator]).fit(materialize(train, "refit"))
+    pipeline = feature_pipeline(handle_invalid=handle_invalid, extra=[estimator])
+    model = pipeline.fit(materialize(train, "refit"))
     classify.save_model(model, path)
     return model
 
 
 def score_job(
-    spark: SparkSession, features: DataFrame, model_path: str, runs_path: str | None = None, run_id: str = ""
+    spark: SparkSession,
+    features: DataFrame,
+    model_path: str,
+    runs_path: str | None = None,
+    run_id: str = "",
+    target: str | None = None,
 ) -> DataFrame:
-    """Score a whole table with a saved model; metrics as (metric, value), logged if a path is given."""
-    predictions = classify.predict(classify.load_model(model_path), features, [ID])
-    measured = materialize(long_metrics(classify.evaluate(predictions)), "metrics")
-    if runs_path:
-        log_run(run_rows(measured, run_id, "saved", "metric"), runs_path)
+    """Score a whole table with a saved model; metrics as (metric, value), logged if a path is given.
+
+    ``rows`` are those of the table, ``skipped`` those with a missing feature, which the model leaves out.
+    Predictions are written to ``target`` if it is given.
+    """
+    with run_scope(spark):
+        predictions = classify.predict(classify.load_model(model_path), features, [ID])
+        stored = materialize(predictions, "predictions") if target is None else predictions
+        if target:
+            write_table(predictions, target, "overwrite")
+            stored = spark.read.schema(predictions.schema).parquet(target)
+        rows, scored = features.count(), stored.count()
+        counts = [("rows", float(rows)), ("scored", float(scored)), ("skipped", float(rows - scored))]
+        counted = spark.createDataFrame(counts, "metric string, value double")
+        measured = small_result(long_metrics(classify.evaluate(stored)).unionByName(counted))
+        if runs_path:
+            log_run(run_rows(measured, run_id, "saved", "metric"), runs_path)
     return measured
 
 

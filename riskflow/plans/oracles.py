@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from riskflow.fixed_values import GRID_ELASTIC_NET_PARAM, GRID_FIT_INTERCEPT, GRID_REG_PARAM
 from riskflow.plans.stand_ins import HEADER
 
 _RAW = """
@@ -13,12 +14,13 @@ marked AS (
 raw AS (
   SELECT CAST(event_id AS VARCHAR) AS tranaction_id,
          CASE mark WHEN '0b' THEN '   ' WHEN '0c' THEN substr(moment, 1, 10) || ' 24:00:00' ELSE moment END AS tx_datetime,
-         CASE mark WHEN '09' THEN '0' WHEN '0a' THEN NULL ELSE CAST(user_id + 1 AS VARCHAR) END AS customer_id,
+         CASE mark WHEN '09' THEN '0' WHEN '0a' THEN NULL WHEN '15' THEN '17.5'
+                   WHEN '16' THEN '12345678901234567890' ELSE CAST(user_id + 1 AS VARCHAR) END AS customer_id,
          CASE mark WHEN '05' THEN '0' WHEN '06' THEN '1000' WHEN '07' THEN 'abc'
                    WHEN '08' THEN ' ' || user_id || ' ' ELSE CAST(user_id AS VARCHAR) END AS terminal_id,
          CASE mark WHEN '00' THEN '' WHEN '01' THEN 'NaN' WHEN '02' THEN '-' || amount
                    WHEN '03' THEN '0' WHEN '04' THEN '0.5' ELSE amount END AS tx_amount,
-         CASE WHEN mark = '0e' THEN NULL WHEN event_type = 'error' THEN '1' ELSE '0' END AS tx_fraud,
+         CASE WHEN mark = '0e' THEN NULL WHEN mark = '17' THEN '2' WHEN mark = '18' THEN 'x' WHEN event_type = 'error' THEN '1' ELSE '0' END AS tx_fraud,
          CASE mark WHEN '0d' THEN '' ELSE event_type END AS tx_fraud_scenario
   FROM marked JOIN (VALUES (1), (2), (3)) AS copies(n)
     ON n <= CASE mark WHEN '0f' THEN 2 WHEN '10' THEN 3 ELSE 1 END)"""
@@ -33,18 +35,23 @@ def _blank(column: str) -> str:
 
 
 _ANY_BLANK = "(" + " OR ".join(_blank(c) for c in _COLUMNS.split(", ")) + ")"
+_WHOLE = "coalesce(regexp_full_match(trim(customer_id), '[+-]?[0-9]+') AND TRY_CAST(customer_id AS BIGINT) IS NOT NULL, false)"
+_BINARY = "coalesce(trim(tx_fraud) IN ('0', '1'), false)"
 _TIME = "try_strptime(tx_datetime, '%Y-%m-%d %H:%M:%S')"
 
-_VERDICT = f"""
-distinct_rows AS (SELECT {_COLUMNS}, count(*) AS copies FROM raw GROUP BY {_COLUMNS}),
-judged AS (
-  SELECT *, CASE
-    WHEN NOT coalesce(TRY_CAST(terminal_id AS INTEGER) BETWEEN 1 AND 999, false) THEN 'terminal_out_of_range'
+_CHECKS = f"""WHEN NOT coalesce(TRY_CAST(terminal_id AS INTEGER) BETWEEN 1 AND 999, false) THEN 'terminal_out_of_range'
     WHEN NOT coalesce(TRY_CAST(tx_amount AS DOUBLE) > 0, false) THEN 'tx_amount_not_positive'
     WHEN NOT coalesce(TRY_CAST(customer_id AS DOUBLE) > 0, false) THEN 'customer_id_not_positive'
     WHEN {_ANY_BLANK} THEN 'blank_field'
+    WHEN NOT {_WHOLE} THEN 'customer_id_unreadable'
+    WHEN NOT {_BINARY} THEN 'tx_fraud_not_0_or_1'
     WHEN {_TIME} IS NULL THEN 'bad_timestamp'
-    ELSE 'kept' END AS verdict
+    ELSE 'kept'"""
+
+_VERDICT = f"""
+distinct_rows AS (SELECT {_COLUMNS}, count(*) AS copies FROM raw GROUP BY {_COLUMNS}),
+judged AS (
+  SELECT *, CASE {_CHECKS} END AS verdict
   FROM distinct_rows)"""
 
 _CLEAN = f"""
@@ -52,7 +59,7 @@ clean AS (
   SELECT DISTINCT {_COLUMNS} FROM raw
   WHERE TRY_CAST(terminal_id AS INTEGER) BETWEEN 1 AND 999
     AND TRY_CAST(tx_amount AS DOUBLE) > 0 AND TRY_CAST(customer_id AS DOUBLE) > 0
-    AND NOT {_ANY_BLANK})"""
+    AND NOT {_ANY_BLANK} AND {_WHOLE} AND {_BINARY})"""
 
 _TYPED = f"""
 typed AS (
@@ -205,6 +212,32 @@ ranked AS (
   FROM {table} GROUP BY {column})"""
 
 
+_TOTALS = """SELECT count(*) FILTER (WHERE tx_fraud = 1) AS positives,
+  count(*) FILTER (WHERE tx_fraud = 0) AS negatives, true AS sound"""
+
+_GRID = f"""SELECT CAST(r AS DOUBLE) AS reg_param, i AS fit_intercept, CAST(e AS DOUBLE) AS elastic_net_param,
+       true AS sound, CAST(1 AS BIGINT) AS n_chosen
+FROM unnest({list(GRID_REG_PARAM)}) AS a(r), unnest({list(GRID_FIT_INTERCEPT)}) AS b(i),
+     unnest({list(GRID_ELASTIC_NET_PARAM)}) AS c(e)"""
+
+# The parts of a model report. Parameters are those that Spark's logistic regression has set or has a default for.
+_PARAMETERS = (
+    "aggregationDepth elasticNetParam family featuresCol fitIntercept labelCol maxBlockSizeInMB maxIter "
+    "predictionCol probabilityCol rawPredictionCol regParam standardization threshold tol"
+).split()
+_REPORT = "\nUNION ALL\n".join(
+    f"SELECT '{section}' AS section, unnest({names}) AS name"
+    for section, names in {
+        "metrics LR": ["accuracy", "precision", "recall", "f1", "tp", "tn", "fp", "fn"],
+        "metrics LR_TV": ["accuracy", "precision", "recall", "f1", "tp", "tn", "fp", "fn"],
+        "t-test f1": ["t", "p_value", "reject"],
+        "interval LR": ["low", "mean", "high"],
+        "interval LR_TV": ["low", "mean", "high"],
+        "parameters": _PARAMETERS,
+    }.items()
+)
+
+
 def _profile() -> str:
     measures = {
         "count_all_rows": "sum(copies)",
@@ -239,6 +272,14 @@ def oracle_sql() -> dict[str, str]:
     typed_rates = f"{typed}, {_rates('typed', 'terminal_id', 'tx_fraud = 1').strip()}"
     line_rates = _rates("lineitem", "l_suppkey", "l_returnflag = 'R'").strip()
     order_rates = _rates("orders", "o_custkey", "o_orderpriority = '1-URGENT'", "BIGINT").strip()
+    prepared = f"""{typed},
+        prepared AS (
+          SELECT tranaction_id, CAST(copies.n AS INTEGER) AS copy_no, tx_fraud,
+                 {_split_bucket("tranaction_id || ':' || copies.n || ':'", ['cccccccc'])} AS split
+          FROM typed,
+               (SELECT count(*) FILTER (WHERE tx_fraud = 0) // count(*) FILTER (WHERE tx_fraud = 1) AS k FROM typed),
+               unnest(range(1, CASE WHEN tx_fraud = 1 THEN greatest(k, 1) ELSE 1 END + 1)) AS copies(n)
+          WHERE hour_tx_datetime IS NOT NULL)"""
     balance = """balance AS (
       SELECT count(*) FILTER (WHERE l_returnflag <> 'R') AS n0, count(*) FILTER (WHERE l_returnflag = 'R') AS n1,
              greatest(count(*) FILTER (WHERE l_returnflag <> 'R') // count(*) FILTER (WHERE l_returnflag = 'R'), 1) AS k
@@ -246,13 +287,13 @@ def oracle_sql() -> dict[str, str]:
     oversampled = f"""WITH {balance}
       SELECT {_LINE_ID} AS tranaction_id, CAST(l_returnflag = 'R' AS INTEGER) AS tx_fraud,
              CAST(copies.n AS INTEGER) AS copy_no
-      FROM lineitem, balance, (SELECT range AS n FROM range(1, 1000)) AS copies
-      WHERE copies.n <= CASE WHEN l_returnflag = 'R' THEN k ELSE 1 END"""
+      FROM lineitem, balance, unnest(range(1, CASE WHEN l_returnflag = 'R' THEN k ELSE 1 END + 1)) AS copies(n)"""
     mark = "CASE event_type WHEN 'signup' THEN NULL WHEN 'view' THEN CAST('NaN' AS DOUBLE) ELSE value END"
     blacklist = """listed AS (
         SELECT DISTINCT user_id, CAST(ts AS DATE) AS first_day FROM events WHERE event_type = 'error' AND value > 150)"""
     return {
         "text_ingest": f"{raw}, {_LINES.strip()}\nSELECT {_FIELD_COLUMNS} FROM fields",
+        "file_ingest": f"{raw}, {_LINES.strip()}\nSELECT {_FIELD_COLUMNS}, day AS source_date, true AS fits FROM fields",
         "ragged_rows": f"""{raw}, {_LINES.strip()}
             SELECT {_FIELD_COLUMNS} FROM fields WHERE len(f) <> 7""",
         "profile": _profile(),
@@ -266,6 +307,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'duplicate', CAST(sum(copies) - count(*) AS BIGINT) FROM judged WHERE verdict = 'kept'""",
         "quarantine": f"""{raw}, {_VERDICT.strip()}
             SELECT {_COLUMNS}, copies, verdict AS reason FROM judged WHERE verdict <> 'kept'""",
+        "quarantine_lines": f"""{raw}, {_LINES.strip()},
+            split_lines AS (
+              SELECT line, count(*) AS copies, string_split(line, ',') AS f FROM lines
+              WHERE line <> '{HEADER}' GROUP BY line),
+            rows AS (SELECT {_FIELD_COLUMNS}, copies, line FROM split_lines),
+            judged AS (SELECT *, CASE WHEN n_fields <> 7 THEN 'ragged' {_CHECKS} END AS reason FROM rows)
+            SELECT * FROM judged WHERE reason <> 'kept'""",
         "typed_features": f"{typed}\nSELECT {_TYPED_COLUMNS} FROM typed",
         "terminal_rate": f"{typed_rates}\nSELECT terminal_id, {_RATE_COLUMNS} FROM rates",
         "terminal_rate_lineitem": f"WITH {line_rates}\nSELECT terminal_id, {_RATE_COLUMNS} FROM rates",
@@ -277,6 +325,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT {_LINE_ID} AS tranaction_id, terminal_id, l_extendedprice AS tx_amount,
                    CAST(l_returnflag = 'R' AS INTEGER) AS tx_fraud, l_linestatus AS tx_fraud_scenario, {_RATE_COLUMNS}
             FROM lineitem LEFT JOIN rates ON terminal_id = l_suppkey""",
+        "enrich_orders": f"""WITH {order_rates}
+            SELECT o_orderkey AS tranaction_id, terminal_id,
+                   CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS tx_fraud, {_RATE_COLUMNS}
+            FROM orders LEFT JOIN rates ON terminal_id = o_custkey""",
         "fraud_free_terminals": f"""WITH {order_rates}
             SELECT terminal_id, cnt_transactions_on_terminal_id FROM rates
             WHERE cnt_fraud_transactions_on_terminal_id IS NULL""",
@@ -294,8 +346,13 @@ def oracle_sql() -> dict[str, str]:
         "hash_split_counts": f"""SELECT split, count(*) AS n
             FROM (SELECT {_split_bucket(_LINE_ID + " || ':42'", ['b3333333'])} AS split FROM lineitem)
             GROUP BY split""",
-        # The parts of a random split hold every row once.
-        "random_split": "SELECT event_id FROM events",
+        # The parts of a random split hold every row once, whatever they are.
+        "random_split": """SELECT event_id, CAST(1 AS BIGINT) AS n_parts, true AS same_again, true AS sizes_fit
+            FROM events""",
+        "hash_sample": f"""WITH draws AS (
+              SELECT event_id, CAST('0x' || substr(md5(CAST(event_id AS VARCHAR) || ':'), 1, 8) AS BIGINT) AS draw FROM events)
+            SELECT event_id, CAST(copies.n AS INTEGER) AS copy_no
+            FROM (SELECT event_id, {_WEIGHT} AS w FROM draws), unnest(range(1, w + 1)) AS copies(n)""",
         "string_index": f"""WITH {_RANKED.format(table='events', column='event_type').strip()}
             SELECT event_id, event_type, CAST(i AS DOUBLE) AS event_type_index
             FROM events JOIN ranked ON category = event_type""",
@@ -355,13 +412,28 @@ def oracle_sql() -> dict[str, str]:
         "json_decode": _DECODED,
         "stream_decode": _DECODED,
         "stream_landing": f"{raw}, {_LINES.strip()}\nSELECT {_FIELD_COLUMNS}, day AS source_date FROM fields",
+        "train_predict": f"""{prepared}
+            SELECT tranaction_id, copy_no, tx_fraud, true AS sound FROM prepared WHERE split = 1""",
+        "train_metrics": f"{prepared}\n{_TOTALS} FROM prepared WHERE split = 1",
+        "training_summary": "SELECT * FROM (VALUES ('accuracy', true), ('areaUnderROC', true)) AS t(metric, sound)",
+        "train_leak_free": f"""{typed}
+            {_TOTALS} FROM typed
+            WHERE hour_tx_datetime IS NOT NULL AND {_split_bucket("tranaction_id || ':'", ['cccccccc'])} = 1""",
+        "grid_search": _GRID,
+        "cross_validation": _GRID,
+        "score_saved": f"""{typed}
+            SELECT count(*) AS rows, count(hour_tx_datetime) AS scored, count(*) - count(hour_tx_datetime) AS skipped,
+                   count(*) FILTER (WHERE tx_fraud = 1 AND hour_tx_datetime IS NOT NULL) AS positives,
+                   count(*) FILTER (WHERE tx_fraud = 0 AND hour_tx_datetime IS NOT NULL) AS negatives,
+                   true AS sound, count(hour_tx_datetime) AS written, CAST(1 AS BIGINT) AS reports FROM typed""",
+        "model_comparison": _REPORT,
         "prepared_rows": f"""{typed}
             SELECT split, tx_fraud, count(*) AS n FROM (
               SELECT tx_fraud, {_split_bucket("tranaction_id || ':' || copies.n || ':'", ['cccccccc'])} AS split
               FROM typed,
                    (SELECT count(*) FILTER (WHERE tx_fraud = 0) // count(*) FILTER (WHERE tx_fraud = 1) AS k FROM typed),
-                   (SELECT range AS n FROM range(1, 1000)) AS copies
-              WHERE hour_tx_datetime IS NOT NULL AND copies.n <= CASE WHEN tx_fraud = 1 THEN greatest(k, 1) ELSE 1 END)
+                   unnest(range(1, CASE WHEN tx_fraud = 1 THEN greatest(k, 1) ELSE 1 END + 1)) AS copies(n)
+              WHERE hour_tx_datetime IS NOT NULL)
             GROUP BY split, tx_fraud""",
         "decision_tiers": f"""SELECT event_id, CASE WHEN value >= 100 THEN 'red' WHEN value >= 40 THEN 'yellow'
             ELSE 'green' END AS decision FROM events""",

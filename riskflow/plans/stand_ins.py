@@ -37,7 +37,12 @@ def raw_transactions(events: DataFrame) -> DataFrame:
         ),
         "customer_id": _swap(
             mark,
-            {"09": F.lit("0"), "0a": F.lit(None).cast("string")},
+            {
+                "09": F.lit("0"),
+                "0a": F.lit(None).cast("string"),
+                "15": F.lit("17.5"),
+                "16": F.lit("12345678901234567890"),
+            },
             (F.col("user_id") + 1).cast("string"),
         ),
         "terminal_id": _swap(
@@ -63,7 +68,7 @@ def raw_transactions(events: DataFrame) -> DataFrame:
         ),
         "tx_fraud": _swap(
             mark,
-            {"0e": F.lit(None).cast("string")},
+            {"0e": F.lit(None).cast("string"), "17": F.lit("2"), "18": F.lit("x")},
             F.when(F.col("event_type") == "error", "1").otherwise("0"),
         ),
         "tx_fraud_scenario": _swap(mark, {"0d": F.lit("")}, F.col("event_type")),
@@ -91,6 +96,28 @@ def raw_lines(events: DataFrame) -> DataFrame:
     return raw.select(line.alias("value"), F.when(day == "", "1970-01-01").otherwise(day).alias("day"))
 
 
+def raw_files(events: DataFrame) -> DataFrame:
+    """The same lines as files by day, each with its header first: (day, place, value).
+
+    On even days customer and terminal have changed places, in the header and in complete rows.
+    """
+    lines = raw_lines(events)
+    names = HEADER.split(" | ")
+    names[2], names[3] = names[3], names[2]
+    swapped = F.dayofmonth(F.col("day").try_cast("date")) % 2 == 0
+    fields = F.split("value", ",")
+    order = [F.get(fields, F.lit(i)) for i in (0, 1, 3, 2, 4, 5, 6)]
+    moved = F.when(F.col("value") == HEADER, " | ".join(names)).when(
+        F.size(fields) == len(names), F.concat_ws(",", *order)
+    )
+    rows = lines.select(
+        "day", F.lit(1).alias("place"), F.coalesce(F.when(swapped, moved), F.col("value")).alias("value")
+    )
+    header = F.when(swapped, " | ".join(names)).otherwise(HEADER)
+    headers = lines.select("day").distinct().select("day", F.lit(0).alias("place"), header.alias("value"))
+    return rows.unionByName(headers)
+
+
 def lineitem_transactions(lineitem: DataFrame) -> DataFrame:
     """Line items as typed transactions: suppliers are terminals, returned items are frauds."""
     return lineitem.select(

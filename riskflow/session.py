@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def build_session(app_name: str = "riskflow", master: str | None = None, **conf: object) -> SparkSession:
@@ -47,7 +49,7 @@ def scratch_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith(("local[", "local ")) and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app_id = spark.sparkContext.applicationId
     if app_id not in _local_scratch:
@@ -56,8 +58,33 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other run uses; the innermost ``run_scope`` deletes it."""
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def run_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the intermediate tables that are made inside.
+
+    For jobs whose results are written elsewhere or are small: nothing that is still to be read may rest on
+    these tables.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for name in _scopes.pop():
+            path = hadoop(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def small_result(df: DataFrame) -> DataFrame:
+    """A result of a few rows, held by the driver, so that it outlives the scope it was computed in."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
 def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskflow.fixed_values import FIELD_DELIMITER, HEADER_DELIMITER, HEADER_RENAMES
+from riskflow.session import materialize
 
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 
@@ -29,16 +30,15 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def read_header(spark: SparkSession, path: str | Sequence[str]) -> str:
-    """The first line of the first file by name: one row to the driver.
+    """The first line of the first file by name that has one: one row to the driver."""
+    return _first_header(file_headers(spark, path), path)
 
-    Only a block at offset zero starts with a header, so later blocks are left out.
-    """
-    files = sorted(spark.read.text(path).inputFiles())
-    lines = spark.read.text(files[:1]).filter(F.col("_metadata.file_block_start") == 0) if files else None
-    first = lines.select("value").head(1) if files else None
+
+def _first_header(headers: DataFrame, path: str | Sequence[str]) -> str:
+    first = headers.orderBy("source_file").select("header").head(1)
     if not first:
         raise ValueError(f"no lines in {path}")
-    return first[0]["value"]
+    return first[0]["header"]
 
 
 def file_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -71,12 +71,17 @@ def source_date(path: Column) -> Column:
     folder = F.substring_index(F.substring_index(F.substring_index(path, "/", -2), "/", 1), "=", -1)
     dates = F.regexp_extract_all(path, F.lit(DATE_IN_NAME), F.lit(1))
     return F.coalesce(
-        F.substring(name, 1, 10).try_cast("date"),
-        F.substring(folder, 1, 10).try_cast("date"),
+        _exact_date(F.substring(name, 1, 10)),
+        _exact_date(F.substring(folder, 1, 10)),
         F.try_element_at(dates, F.lit(-1)).try_cast("date"),
     )
 
 
+def _exact_date(text: Column) -> Column:
+    """The date that is spelled out in full; a cast alone would also take years and other short forms."""
+    return F.when(text.rlike(f"^{DATE_IN_NAME}$"), text.try_cast("date"))
+
+
 def with_source_date(df: DataFrame, file_column: str = "source_file") -> DataFrame:
     return df.withColumn("source_date", source_date(F.col(file_column)))
 
@@ -118,26 +123,48 @@ def ragged_rows(parsed: DataFrame, columns: Sequence[str]) -> DataFrame:
     return parsed.filter(F.col("n_fields") != len(columns))
 
 
-def read_delimited(
-    spark: SparkSession, path: str | Sequence[str], check_headers: bool = False
-) -> tuple[DataFrame, list[str]]:
-    """Read files that share one header: (parsed rows with file and date, column names)."""
-    lines, header = read_dated_lines(spark, path, check_headers)
+def read_delimited(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Read files by their headers: (parsed rows with file, date and ``fits``, column names)."""
+    lines, header = read_dated_lines(spark, path)
     columns = parse_header(header)
-    return parse_lines(lines, columns, keep=("source_file", "source_date")), columns
+    return parse_lines(lines, columns, keep=("source_file", "source_date", "fits")), columns
 
 
-def read_dated_lines(
-    spark: SparkSession, path: str | Sequence[str], check_headers: bool = False
-) -> tuple[DataFrame, str]:
-    """Lines of files that share one header, without it: (lines with file and date, header).
+def read_dated_lines(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataFrame, str]:
+    """Lines of files without their headers: (value, source_file, source_date, fits), and the first header.
 
-    ``check_headers`` costs one more scan and fails when a file starts with another line, which
-    would otherwise be read as a row.
+    Every file's own header is read. Lines of a file with the same columns in another order are put into the
+    order of the first header; lines of a file with other columns stay as they are and do not fit. The
+    headers cost one scan of the files' first blocks; lines are joined with them only if some differ.
     """
-    header = read_header(spark, path)
-    if check_headers:
-        others = file_headers(spark, path).filter(F.col("header") != header).head(1)
-        if others:
-            raise ValueError(f"{others[0]['source_file']} has another header")
-    return read_lines(spark, path).filter(F.col("value") != header).transform(with_source_date), header
+    headers = materialize(file_headers(spark, path), "headers")
+    header = _first_header(headers, path)
+    lines = read_lines(spark, path)
+    others = headers.filter(F.col("header") != header)
+    if others.isEmpty():
+        lines = lines.filter(F.col("value") != header).withColumn("fits", F.lit(True))
+    else:
+        lines = _in_order(lines, others, header)
+    return lines.transform(with_source_date), header
+
+
+def _in_order(lines: DataFrame, others: DataFrame, header: str) -> DataFrame:
+    """Lines of all files in the order of ``header``; ``others`` are the files with another one."""
+    columns = parse_header(header)
+    plain = F.split(F.regexp_replace("header", r"\s", ""), _literal(HEADER_DELIMITER))
+    names = F.transform(plain, lambda n: F.coalesce(*[F.when(n == a, b) for a, b in HEADER_RENAMES.items()], n))
+    places = F.transform(F.array(*map(F.lit, columns)), lambda c: F.array_position(names, c).cast("int"))
+    fits = (F.size(names) == len(columns)) & ~F.array_contains(places, 0)
+    own = materialize(
+        others.select("source_file", F.col("header").alias("own_header"), F.when(fits, places).alias("places")),
+        "other-headers",
+    )
+    joined = lines.join(own, "source_file", "left").filter(F.col("value") != F.coalesce("own_header", F.lit(header)))
+    fields = F.split("value", _literal(FIELD_DELIMITER))
+    moved = F.concat_ws(FIELD_DELIMITER, F.transform("places", lambda i: F.element_at(fields, i)))
+    complete = F.col("places").isNotNull() & (F.size(fields) == len(columns))
+    return joined.select(
+        F.when(complete, moved).otherwise(F.col("value")).alias("value"),
+        "source_file",
+        (F.col("own_header").isNull() | F.col("places").isNotNull()).alias("fits"),
+    )

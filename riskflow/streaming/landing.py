@@ -31,12 +31,14 @@ def land_lines(
     columns: Sequence[str],
     header: str | None = None,
     trigger: dict | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Parse new files and append them, partitioned by the date in their path.
 
     A task reads pieces of few files and a file holds one day, so a task writes few partitions and rows
-    need no shuffle before the write.
+    need no shuffle before the write. ``max_files_per_trigger`` keeps the first start over a full folder from
+    being one batch of everything.
     """
-    parsed = parse_lines(stream_lines(spark, source), columns, header, keep=("source_file",))
+    parsed = parse_lines(stream_lines(spark, source, max_files_per_trigger), columns, header, keep=("source_file",))
     dated = parsed.transform(with_source_date).drop("source_file")
     return start_table(dated, target, checkpoint, partition_by=("source_date",), trigger=trigger)

@@ -97,4 +97,5 @@ def test_histogram_counts_every_value(scores):
 
 def test_bootstrap_shuffles_only_counts(predictions):
     plan = compare.replicate_counts(predictions, ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "partial_sum" in plan
+    # The counts, the models, and the models spread over replicates; rows stay where they are.
+    assert "partial_sum" in plan and plan.count("Exchange hashpartitioning") <= 3

@@ -1,0 +1,197 @@
+"""Inputs at the edge of what operators are told, against brute force or a stated result."""
+
+from __future__ import annotations
+
+import datetime
+import math
+import os
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SMALL
+from riskflow.functions import two_sided_p
+from riskflow.functions.hashing import poisson_thresholds
+from riskflow.operators import compare, decide, features, quality, sampling
+from riskflow.operators.encode import check_categories, feature_pipeline, fit_features
+from riskflow.operators.quality import Rules
+from riskflow.plans import catalog, jobs
+from riskflow.session import materialize, new_path, run_scope, scratch_dir
+from riskflow.sources.text import source_date
+
+START = datetime.datetime(2024, 1, 1)
+HEADER = "#tranaction_id | tx_datetime | customer_id | terminal_id | tx_amount | tx_fraud | tx_fraud_scenario"
+
+
+def write_days(folder, files):
+    folder.mkdir()
+    for name, lines in files.items():
+        (folder / name).write_text("".join(line + "\n" for line in lines))
+    return str(folder)
+
+
+def test_every_terminal_gets_its_profile(spark, tmp_path):
+    lines = [HEADER, "1,2020-01-01 01:00:00,5,1500,2.5,1,2", "2,2020-01-01 02:00:00,5,4999,2.5,0,0"]
+    source = write_days(tmp_path / "raw", {"2020-01-01.txt": lines})
+    paths = jobs.clean_job(spark, source, str(tmp_path / "out"), Rules(terminal_range=(1, 5000)))
+    found = spark.read.parquet(jobs.feature_job(spark, paths["clean"], str(tmp_path / "features")))
+    assert {(r.terminal_id, r.cnt_transactions_on_terminal_id) for r in found.collect()} == {(1500, 1), (4999, 1)}
+
+
+def test_swapped_columns_are_put_in_order_and_other_columns_rejected(spark, tmp_path):
+    row = "{},2020-01-0{} 01:00:00,{},{},2.5,0,0"
+    swapped = HEADER.replace("customer_id | terminal_id", "terminal_id | customer_id")
+    other = HEADER.replace("tx_amount", "tx_sum")
+    files = {
+        "2020-01-01.txt": [],
+        "2020-01-02.txt": [HEADER, row.format(1, 2, 17, 42)],
+        "2020-01-03.txt": [swapped, row.format(2, 3, 42, 17)],
+        "2020-01-04.txt": [other, row.format(3, 4, 17, 42), row.format(4, 4, 17, 42) + ",LOST"],
+    }
+    paths = jobs.clean_job(spark, write_days(tmp_path / "raw", files), str(tmp_path / "out"))
+    kept = spark.read.parquet(paths["clean"]).collect()
+    assert {(r.tranaction_id, r.customer_id, r.terminal_id) for r in kept} == {("1", "17", "42"), ("2", "17", "42")}
+    bad = spark.read.parquet(paths["audit"]).filter("verdict <> 'kept'").collect()
+    assert {(r.verdict, r.line.rpartition(",")[2]) for r in bad} == {("other_columns", "0"), ("other_columns", "LOST")}
+
+
+def test_long_lines_keep_their_tail(rows):
+    lines = rows([("1,2020-01-01 01:00:00,5,15,2.5,1,2,LOST",)], "value string")
+    audited = quality.audit_lines(lines).first()
+    assert audited.verdict == "ragged" and audited.line.endswith("LOST")
+
+
+def test_values_that_cannot_be_stored_have_a_reason(rows):
+    data = [("17.5", "0"), ("12345678901234567890", "0"), ("7", "x"), ("7", "2"), ("7", "1")]
+    raw = rows(
+        [(str(i), "2020-01-01 01:00:00", c, "5", "1.5", f, "0") for i, (c, f) in enumerate(data)],
+        ", ".join(f"{c} string" for c in Rules().columns),
+    )
+    got = Counter(r.verdict for r in quality.audit(raw).collect())
+    assert got == {"customer_id_unreadable": 2, "tx_fraud_not_0_or_1": 2, "kept": 1}
+    typed = features.typed(quality.clean(raw))
+    assert typed.filter("customer_id IS NULL OR tx_fraud IS NULL").count() == 0
+
+
+@pytest.mark.parametrize(
+    ("path", "date"),
+    [
+        ("/data/10234/part-1.txt", None),
+        ("/lake/2021-04-13/run/2021/a.txt", "2021-04-13"),
+        ("/y/2021/x-2021-04-13.txt", "2021-04-13"),
+        ("/y/day=2021-04-12/part.txt", "2021-04-12"),
+        ("/y/2021-13-45.txt", None),
+    ],
+)
+def test_dates_are_spelled_out(rows, path, date):
+    got = rows([(path,)], "p string").select(source_date(F.col("p"))).first()[0]
+    assert (str(got) if got else None) == date
+
+
+def moments(*seconds):
+    return [START + datetime.timedelta(seconds=s) for s in seconds]
+
+
+def test_long_spans_equal_brute_force(rows):
+    draw = random.Random(2)
+    asked = [(draw.randint(1, 3), m) for m in moments(*[draw.randint(0, 40_000) for _ in range(60)])]
+    issued = [(draw.randint(1, 3), m) for m in moments(*[draw.randint(0, 40_000) for _ in range(60)])]
+    schema = "client int, at timestamp"
+    nulls = [(None, START), (1, None)]
+    for seconds in ((60, 300), (60, 7200), (0, 0)):
+        got = decide.fast_credits(rows(asked + nulls, schema), rows(issued + nulls, schema), "client", seconds=seconds)
+        near, far = (datetime.timedelta(seconds=s) for s in seconds)
+        want = [(c, t) for c, t in issued if any(c == a and near <= t - m <= far for a, m in asked)]
+        assert Counter(map(tuple, got.collect())) == Counter(want)
+
+
+def test_lists_without_days_and_columns_of_the_same_name(rows):
+    listings = rows([(1, START)], "k int, listed_at timestamp")
+    assert decide.listed_days(listings, "k", days=0).count() == 0
+    schema = "k int, tx_datetime timestamp, day string, listed string, held_from int, split int, decision string"
+    df = rows([(1, START, "d", "l", 3, 9, "red"), (2, START, "d", "l", 3, 9, "red")], schema)
+    active = decide.listed_days(listings, "k", days=1)
+    hit = decide.blacklisted(df, active, "k").collect()
+    assert [(r.k, r.day) for r in hit] == [(1, "d")]
+    assert {r.listed for r in decide.whitelisted(df, listings.select("k"), "k").collect()} == {"l"}
+    fast = rows([(1, START)], "k int, at timestamp")
+    held = decide.held_after_fast_credit(df, fast, "k")
+    assert set(held.columns) == {*df.columns, "held"} and {r.day for r in held.collect()} == {"d"}
+    assert all(r.split == 9 for part in sampling.hash_split(df, ["k"]) for r in part.collect())
+
+
+def test_replicates_without_rows_stay(rows):
+    data = [("LR", str(i), i % 2, float(i % 2)) for i in range(5)]
+    df = rows(data, "model string, id string, tx_fraud int, prediction double")
+    counts = compare.replicate_counts(df, ["id"])
+    assert counts.count() == 10 and counts.filter("tp + tn + fp + fn = 0").count() > 0
+    scores = compare.long_scores(compare.replicate_metrics(counts))
+    measured = compare.moments(scores)
+    assert {r.n for r in measured.collect()} == {10}
+    some = compare.mean_interval(compare.moments(scores.filter("replicate < 5"))).first()
+    five = compare.moments(scores.filter("replicate < 5 AND metric = 'f1'")).first()
+    assert some.high - some.low == pytest.approx(2 * 2.7764451052 * five.std / math.sqrt(5))
+
+
+def test_small_p_values_keep_their_digits(rows):
+    # Closed form for two degrees of freedom: p = 1 - t / sqrt(2 + t^2).
+    for t in (1.6, 5.0, 1e4):
+        got = rows([(t, 2)], "t double, d int").select(two_sided_p(F.col("t"), F.col("d"))).first()[0]
+        assert got == pytest.approx(2 / (2 + t * t) / (1 + t / math.sqrt(2 + t * t)), rel=1e-10)
+    for t in (1.2, 40.0):
+        got = rows([(t, 1)], "t double, d int").select(two_sided_p(F.col("t"), F.col("d"))).first()[0]
+        assert got == pytest.approx(2 / math.pi * math.atan(1 / t), rel=1e-10)
+    tiny = rows([(60.0, 18)], "t double, d int").select(two_sided_p(F.col("t"), F.col("d"))).first()[0]
+    assert 0 < tiny < 1e-20
+
+
+def test_large_poisson_rates_end():
+    bounds = poisson_thresholds(800.0)
+    assert 700 < len(bounds) < 1100 and bounds == sorted(bounds)
+    assert len(poisson_thresholds(0.1)) == 6
+
+
+def test_category_limit_is_the_callers(rows):
+    df = rows([(str(i),) for i in range(50)], "v string")
+    check_categories(df, ["v"])
+    with pytest.raises(ValueError, match="categories"):
+        check_categories(df, ["v"], 49)
+
+
+def test_fitting_without_copies_equals_fitting_copies(spark):
+    prepared = catalog._features(spark, SMALL)
+    fitted, copies = fit_features(prepared)
+    balanced = sampling.oversample(prepared)
+    assert sampling.oversample(prepared, copies=copies).count() == balanced.count()
+    slow = feature_pipeline().fit(balanced)
+    key = ["tranaction_id", "copy_no"]
+    ours = fitted.transform(balanced).select(*key, F.col("scaledFeatures").cast("string"))
+    theirs = slow.transform(balanced).select(*key, F.col("scaledFeatures").cast("string"))
+    assert Counter(ours.collect()) == Counter(theirs.collect())
+
+
+def test_tuned_model_is_saved_scored_and_reported(spark, tmp_path):
+    prepared = catalog._features(spark, SMALL)
+    before = set(os.listdir(scratch_dir(spark)))
+    report = jobs.tune_job(spark, prepared, str(tmp_path / "model"), str(tmp_path / "report"), 2)
+    lines = spark.read.text(str(tmp_path / "report")).count()
+    assert lines == report.count() > 30
+    extra = prepared.limit(1).withColumn("tx_amount", F.lit(None).cast("double"))
+    found = jobs.score_job(
+        spark, prepared.unionByName(extra), str(tmp_path / "model"), target=str(tmp_path / "scored")
+    )
+    values = {r.metric: r.value for r in found.collect()}
+    assert values["rows"] == prepared.count() + 1 and values["rows"] == values["scored"] + values["skipped"]
+    assert values["skipped"] >= 1 and spark.read.parquet(str(tmp_path / "scored")).count() == values["scored"]
+    assert set(os.listdir(scratch_dir(spark))) == before
+
+
+def test_scopes_delete_only_their_own_tables(spark):
+    outer = new_path(spark, "outer")
+    spark.range(3).write.parquet(outer)
+    with run_scope(spark):
+        materialize(spark.range(3), "inner")
+    assert os.path.exists(outer) and not [n for n in os.listdir(scratch_dir(spark)) if n.startswith("inner")]
+

@@ -52,25 +52,23 @@ def skewed(spark):
     )
 
 
-def test_split_join_equals_plain_join(skewed):
+@pytest.mark.parametrize("rows", [joins.BROADCAST_ROWS, 5])
+def test_enrichment_equals_plain_join(skewed, monkeypatch, rows):
+    monkeypatch.setattr(joins.small_enough, "__defaults__", (rows, joins.BROADCAST_BYTES))
     profiles = features.terminal_profile(skewed)
     expected = skewed.join(profiles, "terminal_id", "left").select("tranaction_id", *profiles.columns)
-    got = features.enrich(skewed, key_range=None).select("tranaction_id", *profiles.columns)
-    assert Counter(got.collect()) == Counter(expected.collect())
+    got = features.enrich(skewed)
+    assert Counter(got.select("tranaction_id", *profiles.columns).collect()) == Counter(expected.collect())
+    assert ("ResolvedHint" in got._jdf.queryExecution().analyzed().toString()) == (rows > 5)
 
 
-def test_split_join_never_shuffles_hot_rows(skewed):
-    profiles = features.terminal_profile(skewed)
-    total = profiles.agg(F.sum(TERMINAL_TOTAL)).first()[0]
-    hot = profiles.filter(F.col(TERMINAL_TOTAL) * joins.HOT_SHARE > total)
-    assert 7 in {r["terminal_id"] for r in hot.collect()}
-    assert hot.count() < joins.HOT_SHARE
-
-
-def test_range_join_is_bounded(rows):
-    df = rows([("a", 1, 1)], TX)
-    with pytest.raises(ValueError, match="too wide"):
-        features.enrich(df, key_range=(0, 10**9))
+def test_wide_lookups_are_not_broadcast(spark, monkeypatch):
+    left = spark.range(100).withColumnRenamed("id", "k")
+    wide = left.withColumn("text", F.repeat(F.sha2(F.col("k").cast("string"), 256), 100))
+    monkeypatch.setattr(joins.small_enough, "__defaults__", (joins.BROADCAST_ROWS, 1000))
+    got = joins.attach_list(left, wide, ["k"], "left")
+    assert "ResolvedHint" not in got._jdf.queryExecution().analyzed().toString()
+    assert got.filter("text IS NULL").count() == 0
 
 
 def test_list_join_uses_broadcast_only_for_short_lists(spark, monkeypatch):
@@ -78,7 +76,7 @@ def test_list_join_uses_broadcast_only_for_short_lists(spark, monkeypatch):
     keys = spark.range(10).withColumnRenamed("id", "k")
     short = joins.attach_list(left, keys, ["k"], "left_semi")
     assert "ResolvedHint" in short._jdf.queryExecution().analyzed().toString()
-    monkeypatch.setattr(joins.small_enough, "__defaults__", (5,))
+    monkeypatch.setattr(joins.small_enough, "__defaults__", (5, joins.BROADCAST_BYTES))
     long = joins.attach_list(left, keys, ["k"], "left_semi")
     assert "ResolvedHint" not in long._jdf.queryExecution().analyzed().toString()
     assert short.count() == long.count() == 10

@@ -58,11 +58,21 @@ def test_many_files_keep_their_names_and_headers(spark, tmp_path):
     (tmp_path / "2020-01-03.txt").write_text("b|a\n5,6\n")
     headers = {r["source_file"][-14:]: r["header"] for r in file_headers(spark, str(tmp_path)).collect()}
     assert headers == {"2020-01-01.txt": "a|b", "2020-01-02.txt": "a|b", "2020-01-03.txt": "b|a"}
-    with pytest.raises(ValueError, match="another header"):
-        read_delimited(spark, f"{tmp_path}/*.txt", check_headers=True)
-    parsed, _ = read_delimited(spark, f"{tmp_path}/2020-01-0[12].txt", check_headers=True)
-    counts = {str(r["source_date"]): r["count"] for r in parsed.groupBy("source_date").count().collect()}
-    assert counts == {"2020-01-01": 2, "2020-01-02": 2}
+    (tmp_path / "2020-01-00.txt").write_text("")
+    (tmp_path / "2020-01-04.txt").write_text("a|c\n7,8\n")
+    (tmp_path / "2020-01-05.txt").write_text("a|b|c\n9,10,11\n")
+    parsed, columns = read_delimited(spark, f"{tmp_path}/*.txt")
+    assert columns == ["a", "b"]
+    got = {(str(r["source_date"])[-2:], r["a"], r["b"], r["fits"]) for r in parsed.collect()}
+    assert got == {
+        ("01", "1", "2", True),
+        ("01", "3", "4", True),
+        ("02", "1", "2", True),
+        ("02", "3", "4", True),
+        ("03", "6", "5", True),
+        ("04", "7", "8", False),
+        ("05", "9", "10", False),
+    }
 
 
 def test_header_comes_from_a_file_start(spark, tmp_path):
