@@ -6,15 +6,17 @@ neighbourhood that mixing gave them, and a lost task is repeated alone. Full pie
 others wait in a window of ``WINDOW_PIECES``, which bounds memory, and are packed together.
 
 Tokens come from a ``tokenizers`` file. Byte-level pre-tokenization never joins characters across a single
-space between two other characters, so such a space splits a text into parts whose ids do not depend on each
-other, and the ids of a part are looked up once per worker. A text with other runs of white space is
+space or line end between two other characters, so these split a text into parts whose ids do not depend on
+each other, and the ids of a part are looked up once per worker. A text with other runs of white space is
 tokenized whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import struct
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -31,23 +33,58 @@ END_ID = 2
 WINDOW_PIECES = 8192
 CACHED_PARTS = 500_000
 ID_BYTES = 4
-JOINT, ZERO_BYTE = "\0", "\u0100"  # as text, and as byte-level vocabularies write it
 COLUMNS = ("doc_id", "piece", "start", "length", "ids", "sequence_id", "offset")
-_SPACE_RUN = re.compile(r" \s|\s ")
-_ASCII_RUNS = ["  ", *(pair for c in "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f" for pair in (c + " ", " " + c))]
+_PLAIN_WORD = re.compile(r"\n?[A-Za-zÀ-ÖØ-öø-ÿ]{1,30}[,.]?")
+_PACK_IDS = [struct.Struct(f"<{n}I").pack for n in range(64)]
+_SPACE_RUN = re.compile(r"\s\s")
+_RARE_BLANKS = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+_RUNS = ("  ", " \n", "\n ", "\n\n\n")
 
 _tokens: dict[str, Tokens] = {}
 
 
 def divisible(text: str) -> bool:
-    """Whether every space stands between two other characters and the text ends in none."""
-    if JOINT in text or text[-1:].isspace():
+    """Whether every space and line end stands between two other characters, two line ends at most together."""
+    if text[-1:].isspace():
         return False
-    if text.isascii():
-        return not any(run in text for run in _ASCII_RUNS)
+    if text.isascii() and not any(c in text for c in _RARE_BLANKS):
+        return not any(run in text for run in _RUNS)
     return _SPACE_RUN.search(text) is None
 
 
+def parts_of(text: str) -> list[str]:
+    """The parts of a divisible text: one that a line end precedes begins with it, the others had a space there."""
+    return text.replace("\n", " \n").split(" ")
+
+
+def _byte_characters() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: itself if it can be printed."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = sorted(set(range(256)).difference(plain))
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def _merger(path: str):
+    """Merges byte pairs as the tokenizer file says, without its pre-tokenizer; None for other kinds of files.
+
+    A file qualifies if it is plain byte-level BPE whose merges are numbered in the order in which they apply.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        data = json.load(file)
+    model, before = data["model"], data.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+    if not plain or before.get("add_prefix_space") or data.get("normalizer") or model.get("dropout"):
+        return None
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    vocabulary, byte_of = model["vocab"], _byte_characters()
+    if model.get("ignore_merges") or any(vocabulary[a + b] != 256 + i for i, (a, b) in enumerate(pairs)):
+        return None
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items() if i < 256 + len(pairs)}
+    return tiktoken.Encoding("merges", pat_str=r"[,.\n]|[^,.\n]+", mergeable_ranks=ranks, special_tokens={})
+
+
 class Tokens:
     """Token ids of texts, as little-endian unsigned 32-bit numbers."""
 
@@ -57,9 +94,8 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._parts: dict[str, bytes] = {}  # ids of a space and the part after it
-        zeros = [i for token, i in self._tokenizer.get_vocab().items() if ZERO_BYTE in token]
-        self._joint_id = zeros[0] if len(zeros) == 1 else None
+        self._merger = _merger(path)
+        self._parts: dict[str, bytes] = {}
 
     @classmethod
     def at(cls, path: str) -> Tokens:
@@ -73,31 +109,34 @@ class Tokens:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _after_space(self, parts: list[str]) -> list[bytes]:
-        """The ids of each part with a space before it, from one call.
+    def _of_parts(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of each part with the blank before it.
 
-        Parts are joined by a zero byte. A space follows it, and no token holds it beside other bytes, so it
-        changes nothing in the parts on either side as long as they end in no white space.
+        A word of Latin letters, with a comma or full stop or without, needs no pre-tokenizer: its pieces are
+        known, and merging their bytes is all that is left. Other parts go through the tokenizer.
         """
-        joined = " " + f"{JOINT} ".join(parts)
-        ids = np.array(self._tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
-        ends = ID_BYTES * np.flatnonzero(ids == self._joint_id)
-        data = ids.tobytes()
-        starts = [0, *(ends + ID_BYTES).tolist()]
-        return [data[a:b] for a, b in zip(starts, [*ends.tolist(), len(data)])]
+        merge = self._merger.encode_ordinary
+        found, others = {}, []
+        for part in parts:
+            if _PLAIN_WORD.fullmatch(part):
+                ids = merge(part if part[0] == "\n" else " " + part)
+                found[part] = _PACK_IDS[len(ids)](*ids)
+            else:
+                others.append(part)
+        found.update(zip(others, self.whole([p if p[0] == "\n" else " " + p for p in others])))
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The same ids as ``whole``, with parts between single spaces looked up."""
+        """The same ids as ``whole``, with the parts of divisible texts looked up."""
         known = self._parts
         if len(known) > CACHED_PARTS:
             known.clear()
-        split = [[t] if self._joint_id is None or not divisible(t) else t.split(" ") for t in texts]
+        split = [parts_of(t) if self._merger and divisible(t) else [t] for t in texts]
         new: set[str] = set()
         for parts in split:
             new.update(set(parts[1:]).difference(known))
         if new:
-            fresh = list(new)
-            known.update(zip(fresh, self._after_space(fresh)))
+            known.update(self._of_parts(list(new)))
         first = self.whole([parts[0] for parts in split])
         return [ids + b"".join(map(known.__getitem__, parts[1:])) for ids, parts in zip(first, split)]
 
