@@ -16,7 +16,8 @@ from riskflow.fixed_values import (
     MAX_MISSED_SHARE,
 )
 from riskflow.functions import ratio
-from riskflow.operators.joins import attach_list
+from riskflow.operators.joins import attach_list, small_enough
+from riskflow.session import materialize
 
 
 def decision(score: Column, review_from: float, reject_from: float) -> Column:
@@ -24,29 +25,30 @@ def decision(score: Column, review_from: float, reject_from: float) -> Column:
     return F.when(score >= reject_from, "red").when(score >= review_from, "yellow").otherwise("green")
 
 
-def listed_days(
+def listed_periods(
     listings: DataFrame,
     key: str,
     listed_at: str = "listed_at",
     days: int | None = DEVICE_LISTING_DAYS,
     months: int | None = None,
 ) -> DataFrame:
-    """The distinct (key, day) pairs on which a listing is in force.
+    """When listings are in force: (key, month, first_day, end), a row per listing and month it touches.
 
     A list is refreshed once a day, so days are its resolution. A listing covers its own day and those
     until ``days`` days (or ``months`` months) later, the last one excluded. Repeated listings of one key
-    and day are merged first, which leaves a key at most one row per calendar day. Each listing is then
-    cut where the key's next one starts, so that no day is produced twice.
+    and day are merged first. Each listing is then cut where the key's next one starts, so that no day is
+    covered twice and a key has at most 31 rows a month.
     """
     start = F.col("first_day")
     end = F.add_months(start, months) if months else F.date_add(start, days)
     following = F.lead("first_day").over(Window.partitionBy(key).orderBy("first_day"))
+    touched = F.sequence(F.trunc(start, "month"), F.date_sub("end", 1), F.expr("interval 1 month"))
     return (
         listings.select(key, F.to_date(listed_at).alias("first_day"))
         .distinct()
         .withColumn("end", F.least(end, following))
         .filter(F.col("end") > F.col("first_day"))
-        .select(key, F.explode(F.sequence(start, F.date_sub("end", 1))).alias("day"))
+        .select(key, F.explode(touched).alias("month"), "first_day", "end")
     )
 
 
@@ -55,12 +57,23 @@ def blacklisted(
 ) -> DataFrame:
     """Transactions made on a day their key is listed; ``left_anti`` gives the others.
 
-    The lifetime is part of the equality key, so the join needs no range condition and a busy key is
-    spread over its days.
+    ``active`` comes from ``listed_periods``. The month is part of the equality key, so a busy key is spread over
+    its months, and the exact days are tested on the few rows that meet there.
     """
-    keyed = transactions.withColumn("_listed_day", F.to_date(at))
-    days = active.select(key, F.col("day").alias("_listed_day"))
-    return attach_list(keyed, days, [key, "_listed_day"], how).select(*transactions.columns)
+    stored = materialize(
+        active.select(
+            F.col(key).alias("_key"), F.col("month").alias("_month"), F.col("first_day").alias("_from"), F.col("end").alias("_end")
+        ),
+        "lookup",
+    )
+    day = F.to_date(at)
+    listed = (
+        (F.col(key) == F.col("_key"))
+        & (F.trunc(day, "month") == F.col("_month"))
+        & (day >= F.col("_from"))
+        & (day < F.col("_end"))
+    )
+    return transactions.join(F.broadcast(stored) if small_enough(stored) else stored, listed, how)
 
 
 def whitelisted(

@@ -461,13 +461,13 @@ def decision_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def blacklist_payee(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    active = decide.listed_days(_listings(events), "user_id", months=3)
+    active = decide.listed_periods(_listings(events), "user_id", months=3)
     return decide.blacklisted(events, active, "user_id", "ts").select("event_id")
 
 
 def blacklist_device(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    active = decide.listed_days(_listings(events), "user_id")
+    active = decide.listed_periods(_listings(events), "user_id")
     return decide.blacklisted(events, active, "user_id", "ts").select("event_id")
 
 

@@ -28,7 +28,7 @@ def test_tiers(rows):
 @pytest.mark.parametrize("days, months", [(7, None), (None, 3)])
 def test_blacklist_equals_brute_force(rows, days, months):
     tx, listed = moments(300, 1, days=130), moments(8, 2, days=130)
-    active = decide.listed_days(
+    active = decide.listed_periods(
         rows([(c, t) for _, c, t in listed], "client int, listed_at timestamp"), "client", days=days, months=months
     )
     df = rows(tx, "id int, client int, tx_datetime timestamp")
@@ -52,7 +52,7 @@ def test_blacklist_equals_brute_force(rows, days, months):
 def test_blacklist_on_a_stream(spark, rows, tmp_path):
     df = rows(moments(50, 3), "id int, client int, tx_datetime timestamp")
     df.write.parquet(str(tmp_path / "in"))
-    active = decide.listed_days(rows([(1, START)], "client int, listed_at timestamp"), "client")
+    active = decide.listed_periods(rows([(1, START)], "client int, listed_at timestamp"), "client")
     stream = decide.blacklisted(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), active, "client")
     query = stream.writeStream.format("memory").queryName("hits").trigger(availableNow=True).start()
     query.awaitTermination()

@@ -109,10 +109,10 @@ def test_long_spans_equal_brute_force(rows):
 
 def test_lists_without_days_and_columns_of_the_same_name(rows):
     listings = rows([(1, START)], "k int, listed_at timestamp")
-    assert decide.listed_days(listings, "k", days=0).count() == 0
+    assert decide.listed_periods(listings, "k", days=0).count() == 0
     schema = "k int, tx_datetime timestamp, day string, listed string, held_from int, split int, decision string"
     df = rows([(1, START, "d", "l", 3, 9, "red"), (2, START, "d", "l", 3, 9, "red")], schema)
-    active = decide.listed_days(listings, "k", days=1)
+    active = decide.listed_periods(listings, "k", days=1)
     hit = decide.blacklisted(df, active, "k").collect()
     assert [(r.k, r.day) for r in hit] == [(1, "d")]
     assert {r.listed for r in decide.whitelisted(df, listings.select("k"), "k").collect()} == {"l"}
