@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-MAX_NODES = 8192
+MAX_NODES = 20_000
 MAX_CHOICES = 8  # fillings tried per bin beyond which the search does not branch
 
 
