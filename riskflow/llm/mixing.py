@@ -151,8 +151,8 @@ def mix_sources(
 def in_mixed_order(docs: DataFrame, weights: Mapping[str | None, float] | None = None) -> DataFrame:
     """All documents, with all their columns, sorted into the mix over consecutive partitions.
 
-    Files written from the result hold the mix in the order of their names, so any reader of a run of them
-    sees the target weights.
+    Files written from the result hold the mix in the order of their names, and each of them a run of it, so
+    whoever reads a file sees the target weights.
     """
     whole = docs.select(F.struct("*").alias("_document"), "doc_id", "source")
     mixed = mix_sources(whole, weights, carry=("_document",))

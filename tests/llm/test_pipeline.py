@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import corpus_pipeline
+import pyarrow.parquet as pq
 import pytest
 from conftest import SMALL
 from riskflow.llm.exact_dedup import exact_duplicates
@@ -40,7 +41,8 @@ def test_each_stage_applies_its_operator(spark, stages):
     assert ids(apart) == ids(leaders)
     assert ids(mixed) == ids(apart)
     order = [r.doc_id for r in sorted(mix_sources(apart).collect(), key=lambda r: (r.slot, r.place))]
-    assert [r.doc_id for r in mixed.select("doc_id").collect()] == order
+    files = sorted(path.removeprefix("file://") for path in mixed.inputFiles())
+    assert [i for path in files for i in pq.read_table(path).column("doc_id").to_pylist()] == order
     assert set(ids(packed)) == set(ids(mixed))
     assert len(clean.collect()) < len(docs.collect()) and len(distinct.collect()) < len(clean.collect())
 
