@@ -1,8 +1,9 @@
 """From raw documents to packed training sequences.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written and read again before the next one.
-All stages but the last keep the columns of documents. Mixing keeps every document and sets their order;
-packing works through the files in that order, so each run of sequences follows the target weights.
+All stages but the last keep the columns of documents. Mixing keeps every document and deals them out to files,
+each a run of the mix; packing fills sequences from the files that a task reads, so these follow the target
+weights.
 """
 
 from __future__ import annotations
