@@ -75,6 +75,10 @@ def repeated_lines(text: Column) -> Column:
     )
 
 
+def bucket_type(buckets: int) -> str:
+    return "smallint" if buckets <= 1 << 15 else "int"
+
+
 def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """doc_id, n_words, the four base counts, base_failed, and the hash bucket of each word in order."""
     source = text_rows(docs, id_col, text_col).select(
@@ -89,7 +93,7 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.length("text") - F.length(F.regexp_replace("text", _SYMBOLS, ""))).cast("long").alias("n_symbols"),
         repeated_lines(F.col("text")).cast("long").alias("n_dup_lines"),
         covered_by_repeats(F.col("windows")).cast("long").alias("n_repeat_words"),
-        F.transform("words", lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int")).alias("word_buckets"),
+        F.transform("words", lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast(bucket_type(buckets))).alias("word_buckets"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return counted.withColumn("base_failed", failed)
@@ -102,7 +106,7 @@ def _grams(word_buckets: Column, buckets: int) -> Column:
         F.slice(word_buckets, F.lit(2), F.greatest(F.size(word_buckets) - 1, F.lit(0))),
         lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int") + buckets,
     )
-    return F.concat(word_buckets, pairs)
+    return F.concat(word_buckets.cast("array<int>"), pairs)
 
 
 def log_ratios(counted: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[float]:
@@ -124,7 +128,8 @@ def log_ratios(counted: DataFrame, labels: DataFrame, buckets: int = BUCKETS) ->
     if trusted.isEmpty():
         flagged = flagged.withColumn("good", ~F.col("base_failed"))
     else:
-        flagged = flagged.join(trusted, F.col("doc_id") == F.col("labelled"), "left").withColumn(
+        # One plan at every size: what is shuffled grows with the table, not in steps.
+        flagged = flagged.join(trusted.hint("merge"), F.col("doc_id") == F.col("labelled"), "left").withColumn(
             "good", F.col("labelled").isNotNull()
         )
     grams = flagged.select("good", F.explode(_grams(F.col("word_buckets"), buckets)).alias("bucket"))
