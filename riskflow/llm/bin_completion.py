@@ -8,6 +8,7 @@ known. Best-fit decreasing gives the first one.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import cache
 
 MAX_NODES = 20_000
 MAX_CHOICES = 8  # fillings tried per bin beyond which the search does not branch
@@ -35,9 +36,10 @@ def best_fit_decreasing(counts: Sequence[int], capacity: int) -> list[list[int]]
     return bins
 
 
-def _longest(lengths: int, room: int) -> int:
-    """The longest of the lengths whose bits are set that fits; 0 if none does."""
-    return max((lengths & ((1 << (room + 1)) - 1)).bit_length() - 1, 0)
+@cache
+def _masks(room: int) -> tuple[int, ...]:
+    """For each length up to ``room`` the set of the lengths up to it; the set of bit 0 is empty."""
+    return tuple((1 << (n + 1)) - 2 for n in range(room + 1))
 
 
 def fillings(counts: list[int], lengths: int, room: int) -> Iterator[tuple[int, ...]]:
@@ -48,30 +50,34 @@ def fillings(counts: list[int], lengths: int, room: int) -> Iterator[tuple[int,
     member only the longest second one counts. Rests are filled with the longest lengths that fit. A set that
     fills the room comes at once, the others follow by their waste.
     """
-    single = _longest(lengths, room)
+    up_to = _masks(room)
+    single = max((lengths & up_to[room]).bit_length() - 1, 0)
     if single in (0, room):
         yield (single,) if single else ()
         return
     found, second_before, first = [(room - single, (single,))], 0, single
-    while first:
-        chosen, rest, left = [first], room - first, {first: counts[first] - 1}
-        fits = lengths & ((1 << (first + 1)) - 1)
-        if not left[first]:
-            fits &= ~(1 << first)
-        while rest and (more := _longest(fits, rest)):
-            chosen.append(more)
-            rest -= more
-            left[more] = left.get(more, counts[more]) - 1
-            if not left[more]:
-                fits &= ~(1 << more)
-        second = chosen[1] if len(chosen) > 1 else 0
-        if second > second_before and room - rest > single:
-            if not rest:
-                yield tuple(chosen)
-            else:
-                found.append((rest, tuple(chosen)))
+    while first > 0:
+        rest, last = room - first, first
+        below = lengths & up_to[first - 1]
+        fits = below | 1 << first if counts[first] > 1 else below
+        more = second = max((fits & up_to[rest]).bit_length() - 1, 0)
+        if second > second_before:
+            chosen, used = [first], 1
+            while more > 0:
+                chosen.append(more)
+                rest -= more
+                used = used + 1 if more == last else 1
+                last = more
+                if counts[more] == used:
+                    fits &= ~(1 << more)
+                more = (fits & up_to[rest]).bit_length() - 1
+            if room - rest > single:
+                if not rest:
+                    yield tuple(chosen)
+                else:
+                    found.append((rest, tuple(chosen)))
         second_before = max(second, second_before) if 2 * first > room else 0
-        first = _longest(lengths, first - 1)
+        first = below.bit_length() - 1
     for _, chosen in sorted(found)[:MAX_CHOICES]:
         yield chosen
 
