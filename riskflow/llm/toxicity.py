@@ -2,8 +2,10 @@
 
 Words have kinds: insult, threat, target, negation, reporting verb. A lexical automaton finds insults and
 threats in the text; only clauses with one of them are read further, because no other arc carries weight.
-Such a clause runs through one machine, composed of a target, a negation and a reported-speech transducer:
-each marks a match that stands in its reach and changes its weight. A threat counts only towards a target.
+Such a clause is read twice. A target transducer reads it backwards and marks a match whose target follows in
+its reach ("I will kill you"). What it marks runs forwards through one machine, composed of a target, a negation
+and a reported-speech transducer: each marks a match that follows its trigger in its reach and changes its
+weight. A threat counts only towards a target, which stands within ``REACH`` words before or after it.
 
 The insult lexicon (words, and stems for inflected forms) and its weights are learned: the log-odds of a term's document
 frequency between toxic and other labelled documents, kept where a likelihood-ratio test is clear. What the
@@ -59,17 +61,24 @@ _CLAUSE_END = re.compile(r"[.!?;\n]")
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 
 
-def clause_machine() -> Transducer:
-    """Target, negation and reported speech composed into one machine."""
-    alphabet: list[Symbol] = [(k,) for k in (INSULT, THREAT, TARGET, NEGATION, REPORT, BREAK)]
+def _both(trigger: str, mark: str, weight: float, reach: int) -> Transducer:
+    """Marks insults and threats alike."""
+    machines = [window(trigger, kind, mark, weight, reach, BREAK) for kind in (INSULT, THREAT)]
+    return Transducer(reduce(lambda x, y: x | y, [m.arcs for m in machines]), machines[0].default)
+
+
+def target_machine() -> Transducer:
+    """Marks what a target precedes in the order of reading: read backwards, what a target follows."""
+    return _both(TARGET, "targeted", 1.0, REACH)
 
-    def both(trigger: str, mark: str, weight: float, reach: int) -> Transducer:
-        machines = [window(trigger, kind, mark, weight, reach, BREAK) for kind in (INSULT, THREAT)]
-        return Transducer(reduce(lambda x, y: x | y, [m.arcs for m in machines]), machines[0].default)
 
-    target = both(TARGET, "targeted", 1.0, REACH)
-    negation = marked_inputs(both(NEGATION, "negated", -1.0, REACH), ["targeted"])
-    report = both(REPORT, "reported", -1.0, 2 * REACH)
+def clause_machine() -> Transducer:
+    """Target, negation and reported speech composed into one machine, also for what is already targeted."""
+    alphabet: list[Symbol] = [(k,) for k in (INSULT, THREAT, TARGET, NEGATION, REPORT, BREAK)]
+    alphabet += [(k, "targeted") for k in (INSULT, THREAT)]
+    target = target_machine()
+    negation = marked_inputs(_both(NEGATION, "negated", -1.0, REACH), ["targeted"])
+    report = _both(REPORT, "reported", -1.0, 2 * REACH)
     seen = ["targeted", "negated"]
     report = marked_inputs(report, seen)
     report.arcs.update(
@@ -102,6 +111,10 @@ class Model:
     def _machine(self) -> Transducer:
         return clause_machine()
 
+    @cached_property
+    def _backward(self) -> Transducer:
+        return target_machine()
+
     def weight(self, word: str) -> float:
         """The weight of a word as an insult, zero if it is none."""
         stem = max([self.stems.get(word[:n], 0.0) for n in STEM_LENGTHS if len(word) > n], default=0.0)
@@ -120,15 +133,38 @@ class Model:
             yield text[max(left, 0) : done]
 
     def features(self, text: str | None) -> list[float]:
-        """What the grammar finds in a text, damped so that long texts do not count for their length alone."""
+        """What the grammar finds in a text read forwards only, where a target counts if it comes first."""
+        return self._found(text, False)
+
+    def evidence(self, text: str | None) -> list[float]:
+        """What the grammar finds in a text read both ways: what is learned from and scored."""
+        return self._found(text, True)
+
+    def _followed(self, symbols: list[Symbol]) -> tuple[list[Symbol], list[float]]:
+        """The symbols of a clause with marks and weights where a target follows."""
+        state, marked, weights = 0, [], []
+        for symbol in reversed(symbols):
+            out, weight, state = self._backward.step(state, symbol)
+            marked.append(out)
+            weights.append(weight)
+        return marked[::-1], weights[::-1]
+
+    def _found(self, text: str | None, backwards: bool) -> list[float]:
+        """The features, damped so that long texts do not count for their length alone."""
         plain = soft = aimed = threats = best = 0.0
         matched = 0
         for clause in self._clauses((text or "").lower()):
             state, score = 0, 0.0
-            for word in _WORD.findall(clause):
-                weight = self.weight(word)
-                kind = INSULT if weight else THREAT if word in THREATS else KINDS.get(word, "")
-                (_, *marks), bonus, state = self._machine.step(state, (kind,))
+            words = _WORD.findall(clause)
+            weights = [self.weight(word) for word in words]
+            symbols: list[Symbol] = [
+                (INSULT if weight else THREAT if word in THREATS else KINDS.get(word, ""),)
+                for word, weight in zip(words, weights)
+            ]
+            symbols, ahead = self._followed(symbols) if backwards else (symbols, [0.0] * len(symbols))
+            for symbol, weight, more in zip(symbols, weights, ahead):
+                (kind, *marks), bonus, state = self._machine.step(state, symbol)
+                bonus += more
                 if kind == INSULT:
                     if "negated" in marks or "reported" in marks:
                         soft += weight
@@ -145,7 +181,7 @@ class Model:
         return [math.log1p(x) for x in (plain, soft, aimed, threats, matched, best)]
 
     def score(self, text: str | None) -> float:
-        z = self.coefficients[0] + sum(c * x for c, x in zip(self.coefficients[1:], self.features(text)))
+        z = self.coefficients[0] + sum(c * x for c, x in zip(self.coefficients[1:], self.evidence(text)))
         return 1.0 / (1.0 + math.exp(-max(min(z, 50.0), -50.0)))
 
 
@@ -232,7 +268,7 @@ def learn_terms(training: DataFrame, max_terms: int = MAX_TERMS) -> tuple[dict[s
 def _features_of(model: Model) -> Callable:
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.features(t) for t in batch.column("text").to_pylist()]
+            found = [model.evidence(t) for t in batch.column("text").to_pylist()]
             lists = pa.array(found, pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.int32()), lists], names=["toxic", "x"])
 

@@ -8,7 +8,7 @@ import pytest
 from conftest import MEDIUM
 from riskflow.llm import toxicity
 from riskflow.llm.queries import queries
-from riskflow.llm.toxicity import INSULT, THREAT, Model, clause_machine, drop_toxic, fit_logistic, score_toxicity, train
+from riskflow.llm.toxicity import INSULT, THREAT, Model, clause_machine, drop_toxic, fit_logistic, score_toxicity, train, training_rows
 from riskflow.llm.transducers import compose, window
 
 PLAIN = Model({w: 3.0 for w in toxicity.SEED_INSULTS}, {"gromp": 3.0}, tuple(toxicity.PRIOR))
@@ -58,6 +58,30 @@ def test_clauses_not_isolated_words():
     assert PLAIN.score("idiot moron. you stupid scum!") > 0.7 > PLAIN.score("idiot was not said")
 
 
+def test_a_target_may_follow_its_threat_or_insult():
+    for text in ("I will kill you", "we will destroy your family", "ich werde töten dich", "kill all of you"):
+        assert PLAIN.evidence(text)[3] > 0, text
+    for text in ("kill the process", "I will not kill you", "they said I will kill you", "kill it. you know", "kill a b c d you"):
+        assert PLAIN.evidence(text)[3] == 0, text
+    assert PLAIN.evidence("you I will kill you") == PLAIN.evidence("you I will kill") == PLAIN.features("you I will kill")
+    assert PLAIN.evidence("idiot that you are")[2] > 0 == PLAIN.features("idiot that you are")[2]
+    assert PLAIN.evidence("nothing here") == [0.0] * 6
+    learned = Model(PLAIN.words, PLAIN.stems, (-1.0, 0.0, 0.0, 0.0, 4.0, 0.0, 0.0))
+    assert learned.score("I will kill you") > 0.7 > learned.score("I will kill")
+
+
+def test_threats_before_their_target_leave_the_pipeline(spark):
+    threat, calm = "We will destroy your family. I will kill you.", "I will kill the process."
+    data = [(i, threat if i % 4 == 0 else f"{calm} Calm text {i}.") for i in range(400)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    model = Model(PLAIN.words, {}, train(docs, labels).coefficients)  # no learned words: the grammar alone decides
+    rows = training_rows(docs, labels).mapInArrow(toxicity._features_of(model), "toxic int, x array<double>").collect()
+    fitted = fit_logistic(np.array([r.x for r in rows]), np.array([r.toxic for r in rows], float))
+    kept = drop_toxic(docs, Model(PLAIN.words, {}, fitted)).collect()
+    assert len(kept) == 300 and all(r.text != threat for r in kept)
+
+
 def test_logistic_fit_separates():
     x = np.array([[0.0] * 6] * 50 + [[2.0, 0, 0, 0, 1, 2]] * 20)
     y = np.array([0.0] * 50 + [1.0] * 20)
