@@ -21,7 +21,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskflow.llm.common import bounded_batches, text_rows
 from riskflow.llm.components import connected_components
@@ -59,20 +59,32 @@ def fingerprint(text: str | None, words_per_shingle: int = SHINGLE_WORDS) -> int
     return int.from_bytes(np.packbits(2 * counts > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): one row per input row, the fingerprint as a signed 64-bit number."""
+def _digest(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: bool = False
+) -> DataFrame:
+    """(doc_id, fp): one row per input row, the fingerprint as a signed 64-bit number.
+
+    With ``digests`` there is a third column, digest, the SHA-256 of the text.
+    """
     bounded_batches(docs.sparkSession)
     source = text_rows(docs, id_col, text_col).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    if digests:
+        source = source.withColumn("digest", _digest(F.col("text")))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(values.view(np.int64))], names=["doc_id", "fp"]
-            )
+            columns, names = [batch.column("doc_id"), pa.array(values.view(np.int64))], ["doc_id", "fp"]
+            if digests:
+                columns, names = [*columns, batch.column("digest")], [*names, "digest"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     id_type = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(compute, f"doc_id {id_type}, fp bigint")
+    return source.mapInArrow(compute, f"doc_id {id_type}, fp bigint" + (", digest string" if digests else ""))
 
 
 def covering_masks(positions: Iterable[int], radius: int = RADIUS) -> list[int]:
@@ -189,6 +201,21 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS, bucket_rows: int = B
     return dealt.mapInArrow(lambda batches: _links_of(batches, radius), "a bigint, b bigint")
 
 
+def _labelled(marked: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Rows with a doc_id and an fp, and the root and component_id of each one's component."""
+    marked = materialize(marked, "fingerprints")
+    nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    links = fingerprint_links(nodes.select("fp"), radius, bucket_rows)
+    roots = materialize(connected_components(links), "components")
+    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+    rooted = materialize(rooted, "rooted")
+    named = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "named")
+    labels = materialize(rooted.join(named, "root").select("fp", "root", "component_id"), "labels")
+    return marked.join(labels, "fp")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -202,33 +229,35 @@ def near_duplicates(
     without words (null, empty or blank) has fingerprint zero and links like any other. A null id is ignored
     as a component's name unless all its ids are null. Repeated rows stay and share their component.
     """
-    marked = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
-    nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    links = fingerprint_links(nodes.select("fp"), radius, bucket_rows)
-    roots = materialize(connected_components(links), "components")
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    rooted = materialize(rooted, "rooted")
-    named = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "named")
-    labels = materialize(rooted.join(named, "root").select("fp", "component_id"), "labels")
-    return marked.join(labels, "fp").select(
+    return _labelled(fingerprints(docs, id_col, text_col), radius, bucket_rows).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component stays, that with the smallest id; rows that repeat this id shrink to one.
+    """One document of each component stays, that with the smallest id, a null id being the largest.
 
-    Columns are those of the input. All rows without an id count as repeats of each other.
+    Columns are those of the input. Of a component's rows that share this id one text stays, that with the smallest
+    digest, and rows that repeat both id and text shrink to one. The verdict comes back by id and text, so rows
+    of other components stay or go by their own, whatever ids they have in common and even without any.
     """
-    found = near_duplicates(docs, id_col, text_col)
+    found = _labelled(fingerprints(docs, id_col, text_col, digests=True))
     leaders = materialize(
-        found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "component_id").agg(
-            F.count(F.lit(1)).alias("_rows")
+        found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("root", "doc_id", "digest")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("root")
+        .agg(F.min(F.struct("digest", "doc_id", "rows")).alias("leader"))
+        .select(
+            F.col("leader.doc_id").alias("_leader"),
+            F.col("leader.digest").alias("_leader_text"),
+            F.col("leader.rows").alias("_rows"),
         ),
         "leaders",
     )
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_leader"))
-    kept = docs.join(leaders.select(F.col("doc_id").alias("_leader")), same, "left_semi")
-    return kept if leaders.filter("_rows > 1").isEmpty() else kept.dropDuplicates([id_col])
+    text = _digest(F.col(f"`{text_col}`"))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_leader")) & (text == F.col("_leader_text"))
+    kept = docs.join(leaders.drop("_rows"), same, "left_semi")
+    if leaders.filter("_rows > 1").isEmpty():
+        return kept
+    return kept.withColumn("_leader_text", text).dropDuplicates([id_col, "_leader_text"]).drop("_leader_text")

@@ -103,6 +103,32 @@ def test_edge_cases(spark):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_dropping_tells_components_apart_when_ids_do_not(spark):
+    draw = random.Random(6)
+
+    def text():
+        return " ".join(f"w{draw.randint(0, 10**6)}" for _ in range(60))
+
+    first, second, third, *others = [text() for _ in range(40)]
+    data = [(None, t) for t in others[:20]] + [(5, t) for t in others[20:]]  # no near-duplicates among them
+    data += [(None, others[0]), (5, others[20].upper())]  # repeats of a row without an id and of one with it
+    data += [(1, first), (2, second), (9, second), (9, third), (1, second.upper())]  # 1 leads both first and second
+    docs = spark.createDataFrame([(i, t, "z", 0) for i, t in data], "doc_id int, text string, root string, rows int")
+    assert len({fingerprint(t) for _, t in data}) == 40
+    kept = drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    found = sorted((r.doc_id or -1, r.text.lower()) for r in kept.collect())
+    wanted = [(-1, t) for t in others[:20]] + [(5, t) for t in others[20:]]
+    assert found == sorted(wanted + [(1, first), (1, second), (9, third)])
+
+
+def test_an_id_that_leads_elsewhere_saves_no_second_member(spark):
+    alike, other = " ".join("abcdefgh"), "quite another text " * 9
+    data = [(1, alike), (2, other), (2, alike), (3, other)]  # 2 leads the others' component only
+    docs = spark.createDataFrame(data, "doc_id int, text string")
+    assert sorted(map(tuple, drop_near_duplicates(docs).collect())) == [(1, alike), (2, other)]
+
+
 def test_components_of_a_path_and_a_star(spark):
     n = 300
     path = [(i, i + 1) for i in range(n)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5), (None, 3)]
