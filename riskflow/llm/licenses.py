@@ -17,18 +17,19 @@ import zlib
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from riskflow.llm.common import bounded_batches, text_rows
-from riskflow.llm.license_texts import TEMPLATES
+from riskflow.llm.license_texts import OTHER_VERSIONS, SHINGLE, TEMPLATES, body_windows
 
-SHINGLE = 5
 SIZES = (1, 2, 4, 8)
 BANDS, ROWS = 8, 2
 CONTAINMENT = 0.8
+SHORT_WORDS = 20  # a template up to this length needs its version words
 SLACK = 0.25  # a match may be this much longer than its template
 SEED = 11
 BITMAP_BITS = 16
@@ -92,8 +93,9 @@ class Scanner:
     """Templates with their band tables, made once per worker."""
 
     def __init__(self, templates: Mapping[tuple[str, str], str] | None = None) -> None:
-        self._names = list(templates or TEMPLATES)
-        self._words = [words_of(text) for text in (templates or TEMPLATES).values()]
+        templates = templates or TEMPLATES | OTHER_VERSIONS | body_windows()
+        self._names = list(templates)
+        self._words = [words_of(text) for text in templates.values()]
 
     @cached_property
     def _shingles(self) -> list[set[tuple[bytes, ...]]]:
@@ -149,7 +151,11 @@ class Scanner:
         return [self._verified(*pair) if pair[1] else [] for pair in zip(worded, self.candidates(worded))]
 
     def _verified(self, words: list[bytes], candidates: set[tuple[int, int]]) -> list[Match]:
-        """Matches in the order of their places; of overlapping ones of a template the best, then the first."""
+        """Matches in the order of their places; of overlapping ones of a template the best, then the first.
+
+        Of different templates, one goes whose words mostly lie in matches that hold more shingles. A short
+        template must hold a shingle with each of its version words.
+        """
         scored = []
         for template, at in candidates:
             length, wanted = len(self._words[template]), self._shingles[template]
@@ -162,6 +168,10 @@ class Scanner:
                 if shingle in wanted and (shingle not in places or abs(i - at) < abs(places[shingle] - at)):
                     places[shingle] = i
             share = len(places) / len(wanted)
+            if len(self._words[template]) <= SHORT_WORDS:
+                versions = {w for w in self._words[template] if any(48 <= b < 58 for b in w)}
+                if versions.difference(*places):
+                    continue
             if share >= CONTAINMENT:
                 scored.append((-share, min(places.values()), max(places.values()) + SHINGLE, template))
         taken: dict[int, list[tuple[int, int]]] = {}
@@ -169,10 +179,23 @@ class Scanner:
         for share, start, end, template in sorted(scored):
             if all(end <= a or start >= b for a, b in taken.setdefault(template, [])):
                 taken[template].append((start, end))
-                matches.append(Match(*self._names[template], start, end, -share))
+                matches.append((round(-share * len(self._shingles[template])), Match(*self._names[template], start, end, -share)))
+        matches = self._best(matches)
         return sorted(matches, key=lambda m: (m.start_word, m.end_word, m.license_id, m.template))
 
 
+    @staticmethod
+    def _best(found: list[tuple[int, Match]]) -> list[Match]:
+        """The matches that no stretch of matches with more shingles covers by more than half."""
+        best, covered = [], set()
+        for _, equal in groupby(sorted(found, key=lambda f: -f[0]), key=lambda f: f[0]):
+            spans = [(m, range(m.start_word, m.end_word)) for _, m in equal]
+            staying = [(m, span) for m, span in spans if 2 * sum(i in covered for i in span) <= len(span)]
+            best += [m for m, _ in staying]
+            covered.update(*(span for _, span in staying))
+        return best
+
+
 def scan_licenses(
     docs: DataFrame,
     templates: Mapping[tuple[str, str], str] | None = None,

@@ -1,10 +1,11 @@
 from __future__ import annotations
 
 import random
+from importlib import resources
 
 from conftest import MEDIUM
 from riskflow.llm import licenses
-from riskflow.llm.license_texts import TEMPLATES
+from riskflow.llm.license_texts import BODIES, TEMPLATES
 from riskflow.llm.licenses import BANDS, CONTAINMENT, ROWS, SHINGLE, Scanner, scan_licenses, words_of
 from riskflow.llm.queries import queries
 
@@ -64,6 +65,25 @@ def test_edited_copies_decide_by_containment():
             assert (name in names) == (name in contained(whole))
 
 
+def ids(text):
+    return {m.license_id for m in SCANNER.scan([text])[0]}
+
+
+def test_bodies_versions_and_variants():
+    for license_id, file in BODIES.items():
+        body = (resources.files("riskflow.llm") / "license_bodies" / f"{file}.txt").read_text("utf-8")
+        middle = " ".join(body.split()[len(body.split()) // 3 :][:300])
+        assert any(license_id in found.split(" or ") for found in ids(middle)), license_id
+    assert ids("This work is licensed under the GNU General Public License, version 2.") == {"GPL-2.0"}
+    assert ids("This work is licensed under the GNU General Public License, version 3.") == {"GPL-3.0"}
+    assert ids("This work is licensed under the GNU General Public License, version 9.") == set()
+    for kind in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND"):
+        assert ids(f"x Licensed under CC {kind} 4.0. y") == {f"CC-{kind}-4.0"}
+    assert ids(TEMPLATES["MIT", "disclaimer"]) == {"MIT"} and ids(TEMPLATES["Zlib", "grant"]) == {"Zlib"}
+    notice = SCANNER.scan([TEMPLATES["Apache-2.0", "notice"]])[0]
+    assert [m.template for m in notice] == ["notice"]
+
+
 def test_band_settings():
     assert 1 - (1 - 0.8**ROWS) ** BANDS > 0.999
 
