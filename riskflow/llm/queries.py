@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskflow.llm.chat import format_chat
 from riskflow.llm.exact_dedup import exact_duplicates
 from riskflow.llm.language import identify_language, train as train_language
 from riskflow.llm.licenses import scan_licenses
+from riskflow.llm.line_dedup import deduplicate_lines
 from riskflow.llm.mixing import mix_sources
 from riskflow.llm.packing import pack_documents, with_digests
 from riskflow.llm.quality import quality_verdicts
@@ -63,6 +64,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines before and lost, and the digest of the text that stays."""
+    left = deduplicate_lines(read_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -75,4 +82,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat": op8_chat,
         "op9_warc": op9_warc,
         "op10_simhash": op10_simhash,
+        "op13_line_dedup": op13_line_dedup,
     }

@@ -31,6 +31,25 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM keyed
 """
 
+LINE_DEDUP = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), places AS (
+    SELECT r, doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM texts
+), keyed AS (
+    SELECT r, doc_id, i, lines[i] AS line,
+           trim(translate(lines[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+    FROM places
+), shared AS (
+    SELECT key, max(doc_id) AS keep FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT r) >= 3
+)
+SELECT k.doc_id, count(*) AS n_lines, count(*) FILTER (WHERE keep IS NOT NULL AND keep <> k.doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE keep IS NULL OR keep = k.doc_id), '')) AS kept_sha256
+FROM keyed k LEFT JOIN shared USING (key)
+GROUP BY r, k.doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP, "op9_warc": WARC}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op9_warc": WARC, "op13_line_dedup": LINE_DEDUP}
