@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskflow.llm.chat import format_chat
+from riskflow.llm.collocations import collocations
 from riskflow.llm.exact_dedup import exact_duplicates
 from riskflow.llm.language import identify_language, train as train_language
 from riskflow.llm.licenses import scan_licenses
@@ -64,6 +65,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language."""
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines before and lost, and the digest of the text that stays."""
     left = deduplicate_lines(read_table(spark, sf_dir, "documents"))
@@ -82,5 +88,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat": op8_chat,
         "op9_warc": op9_warc,
         "op10_simhash": op10_simhash,
+        "op12_collocations": op12_collocations,
         "op13_line_dedup": op13_line_dedup,
     }

@@ -50,6 +50,51 @@ FROM keyed k LEFT JOIN shared USING (key)
 GROUP BY r, k.doc_id
 """
 
+COLLOCATIONS = r"""
+WITH texts AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+), pieces AS (
+    SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts
+), split AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), places AS (
+    SELECT lang, w, len, unnest(range(1, len(w) - len + 2)) AS i FROM split, (VALUES (1), (2), (3), (4)) AS v(len)
+), phrases AS (
+    SELECT lang, array_to_string(w[i : i + len - 1], ' ') AS phrase, count(*) AS f FROM places GROUP BY ALL HAVING count(*) >= 30
+), totals AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang
+), candidates AS (
+    SELECT lang, phrase, string_split(phrase, ' ') AS w, f AS a FROM phrases WHERE contains(phrase, ' ')
+), cuts AS (
+    SELECT *, unnest(range(1, len(w))) AS k FROM candidates
+), cut_scores AS (
+    SELECT c.lang, c.phrase, c.w, c.a, k, x.f AS l, y.f AS r,
+           ((2000000::HUGEINT * c.a) // (x.f + y.f))::BIGINT AS score
+    FROM cuts c
+    JOIN phrases x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : k], ' ')
+    JOIN phrases y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1 : len(c.w)], ' ')
+), scored AS (
+    SELECT * FROM cut_scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_places AS (
+    SELECT lang, w, a, m, unnest(range(1, len(w) - m + 2)) AS i FROM candidates, (VALUES (2), (3)) AS v(m) WHERE len(w) > m
+), around AS (
+    SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, max(a) AS longest FROM inner_places GROUP BY ALL
+), ranked AS (
+    SELECT s.lang, s.phrase, a, l, r, score,
+           row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+    FROM scored s LEFT JOIN around o ON o.lang = s.lang AND o.phrase = s.phrase
+    WHERE longest IS NULL OR 100 * longest < 80 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP, "op9_warc": WARC, "op13_line_dedup": LINE_DEDUP}
+    return {
+        "op1_exact_dedup": EXACT_DEDUP,
+        "op9_warc": WARC,
+        "op12_collocations": COLLOCATIONS,
+        "op13_line_dedup": LINE_DEDUP,
+    }
