@@ -240,7 +240,7 @@ def quicksort_phrases(suffixes: Suffixes, hot: set[bytes], least: int) -> Iterat
     """
     codes, counts, words = suffixes.codes, suffixes.counts, suffixes.words
     is_hot = np.array([w in hot for w in words])
-    waiting = [(np.arange(codes.shape[1]), 0, True)]
+    waiting = [(np.arange(codes.shape[1]), 0, True)] if codes.shape[1] else []
     while waiting:
         pointers, depth, partial = waiting.pop()
         column = codes[depth][pointers]
