@@ -11,6 +11,7 @@ from riskflow.llm.chat import format_chat
 from riskflow.llm.collocations import collocations
 from riskflow.llm.exact_dedup import exact_duplicates
 from riskflow.llm.language import identify_language, train as train_language
+from riskflow.llm.lexical import rank_documents
 from riskflow.llm.licenses import scan_licenses
 from riskflow.llm.line_dedup import deduplicate_lines
 from riskflow.llm.mixing import mix_sources
@@ -65,6 +66,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents for each benchmark item."""
+    return rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of each language."""
     return collocations(read_table(spark, sf_dir, "documents"))
@@ -88,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat": op8_chat,
         "op9_warc": op9_warc,
         "op10_simhash": op10_simhash,
+        "op11_lexical_search": op11_lexical_search,
         "op12_collocations": op12_collocations,
         "op13_line_dedup": op13_line_dedup,
     }

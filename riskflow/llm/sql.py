@@ -50,6 +50,38 @@ FROM keyed k LEFT JOIN shared USING (key)
 GROUP BY r, k.doc_id
 """
 
+LEXICAL_SEARCH = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), counted AS (
+    SELECT row_number() OVER () AS r, doc_id, len(terms)::BIGINT AS n, terms FROM texts WHERE len(terms) > 0
+), totals AS (
+    SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM counted
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), postings AS (
+    SELECT r, doc_id, n, term, count(*)::BIGINT AS tf
+    FROM (SELECT r, doc_id, n, unnest(terms) AS term FROM counted)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM postings, totals GROUP BY term
+), scores AS (
+    SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * big_n) // big_l))))::BIGINT AS score
+    FROM asked JOIN postings USING (term) JOIN weights USING (term), totals
+    GROUP BY item_id, r, doc_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 COLLOCATIONS = r"""
 WITH texts AS (
     SELECT coalesce(lang, 'und') AS lang,
@@ -95,6 +127,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_DEDUP,
         "op9_warc": WARC,
+        "op11_lexical_search": LEXICAL_SEARCH,
         "op12_collocations": COLLOCATIONS,
         "op13_line_dedup": LINE_DEDUP,
     }
