@@ -42,6 +42,7 @@ CHUNK_WORDS = 1 << 20  # suffixes that a task sorts at a time
 BUCKET_WORDS = 1 << 20  # occurrences of a word above which it is hot; grows so that hot words stay below MAX_HOT
 MAX_HOT = 1 << 20
 FANOUT = 1024
+MAX_PARTITIONS = 20_000  # beyond that a task reads several buckets, one after the other
 COUNTER_WORDS = 1 << 18  # distinct words that a task holds before it hands them on
 UNKNOWN = "und"
 GAP = b"."  # a separator between pieces, so never part of a word
@@ -262,6 +263,25 @@ def quicksort_phrases(suffixes: Suffixes, hot: set[bytes], least: int) -> Iterat
             waiting.append((same, depth + 1, inside))
 
 
+def _met(texts: DataFrame, hot: dict[str, set[bytes]], buckets: int, chunk_words: int, fanout: int) -> DataFrame:
+    """All suffixes, those of a bucket together in one partition and one after the other.
+
+    A task deals to at most about ``fanout`` runs of buckets at a time. A run that is dealt again need not meet as a
+    whole, so it is spread over many tasks.
+    """
+    rounds = 1
+    while fanout**rounds < buckets:
+        rounds += 1
+    step = max(2, ceil(buckets ** (1 / rounds)))
+    width = step ** (rounds - 1)
+    dealt = _deal_texts(texts, hot, buckets, width, chunk_words)
+    while width > 1:
+        width //= step
+        spread = dealt.repartition("bucket", F.pmod(F.xxhash64("suffixes"), F.lit(SHARDS)))
+        dealt = materialize(_deal_again(spread.sortWithinPartitions("bucket"), hot, buckets, width, chunk_words), "dealt")
+    return dealt.repartition(min(buckets, MAX_PARTITIONS), "bucket").sortWithinPartitions("bucket", "lang")
+
+
 def _mine(dealt: DataFrame, hot: dict[str, set[bytes]], least: int) -> DataFrame:
     """(lang, phrase, n) of the buckets that have met; phrases of hot words may come in parts."""
 
@@ -310,15 +330,7 @@ def frequent_phrases(
         hot[r.lang].add(r.word.encode("utf-8", "surrogatepass"))
     hot = dict(hot)
     buckets = max(1, ceil(2 * total / room))
-    rounds = max(1, ceil(np.log(buckets) / np.log(fanout)))
-    width = fanout ** (rounds - 1)
-    dealt = _deal_texts(texts, hot, buckets, width, chunk_words)
-    while True:
-        met = dealt.repartition(min(fanout, buckets), "bucket").sortWithinPartitions("bucket", "lang")
-        if width == 1:
-            break
-        width //= fanout
-        dealt = materialize(_deal_again(met, hot, buckets, width, chunk_words), "dealt")
+    met = _met(texts, hot, buckets, chunk_words, fanout)
     phrases = _mine(met, hot, min_count).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
     both = phrases.unionByName(words.withColumnRenamed("word", "phrase")).filter(F.col("f") >= min_count)
     return materialize(both, "phrases"), totals
