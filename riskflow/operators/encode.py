@@ -10,6 +10,8 @@ from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StringIndexer, Strin
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskflow.fixed_values import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
+from riskflow.operators.joins import attach_list
+from riskflow.operators.ranking import running_totals
 
 FEATURES = "features"
 SCALED = "scaledFeatures"
@@ -40,6 +42,34 @@ def indexer(columns: Sequence[str] = CATEGORICAL_FEATURES, handle_invalid: str =
     )
 
 
+def wide_index(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> DataFrame:
+    """(column, value, index): the indexes that ``indexer`` gives, for columns with any number of values.
+
+    Most frequent value first, ties by name; ``weight`` counts a row that often. The indexes are a table: no value
+    comes to the driver, and ranks are running totals over ranges of the order.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    times = F.col(weight) if weight else F.lit(1)
+    counted = (
+        df.select(F.explode(cells).alias("cell"), times.alias("times"))
+        .filter("cell.value IS NOT NULL")
+        .groupBy("cell.column", "cell.value")
+        .agg(F.sum("times").alias("n"))
+        .withColumn("one", F.lit(1))
+    )
+    ranked = running_totals(counted, [F.desc("n"), F.asc("value")], "one", ["column"], "index")
+    return ranked.select("column", "value", "index")
+
+
+def with_index(df: DataFrame, indexes: DataFrame, column: str, output: str | None = None) -> DataFrame:
+    """``df`` with the index of ``column`` as a double, null for null and for values that have none."""
+    name = output or f"{column}_index"
+    own = indexes.filter(F.col("column") == column).select(
+        F.col("value").alias("_value"), F.col("index").cast("double").alias(name)
+    )
+    return attach_list(df.withColumn("_value", F.col(column).cast("string")), own, ["_value"], "left").drop("_value")
+
+
 def encoder(columns: Sequence[str] = CATEGORICAL_FEATURES, handle_invalid: str = "error") -> OneHotEncoder:
     """One column per index but the last."""
     return OneHotEncoder(

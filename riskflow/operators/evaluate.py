@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskflow.fixed_values import LABEL
 from riskflow.functions import ratio
+from riskflow.operators.ranking import running_totals
 
 
 def _counts(label: Column, prediction: Column, weight: Column | None = None) -> list[Column]:
@@ -68,6 +69,30 @@ def confusion_matrix(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return counts.select(*by, F.inline(rows))
 
 
+def area_under_roc(
+    predictions: DataFrame, score: str = "probability", label: str = LABEL, by: Sequence[str] = ()
+) -> DataFrame:
+    """The exact area under the ROC curve: (by, positives, negatives, auc).
+
+    The share of pairs of a positive and a negative row in which the positive one has the higher score, ties being
+    half a pair. Rows are counted per distinct score before they are shuffled; the negatives below a score are a
+    running total, so nothing is binned and no task sorts everything. Sums are exact decimals. Rows without a score
+    or a label are left out; the area is null if a class has no row.
+    """
+    known = predictions.filter(F.col(score).isNotNull() & F.col(label).isin(0, 1))
+    counted = known.groupBy(*by, F.col(score).alias("_score")).agg(
+        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
+    )
+    ranked = running_totals(counted, [F.asc("_score")], "_neg", by, "_below")
+    exact = [F.col(c).cast("decimal(19,0)") for c in ("_pos", "_below", "_neg")]
+    twice = (exact[0] * (2 * exact[1] + exact[2])).cast("decimal(38,0)")
+    sums = ranked.groupBy(*by).agg(
+        F.sum("_pos").alias("positives"), F.sum("_neg").alias("negatives"), F.sum(twice).alias("_twice")
+    )
+    pairs = 2 * F.col("positives").cast("double") * F.col("negatives")
+    return sums.withColumn("auc", F.try_divide(F.col("_twice").cast("double"), pairs)).drop("_twice")
+
+
 def long_metrics(measured: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Metrics as (metric, value), named for run tracking."""
     names = ["accuracy", "precision", "recall", "f1", "tp", "tn", "fp", "fn"]

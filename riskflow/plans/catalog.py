@@ -11,13 +11,36 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskflow.fixed_values import NUMERIC_FEATURES, RAW_COLUMNS, REFIT_SEED, REFIT_WEIGHTS
 from riskflow.functions import risk_bucket
 from riskflow.operators import classify, compare, decide, features, quality, sampling
-from riskflow.operators.encode import assembler, encoder, indexer, skipped_rows
-from riskflow.operators.evaluate import confusion, confusion_matrix, long_metrics, metrics
+from riskflow.operators.encode import assembler, encoder, indexer, skipped_rows, wide_index, with_index
+from riskflow.operators.evaluate import area_under_roc, confusion, confusion_matrix, long_metrics, metrics
 from riskflow.operators.quality import Rules
 from riskflow.plans import jobs, stand_ins
 from riskflow.session import materialize, new_path, pin_time_zone
+from riskflow.sinks import (
+    compact_runs,
+    drop_logged,
+    log_run,
+    publish,
+    read_runs,
+    read_version,
+    run_rows,
+    write_report_text,
+)
+from riskflow.sinks.versions import hadoop_path
 from riskflow.sources import parse_lines, ragged_rows, read_delimited, read_table
-from riskflow.streaming import decode_messages, land_lines, start_table
+from riskflow.streaming import (
+    decode_messages,
+    dedupe_stream,
+    fast_credit_stream,
+    land_files,
+    land_lines,
+    read_batches,
+    start_table,
+    start_with_list,
+    sync_files,
+    window_counts,
+    with_event_time,
+)
 
 # Fits that run at a time. Each keeps its own copy of the training rows, in memory or on disk.
 SEARCH_PARALLELISM = 4
@@ -62,16 +85,34 @@ def text_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_lines(lines, RAW_COLUMNS, stand_ins.HEADER)
 
 
-def file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines written as a file per day, an empty one among them, and read by the header of each."""
+def _write_files(files: DataFrame, path: str) -> None:
+    """A file per day, its header first."""
+    dealt = files.repartition("day").sortWithinPartitions("day", "place")
+    dealt.select("day", "value").write.partitionBy("day").text(path)
+
+
+def _raw_files(spark: SparkSession, sf_dir: str) -> str:
+    """Lines written as a file per day, an empty one among them; on even days two columns are exchanged."""
     source = new_path(spark, "raw-files")
     files = stand_ins.raw_files(_events(spark, sf_dir))
-    files.repartition("day").sortWithinPartitions("day", "place").select("day", "value").write.partitionBy(
-        "day"
-    ).text(source)
+    _write_files(files, source)
     files.select("value").limit(0).coalesce(1).write.text(f"{source}/day=1900-01-01")
-    parsed, _ = read_delimited(spark, source)
-    return parsed.drop("source_file").withColumn("source_date", F.col("source_date").cast("string"))
+    return source
+
+
+def _dated_text(landed: DataFrame) -> DataFrame:
+    return landed.withColumn("source_date", F.col("source_date").cast("string"))
+
+
+def file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files read by the header of each."""
+    parsed, _ = read_delimited(spark, _raw_files(spark, sf_dir))
+    return _dated_text(parsed.drop("source_file"))
+
+
+def profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile as written: one line per metric."""
+    return spark.read.text(write_report_text(profile(spark, sf_dir), new_path(spark, "profile-text")))
 
 
 def ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,9 +286,24 @@ def skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skipped_rows(_typed(spark, sf_dir), NUMERIC_FEATURES)
 
 
+def string_index_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the index of their order, a column with as many values as there are orders."""
+    items = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return with_index(items, wide_index(items, ["l_orderkey"]), "l_orderkey")
+
+
 # Evaluation and comparison
 
 
+def auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two fixed scores as models: the amount in tens, which has many ties, and the amount itself."""
+    events = _events(spark, sf_dir)
+    scores = {"tens": F.floor(F.col("value") / 10).cast("double"), "amount": F.col("value")}
+    cells = F.array(*[F.struct(F.lit(m).alias("model"), x.alias("score")) for m, x in scores.items()])
+    label = (F.col("event_type") == "error").cast("int")
+    return area_under_roc(events.select(label.alias("label"), F.inline(cells)), "score", "label", ["model"])
+
+
 def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stand_ins.rule_predictions(_events(spark, sf_dir))
 
@@ -443,9 +499,123 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.withColumn("source_date", F.col("source_date").cast("string"))
 
 
+def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of ``file_ingest`` landed as they arrive, seven at a time, each by its own header."""
+    source, target = _raw_files(spark, sf_dir), new_path(spark, "landed")
+    checkpoint = new_path(spark, "landed-checkpoint")
+    land_files(spark, source, target, checkpoint, stand_ins.HEADER, max_files_per_trigger=7).awaitTermination()
+    return _dated_text(read_batches(spark, target))
+
+
+def changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files synchronised; the last day's file is replaced under its name by its complete lines; again.
+
+    ``times_read`` says how often the files of a date were read.
+    """
+    source, target, seen = _raw_files(spark, sf_dir), new_path(spark, "synced"), new_path(spark, "seen")
+    sync_files(spark, source, target, seen, stand_ins.HEADER)
+    files = stand_ins.raw_files(_events(spark, sf_dir))
+    last = files.agg(F.max("day")).head()[0]
+    complete = (F.col("place") == 0) | (F.size(F.split("value", ",")) == len(RAW_COLUMNS))
+    other = new_path(spark, "other-files")
+    _write_files(files.filter((F.col("day") == last) & complete), other)
+    _replace_file(spark, f"{other}/day={last}", f"{source}/day={last}")
+    again = sync_files(spark, source, target, seen, stand_ins.HEADER)
+    landed = _dated_text(spark.read.parquet(target))
+    return landed.withColumn("times_read", F.when(F.col("source_date").isin(again), 2).otherwise(1))
+
+
+def _replace_file(spark: SparkSession, new_folder: str, old_folder: str) -> None:
+    """The one file of a folder takes the place and the name of the other folder's one."""
+    system, _ = hadoop_path(spark, new_folder)
+    pair = []
+    for folder in (new_folder, old_folder):
+        listed = system.listStatus(hadoop_path(spark, folder)[1])
+        pair += [f.getPath() for f in listed if not f.getPath().getName().startswith(("_", "."))]
+    system.delete(pair[1], False)
+    system.rename(pair[0], pair[1])
+
+
+def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = _events(spark, sf_dir).schema
+    arriving = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
+    return arriving.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _stored_stream(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+    """What a stream appends until its input is used up."""
+    target = new_path(spark, name)
+    start_table(stream, target, new_path(spark, f"{name}-checkpoint")).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(target)
+
+
+def fast_credit_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases soon after a click of the same user, both as streams."""
+    asked = _arriving(spark, sf_dir).filter("event_type = 'click'").select("user_id", F.col("ts").alias("at"))
+    issued = _arriving(spark, sf_dir).filter("event_type = 'purchase'")
+    fast = fast_credit_stream(asked, issued.withColumnRenamed("ts", "at"), "user_id")
+    return _stored_stream(spark, fast.select("event_id"), "fast-credits")
+
+
+def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per type and six hours, as far as the watermark has closed them."""
+    counted = window_counts(_arriving(spark, sf_dir), "ts", "6 hours", ["event_type"])
+    stored = _stored_stream(spark, counted, "windows")
+    return stored.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("window_start", "window_end")})
+
+
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions with copies, those of the second half delivered once more in another file."""
+    rows = with_event_time(_raw(spark, sf_dir), "tx_datetime").filter("event_time IS NOT NULL")
+    source = new_path(spark, "delivered")
+    middle = rows.agg(F.expr("timestamp_micros((unix_micros(min(event_time)) + unix_micros(max(event_time))) div 2)"))
+    for delivery in (rows, rows.filter(F.col("event_time") >= F.lit(middle.head()[0]))):
+        delivery.coalesce(1).write.mode("append").parquet(source)
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    return _stored_stream(spark, dedupe_stream(arriving, RAW_COLUMNS, "event_time", "60 days"), "deduped").drop("event_time")
+
+
+def runs_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty runs logged one by one, compacted after the twelfth and after the last, and read back.
+
+    ``n_files`` is the number of files that the last version has.
+    """
+    path = new_path(spark, "runs-table")
+    run = F.pmod("event_id", F.lit(20)).cast("string")
+    totals = _events(spark, sf_dir).groupBy(run.alias("run"), "event_type").agg(F.count(F.lit(1)).alias("value"))
+    totals = materialize(totals, "run-values")
+    for i in range(20):
+        log_run(run_rows(totals.filter(F.col("run") == str(i)), f"run-{i}", "LR", "metric", "event_type"), path)
+        if i == 11:
+            compact_runs(spark, path)
+    compact_runs(spark, path)
+    drop_logged(spark, path)
+    n_files = read_version(spark, path).select(F.col("_metadata.file_path")).distinct().count()
+    return read_runs(spark, path).drop("ts").withColumn("n_files", F.lit(n_files))
+
+
 # Decisions
 
 
+def stream_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of listed users, in two batches; between them the list is published anew, with all listings.
+
+    The first list knows only listings before the middle of the period; so do the events of the first batch.
+    """
+    events = _events(spark, sf_dir)
+    middle = F.lit(events.agg(F.expr("date_add(min(ts), int(datediff(max(ts), min(ts)) div 2))")).head()[0])
+    source, listed, target = (new_path(spark, n) for n in ("arriving-events", "device-list", "judged"))
+    checkpoint = new_path(spark, "judged-checkpoint")
+    early = F.to_date("ts") < middle
+    for known, part in ((early, early), (F.lit(True), ~early)):
+        publish(decide.listed_periods(_listings(events.filter(known)), "user_id"), listed)
+        events.filter(part).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(events.schema).parquet(source)
+        judged = lambda batch, active: decide.blacklisted(batch, active, "user_id", "ts").select("event_id")
+        start_with_list(arriving, listed, judged, target, checkpoint).awaitTermination()
+    return read_batches(spark, target)
+
+
 def _decided(events: DataFrame) -> DataFrame:
     return events.withColumn("decision", decide.decision(F.col("value"), 40, 100))
 
@@ -501,6 +671,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "text_ingest": text_ingest,
         "file_ingest": file_ingest,
+        "profile_report": profile_report,
         "ragged_rows": ragged,
         "profile": profile,
         "missing_by_column": missing_by_column,
@@ -527,6 +698,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sample_with_replacement": sample_with_replacement,
         "hash_sample": hash_sample,
         "string_index": string_index,
+        "string_index_wide": string_index_wide,
         "one_hot": one_hot,
         "min_max": min_max,
         "assemble_skip": assemble_skip,
@@ -534,6 +706,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "confusion": confusion_counts,
         "confusion_matrix": matrix,
         "metrics": metric_values,
+        "auc": auc,
         "bootstrap": bootstrap,
         "bootstrap_summary": bootstrap_summary,
         "density": density,
@@ -553,6 +726,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_decode": json_decode,
         "stream_decode": stream_decode,
         "stream_landing": stream_landing,
+        "landed_files": landed_files,
+        "changed_files": changed_files,
+        "fast_credit_stream": fast_credit_arrivals,
+        "stream_windows": stream_windows,
+        "stream_dedupe": stream_dedupe,
+        "stream_blacklist": stream_blacklist,
+        "runs_compacted": runs_compacted,
         "decision_tiers": decision_tiers,
         "blacklist_payee": blacklist_payee,
         "blacklist_device": blacklist_device,

@@ -294,6 +294,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "text_ingest": f"{raw}, {_LINES.strip()}\nSELECT {_FIELD_COLUMNS} FROM fields",
         "file_ingest": f"{raw}, {_LINES.strip()}\nSELECT {_FIELD_COLUMNS}, day AS source_date, true AS fits FROM fields",
+        "profile_report": f"SELECT metric || ' ' || value AS value FROM ({_profile()})",
         "ragged_rows": f"""{raw}, {_LINES.strip()}
             SELECT {_FIELD_COLUMNS} FROM fields WHERE len(f) <> 7""",
         "profile": _profile(),
@@ -356,6 +357,11 @@ def oracle_sql() -> dict[str, str]:
         "string_index": f"""WITH {_RANKED.format(table='events', column='event_type').strip()}
             SELECT event_id, event_type, CAST(i AS DOUBLE) AS event_type_index
             FROM events JOIN ranked ON category = event_type""",
+        "string_index_wide": """WITH counted AS (
+              SELECT l_orderkey AS k, row_number() OVER (ORDER BY count(*) DESC, CAST(l_orderkey AS VARCHAR)) - 1 AS i
+              FROM lineitem GROUP BY l_orderkey)
+            SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(i AS DOUBLE) AS l_orderkey_index
+            FROM lineitem JOIN counted ON k = l_orderkey""",
         "one_hot": f"""WITH {_RANKED.format(table='orders', column='o_orderpriority').strip()}
             SELECT o_orderkey, o_orderpriority,
                    array_to_string(list_transform(range(0, n_categories - 1), lambda k: CASE WHEN k = i THEN 1 ELSE 0 END), ',') AS encoded
@@ -373,6 +379,18 @@ def oracle_sql() -> dict[str, str]:
             FROM predictions GROUP BY model, label, guess""",
         "metrics": f"""WITH {_PREDICTIONS.strip()}, {_CONFUSION.strip()}
             SELECT *, {_METRICS} FROM counts""",
+        "auc": """WITH scores AS (
+              SELECT 'tens' AS model, event_type = 'error' AS pos, floor(value / 10) AS score FROM events
+              UNION ALL SELECT 'amount', event_type = 'error', value FROM events),
+            counted AS (
+              SELECT model, score, count(*) FILTER (WHERE pos) AS p, count(*) FILTER (WHERE NOT pos) AS n
+              FROM scores GROUP BY model, score),
+            below AS (
+              SELECT *, coalesce(sum(n) OVER (PARTITION BY model ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
+              FROM counted)
+            SELECT model, CAST(sum(p) AS BIGINT) AS positives, CAST(sum(n) AS BIGINT) AS negatives,
+                   CAST(sum(p * (2 * b + n)) AS DOUBLE) / (2 * CAST(sum(p) AS DOUBLE) * CAST(sum(n) AS DOUBLE)) AS auc
+            FROM below GROUP BY model""",
         "bootstrap": f"{_BOOTSTRAP}\nSELECT * FROM replicates",
         "bootstrap_summary": f"""{_BOOTSTRAP}
             SELECT model, metric, n, round(mean, 9) AS mean, round(std, 9) AS std,
@@ -412,6 +430,35 @@ def oracle_sql() -> dict[str, str]:
         "json_decode": _DECODED,
         "stream_decode": _DECODED,
         "stream_landing": f"{raw}, {_LINES.strip()}\nSELECT {_FIELD_COLUMNS}, day AS source_date FROM fields",
+        "landed_files": f"{raw}, {_LINES.strip()}\nSELECT {_FIELD_COLUMNS}, day AS source_date, true AS fits FROM fields",
+        "changed_files": f"""{raw}, {_LINES.strip()}, last AS (SELECT max(day) AS last_day FROM lines)
+            SELECT {_FIELD_COLUMNS}, day AS source_date, true AS fits,
+                   CAST(CASE WHEN day = last_day THEN 2 ELSE 1 END AS INTEGER) AS times_read
+            FROM fields, last WHERE day <> last_day OR len(f) = 7""",
+        "fast_credit_stream": """SELECT event_id FROM events c WHERE event_type = 'purchase' AND EXISTS (
+              SELECT 1 FROM events a WHERE a.event_type = 'click' AND a.user_id = c.user_id
+                AND epoch_us(c.ts) - epoch_us(a.ts) BETWEEN 60000000 AND 300000000)""",
+        # A window is out once it ends no later than the watermark, one hour behind the latest event.
+        "stream_windows": """WITH windows AS (
+              SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS s, event_type, count(*) AS n
+              FROM events GROUP BY ALL)
+            SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start,
+                   strftime(s + INTERVAL 6 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end, event_type, n
+            FROM windows WHERE s + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+        "stream_dedupe": f"{raw}\nSELECT DISTINCT {_COLUMNS} FROM raw WHERE {_TIME} IS NOT NULL",
+        "stream_blacklist": """WITH period AS (
+              SELECT CAST(min(ts) AS DATE) + CAST(date_diff('day', CAST(min(ts) AS DATE), CAST(max(ts) AS DATE)) // 2 AS INTEGER) AS middle
+              FROM events),
+            listed AS (
+              SELECT DISTINCT user_id, CAST(ts AS DATE) AS first_day FROM events WHERE event_type = 'error' AND value > 150)
+            SELECT event_id, CASE WHEN CAST(e.ts AS DATE) < middle THEN 1 ELSE 2 END AS list_version
+            FROM events e, period WHERE EXISTS (
+              SELECT 1 FROM listed l WHERE l.user_id = e.user_id AND CAST(e.ts AS DATE) >= l.first_day
+                AND CAST(e.ts AS DATE) < l.first_day + 7
+                AND (l.first_day < middle OR CAST(e.ts AS DATE) >= middle))""",
+        "runs_compacted": """SELECT 'run-' || event_id % 20 AS run_id, 'LR' AS model, 'metric' AS kind, event_type AS name,
+              CAST(count(*) AS VARCHAR) AS value, CAST(1 AS INTEGER) AS n_files
+            FROM events GROUP BY event_id % 20, event_type""",
         "train_predict": f"""{prepared}
             SELECT tranaction_id, copy_no, tx_fraud, true AS sound FROM prepared WHERE split = 1""",
         "train_metrics": f"{prepared}\n{_TOTALS} FROM prepared WHERE split = 1",

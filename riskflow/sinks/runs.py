@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from riskflow.session import materialize
+from riskflow.sinks.versions import drop_old_versions, hadoop_path, publish, read_version
+
 
 def run_rows(values: DataFrame, run_id: str, model: str, kind: str, name: str = "metric") -> DataFrame:
     """Named values of one run: (run_id, model, kind, name, value, ts); ``kind`` is param or metric."""
@@ -17,13 +22,49 @@ def run_rows(values: DataFrame, run_id: str, model: str, kind: str, name: str =
     )
 
 
+RUNS = "run_id string, model string, kind string, name string, value string, ts timestamp"
+
+
 def log_run(rows: DataFrame, path: str) -> None:
     """Append, so that runs of several jobs share one table."""
     rows.coalesce(1).write.mode("append").parquet(path)
 
 
+def _fresh(spark: SparkSession, path: str) -> DataFrame:
+    """Logged rows that no version holds yet, with the file they lie in."""
+    logged = spark.read.schema(RUNS).parquet(path).withColumn("_file", F.col("_metadata.file_path"))
+    held = read_version(spark, path, schema="_file string", part="files")
+    return logged.join(held, "_file", "left_anti")
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """All rows that were logged: those of the current version and those of files that came after it."""
+    compacted = read_version(spark, path, schema=RUNS)
+    return compacted.unionByName(_fresh(spark, path).drop("_file"))
+
+
+def compact_runs(spark: SparkSession, path: str, files: int = 1) -> int:
+    """Put all logged rows into a new version of few files that becomes current in one step, and return it.
+
+    The version lists the log files that it holds. A file that is logged meanwhile is not among them, so it is
+    read beside the version and goes into the next one. Readers of the old state go on until ``drop_logged``.
+    """
+    fresh = materialize(_fresh(spark, path), "fresh-runs")
+    rows = read_version(spark, path, schema=RUNS).unionByName(fresh.drop("_file"))
+    held = read_version(spark, path, schema="_file string", part="files")
+    names = held.unionByName(fresh.select("_file").distinct())
+    return publish(rows, path, {"files": names}, files)
+
+
+def drop_logged(spark: SparkSession, path: str) -> int:
+    """Delete log files that the current version holds, and older versions; for when their readers are done."""
+    held = read_version(spark, path, schema="_file string", part="files")
+    gone = 0
+    for row in held.toLocalIterator():
+        system, file = hadoop_path(spark, unquote(row._file))
+        gone += system.delete(file, False)
+    drop_old_versions(spark, path)
+    return gone
 
 
 def model_report(

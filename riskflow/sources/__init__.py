@@ -4,6 +4,7 @@ from riskflow.sources.kafka import kafka_options, read_kafka_stream
 from riskflow.sources.tables import read_table
 from riskflow.sources.text import (
     file_headers,
+    list_files,
     parse_header,
     parse_lines,
     ragged_rows,
@@ -18,6 +19,7 @@ from riskflow.sources.text import (
 __all__ = [
     "file_headers",
     "kafka_options",
+    "list_files",
     "parse_header",
     "parse_lines",
     "ragged_rows",

@@ -7,12 +7,14 @@ expressions, so a scan of many files is one splittable, generated stage.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskflow.fixed_values import FIELD_DELIMITER, HEADER_DELIMITER, HEADER_RENAMES
 from riskflow.session import materialize
 
+HEADER_JOBS = 16
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 
 
@@ -41,23 +43,27 @@ def _first_header(headers: DataFrame, path: str | Sequence[str]) -> str:
     return first[0]["header"]
 
 
+def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(path, modified, length) of all files that hold anything, without reading them."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return listed.select("path", F.col("modificationTime").alias("modified"), "length")
+
+
+def first_line(spark: SparkSession, path: str) -> DataFrame:
+    """(source_file, header) of one file. Spark stops the scan at a limit, so only the first bytes are read."""
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("header")).limit(1)
+
+
 def file_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """The first line of every file: (source_file, header).
+    """The first line of every file that has one: (source_file, header), stored.
 
-    A block lies in one partition, where generated ids rise with the lines, so the smallest id of a
-    file's first block marks its first line. The aggregate keeps one line per file and task.
+    A job of one task per file, ``HEADER_JOBS`` at a time. The cost grows with the number of files and not with
+    their size. The driver holds a name and a line per file, as it holds the listing of them.
     """
-    return (
-        spark.read.text(path)
-        .filter(F.col("_metadata.file_block_start") == 0)
-        .select(
-            F.col("_metadata.file_path").alias("source_file"),
-            "value",
-            F.monotonically_increasing_id().alias("line"),
-        )
-        .groupBy("source_file")
-        .agg(F.min_by("value", "line").alias("header"))
-    )
+    files = [r.path for r in list_files(spark, path).filter("length > 0").select("path").collect()]
+    with ThreadPoolExecutor(HEADER_JOBS) as pool:
+        found = [row for rows in pool.map(lambda file: first_line(spark, file).collect(), files) for row in rows]
+    return materialize(spark.createDataFrame(found, "source_file string, header string"), "headers")
 
 
 def source_date(path: Column) -> Column:
@@ -130,15 +136,17 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str]) -> tuple[Data
     return parse_lines(lines, columns, keep=("source_file", "source_date", "fits")), columns
 
 
-def read_dated_lines(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataFrame, str]:
-    """Lines of files without their headers: (value, source_file, source_date, fits), and the first header.
+def read_dated_lines(
+    spark: SparkSession, path: str | Sequence[str], header: str | None = None
+) -> tuple[DataFrame, str]:
+    """Lines of files without their headers: (value, source_file, source_date, fits), and the header they follow.
 
-    Every file's own header is read. Lines of a file with the same columns in another order are put into the
-    order of the first header; lines of a file with other columns stay as they are and do not fit. The
-    headers cost one scan of the files' first blocks; lines are joined with them only if some differ.
+    Every file's own header is read from its first bytes. Lines of a file with the same columns in another order are
+    put into the order of ``header``, by default that of the first file; lines of a file with other columns stay
+    as they are and do not fit. Lines are joined with the headers only if some differ.
     """
-    headers = materialize(file_headers(spark, path), "headers")
-    header = _first_header(headers, path)
+    headers = file_headers(spark, path)
+    header = header or _first_header(headers, path)
     lines = read_lines(spark, path)
     others = headers.filter(F.col("header") != header)
     if others.isEmpty():

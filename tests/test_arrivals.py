@@ -1,0 +1,343 @@
+"""Streams with state, landing by header and by version, versioned tables."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from riskflow.operators import decide
+from riskflow.operators.encode import indexer, wide_index, with_index
+from riskflow.operators.evaluate import area_under_roc
+from riskflow.operators.ranking import running_totals
+from riskflow.sinks import compact_runs, drop_logged, log_run, publish, read_runs, read_version, run_rows, versions
+from riskflow.sources import file_headers
+from riskflow.sources.text import first_line
+from riskflow.streaming import (
+    dedupe_stream,
+    fast_credit_stream,
+    land_files,
+    read_batches,
+    start_table,
+    start_with_list,
+    sync_files,
+    window_counts,
+)
+
+HEADER = "#tranaction_id | b | c"
+
+
+def at(minutes, seconds=0):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(minutes=minutes, seconds=seconds)
+
+
+class Feed:
+    """A folder that rows arrive in, and a query over it that can be run again and again."""
+
+    def __init__(self, spark, folder, schema):
+        self.spark, self.folder, self.schema, self.n = spark, str(folder), schema, 0
+        os.makedirs(self.folder, exist_ok=True)
+
+    def arrive(self, rows):
+        self.n += 1
+        part = self.spark.createDataFrame(rows, self.schema).coalesce(1)
+        part.write.mode("append").parquet(self.folder)
+
+    def stream(self):
+        return self.spark.readStream.schema(self.schema).parquet(self.folder)
+
+
+def run(df, tmp_path, name="out"):
+    query = start_table(df, str(tmp_path / name), str(tmp_path / f"{name}-checkpoint"))
+    query.awaitTermination()
+    dropped = sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+    return {tuple(r) for r in df.sparkSession.read.schema(df.schema).parquet(str(tmp_path / name)).collect()}, dropped
+
+
+def test_fast_credits_restart_and_late_rows(spark, tmp_path):
+    asked = Feed(spark, tmp_path / "asked", "client long, at timestamp")
+    issued = Feed(spark, tmp_path / "issued", "id long, client long, at timestamp")
+
+    def go():
+        found, dropped = run(fast_credit_stream(asked.stream(), issued.stream(), "client").select("id"), tmp_path)
+        return {r[0] for r in found}, dropped
+
+    asked.arrive([(1, at(0)), (1, at(0)), (2, at(3)), (None, at(0)), (3, None)])
+    issued.arrive([(10, 1, at(1)), (11, 1, at(5)), (12, 1, at(5, 1)), (13, 2, at(2)), (14, None, at(2)), (15, 3, at(1)), (16, 1, at(0, 59))])
+    assert go()[0] == {10, 11}
+    issued.arrive([(20, 2, at(4))])  # its application came before the restart
+    assert go()[0] == {10, 11, 20}
+    issued.arrive([(21, 4, at(30))])
+    assert go()[0] == {10, 11, 20}
+    asked.arrive([(4, at(27))])  # after its credit
+    assert go()[0] == {10, 11, 20, 21}
+    asked.arrive([(9, at(300))])
+    issued.arrive([(29, 9, at(300))])
+    go()
+    asked.arrive([(5, at(10))])  # hours behind the watermark
+    issued.arrive([(30, 5, at(12))])
+    found, dropped = go()
+    assert found == {10, 11, 20, 21} and dropped >= 2
+    assert go()[0] == found
+
+
+def test_fast_credit_stream_equals_batch_on_a_busy_client(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    a = [(1, at(0, int(s))) for s in rng.integers(0, 40000, 150)]
+    c = [(i, 1, at(0, int(s))) for i, s in enumerate(rng.integers(0, 40000, 150))]
+    asked = Feed(spark, tmp_path / "asked", "client long, at timestamp")
+    issued = Feed(spark, tmp_path / "issued", "id long, client long, at timestamp")
+    asked.arrive(a)
+    issued.arrive(c)
+    found, _ = run(fast_credit_stream(asked.stream(), issued.stream(), "client").select("id"), tmp_path)
+    batch = decide.fast_credits(
+        spark.createDataFrame(a, asked.schema), spark.createDataFrame(c, issued.schema).drop("id"), "client"
+    )
+    times = {r.at for r in batch.collect()}
+    assert {r[0] for r in found} == {i for i, _, t in c if t in times}
+
+
+def test_windows_close_by_watermark_and_late_rows_are_counted(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "in", "kind string, at timestamp, x double")
+
+    def go():
+        counted = window_counts(feed.stream(), "at", "10 minutes", ["kind"], "x", delay="5 minutes")
+        found, dropped = run(counted, tmp_path)
+        return {(k, (s - at(0)).total_seconds() // 60, n, x) for s, _, k, n, x in found}, dropped
+
+    feed.arrive([("a", at(1), 1.0), ("a", at(9), 2.0), ("b", at(2), 4.0), ("a", at(12), 8.0), ("a", None, 1.0)])
+    assert go()[0] == set()
+    feed.arrive([("a", at(3), 16.0), ("a", at(16), 1.0)])  # late, but the window is open
+    first = {("a", 0, 3, 19.0), ("b", 0, 1, 4.0)}
+    assert go()[0] == first
+    feed.arrive([("a", at(4), 32.0), ("a", at(26), 1.0)])  # too late
+    found, dropped = go()
+    assert found == first | {("a", 10, 2, 9.0)} and dropped == 1
+    assert go()[0] == found
+
+
+def test_dedupe_across_files_and_restarts(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "in", "id long, note string, at timestamp")
+
+    def go():
+        found, _ = run(dedupe_stream(feed.stream(), ["id"], "at", "30 minutes"), tmp_path)
+        return [(i, (t - at(0)).total_seconds() // 60) for i, _, t in found]
+
+    feed.arrive([(1, "x", at(0)), (1, "x", at(0)), (2, "x", at(1)), (None, "n", at(1)), (7, "no time", None)])
+    first = [(1, 0), (2, 1), (None, 1)]
+    assert sorted(go(), key=str) == sorted(first, key=str)
+    feed.arrive([(1, "again", at(20)), (3, "x", at(20)), (None, "n", at(20))])
+    assert sorted(go(), key=str) == sorted([*first, (3, 20)], key=str)
+    feed.arrive([(4, "x", at(200))])
+    go()
+    feed.arrive([(2, "late", at(2)), (3, "after its key has gone", at(201))])
+    assert sorted(go(), key=str) == sorted([*first, (3, 20), (4, 200), (3, 201)], key=str)
+
+
+def landed(spark, target):
+    return sorted(
+        (r.tranaction_id, r.b, r.c, r.n_fields, r.fits, str(r.source_date)) for r in read_batches(spark, target).collect()
+    )
+
+
+@pytest.fixture()
+def raw_folder(tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "2020-01-01.txt").write_text(f"{HEADER}\n1,x,y\n2,x\n{HEADER}\n")
+    (folder / "2020-01-02.txt").write_text("c | #tranaction_id | b\ny,3,x\nshort\n")
+    (folder / "2020-01-03.txt").write_text("")
+    return folder
+
+
+FIRST = [
+    ("1", "x", "y", 3, True, "2020-01-01"),
+    ("2", "x", None, 2, True, "2020-01-01"),
+    ("3", "x", "y", 3, True, "2020-01-02"),
+    ("short", None, None, 1, True, "2020-01-02"),
+]
+
+
+def test_landing_by_each_files_header(spark, tmp_path, raw_folder):
+    target, checkpoint = str(tmp_path / "landed"), str(tmp_path / "checkpoint")
+
+    def go():
+        land_files(spark, str(raw_folder), target, checkpoint, HEADER, max_files_per_trigger=1).awaitTermination()
+        return landed(spark, target)
+
+    assert go() == FIRST
+    assert go() == FIRST
+    (raw_folder / "2020-01-04.txt").write_text("other | columns\n8,9\n")
+    assert go() == [*FIRST[:3], ("8", "9", None, 2, False, "2020-01-04"), FIRST[3]]
+
+
+def test_a_batch_that_is_run_again_writes_nothing_twice(spark, tmp_path, raw_folder):
+    target, checkpoint = str(tmp_path / "landed"), str(tmp_path / "checkpoint")
+    land_files(spark, str(raw_folder), target, checkpoint, HEADER).awaitTermination()
+    commits = sorted(os.listdir(f"{checkpoint}/commits"))
+    for name in commits:  # as if the driver had gone after the write and before the commit
+        if name.endswith("0") or name.endswith("0.crc"):
+            os.remove(f"{checkpoint}/commits/{name}")
+    land_files(spark, str(raw_folder), target, checkpoint, HEADER).awaitTermination()
+    assert landed(spark, target) == FIRST
+
+
+def test_sync_reads_only_dates_whose_files_changed(spark, tmp_path, raw_folder):
+    target, seen = str(tmp_path / "synced"), str(tmp_path / "seen")
+
+    def go():
+        dates = sync_files(spark, str(raw_folder), target, seen, HEADER)
+        rows = spark.read.parquet(target).collect()
+        return dates, sorted((r.tranaction_id, str(r.source_date)) for r in rows)
+
+    assert go() == (["2020-01-01", "2020-01-02"], [(r[0], r[5]) for r in FIRST])
+    assert go()[0] == []
+    (raw_folder / "2020-01-01.txt").write_text(f"{HEADER}\n7,x,y\n")
+    os.utime(raw_folder / "2020-01-01.txt", (1, 1))
+    assert go() == (["2020-01-01"], [("3", "2020-01-02"), ("7", "2020-01-01"), ("short", "2020-01-02")])
+    (raw_folder / "2020-01-01-more.txt").write_text(f"{HEADER}\n8,x,y\n")
+    assert go() == (["2020-01-01"], [("3", "2020-01-02"), ("7", "2020-01-01"), ("8", "2020-01-01"), ("short", "2020-01-02")])
+    (raw_folder / "2020-01-02.txt").unlink()
+    assert go() == (["2020-01-02"], [("7", "2020-01-01"), ("8", "2020-01-01")])
+    (raw_folder / "2020-01-01.txt").write_text("")
+    (raw_folder / "2020-01-01-more.txt").write_text(f"{HEADER}\n")
+    (raw_folder / "2020-01-05.txt").write_text(f"{HEADER}\n9,x,y\n")
+    assert go() == (["2020-01-01", "2020-01-05"], [("9", "2020-01-05")])
+    assert go()[0] == []
+
+
+def test_header_cost_does_not_grow_with_the_file(spark, tmp_path):
+    folder = tmp_path / "big"
+    folder.mkdir()
+    line = "1234567890,abcdefghij,12345\n"
+    (folder / "2020-01-01.txt").write_text("a | b | c\n" + line * (10_000_000 // len(line)))
+    (folder / "2020-01-02.txt").write_text("c | b | a\n1,2,3\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() >= 10
+        found = first_line(spark, str(folder / "2020-01-01.txt"))
+        assert [r.header for r in found.collect()] == ["a | b | c"]
+        scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        assert scan.metrics().apply("numOutputRows").value() < 10  # of 357,000 lines
+        headers = {r.source_file[-14:]: r.header for r in file_headers(spark, str(folder)).collect()}
+        assert headers == {"2020-01-01.txt": "a | b | c", "2020-01-02.txt": "c | b | a"}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_list_is_read_anew_by_each_batch(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "in", "id long, user long, at timestamp")
+    listed, target = str(tmp_path / "list"), str(tmp_path / "judged")
+
+    def go():
+        judge = lambda batch, active: decide.blacklisted(batch, active, "user", "at").select("id")
+        start_with_list(feed.stream(), listed, judge, target, str(tmp_path / "checkpoint")).awaitTermination()
+        return sorted((r.id, r.list_version) for r in read_batches(spark, target).collect())
+
+    def publish_list(*users):
+        rows = spark.createDataFrame([(u, at(0)) for u in users], "user long, listed_at timestamp")
+        publish(decide.listed_periods(rows, "user"), listed)
+
+    publish_list(1)
+    feed.arrive([(1, 1, at(5)), (2, 2, at(5))])
+    assert go() == [(1, 1)]
+    publish_list(2)
+    feed.arrive([(3, 1, at(6)), (4, 2, at(6))])
+    assert go() == [(1, 1), (4, 2)]
+    assert go() == [(1, 1), (4, 2)]
+
+
+def test_versions_appear_whole(spark, tmp_path):
+    root = str(tmp_path / "table")
+    with pytest.raises(ValueError):
+        read_version(spark, root)
+    assert read_version(spark, root, schema="x int").count() == 0
+    frames = [spark.createDataFrame([(i,)], "x int") for i in range(3)]
+    assert publish(frames[0], root) == 1
+    old = read_version(spark, root)
+    frames[1].write.parquet(f"{root}/_versions/0000000002/data")  # a writer that died before its marker
+    assert [r.x for r in read_version(spark, root).collect()] == [0]
+    assert publish(frames[2], root) == 2
+    assert [r.x for r in read_version(spark, root).collect()] == [2]
+    assert [r.x for r in old.collect()] == [0]
+    assert versions(spark, root) == [1, 2]
+
+
+def test_runs_stay_readable_while_they_are_compacted(spark, tmp_path):
+    path = str(tmp_path / "my runs")
+    values = spark.createDataFrame([("auc", 0.5)], "metric string, value double")
+
+    def log(i):
+        log_run(run_rows(values, f"r{i}", "LR", "metric"), path)
+
+    def names(df):
+        return sorted(r.run_id for r in df.collect())
+
+    for i in range(3):
+        log(i)
+    before = read_runs(spark, path)
+    assert names(before) == ["r0", "r1", "r2"]
+    compact_runs(spark, path)
+    assert names(before) == names(read_runs(spark, path)) == ["r0", "r1", "r2"]
+    log(3)
+    assert names(read_runs(spark, path)) == ["r0", "r1", "r2", "r3"]
+    assert drop_logged(spark, path) == 3
+    assert names(read_runs(spark, path)) == ["r0", "r1", "r2", "r3"]
+    compact_runs(spark, path)
+    assert names(read_runs(spark, path)) == ["r0", "r1", "r2", "r3"]
+    assert drop_logged(spark, path) == 1
+    assert names(read_runs(spark, path)) == ["r0", "r1", "r2", "r3"]
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) == 0
+
+
+def test_running_totals(spark):
+    rng = np.random.default_rng(2)
+    data = [(["a", "b", None][int(g)], i, int(n)) for i, (g, n) in enumerate(zip(rng.integers(0, 3, 500), rng.integers(0, 9, 500)))]
+    df = spark.createDataFrame(data, "g string, i int, n long")
+    found = {(r.g, r.i): r.before for r in running_totals(df, [F.desc("i")], "n", ["g"]).collect()}
+    assert found == {(g, i): sum(m for h, j, m in data if h == g and j > i) for g, i, _ in data}
+    assert running_totals(df.limit(0), [F.asc("i")], "n").count() == 0
+
+
+def test_wide_index_equals_the_indexer(spark):
+    rng = np.random.default_rng(3)
+    data = [(i, f"v{int(v)}", ["x", "y", "é"][int(v) % 3]) for i, v in enumerate(rng.zipf(1.4, 2000) % 300)]
+    df = spark.createDataFrame(data, "id int, wide string, small string")
+    found = wide_index(df, ["wide", "small"])
+    for column in ("wide", "small"):
+        expected = indexer([column]).fit(df).transform(df).select("id", f"{column}_index").collect()
+        assert sorted(with_index(df, found, column).select("id", f"{column}_index").collect()) == sorted(expected)
+    weighted = df.withColumn("w", F.col("id") % 3)
+    n = {r["value"]: r["index"] for r in wide_index(weighted, ["small"], "w").collect()}
+    counts = {r[0]: r[1] for r in weighted.groupBy("small").agg(F.sum("w")).collect()}
+    assert n == {v: i for i, v in enumerate(sorted(counts, key=lambda v: (-counts[v], v)))}
+
+
+def test_unseen_and_null_values_have_no_index(spark):
+    df = spark.createDataFrame([("a",), (None,)], "v string")
+    index = wide_index(df, ["v"])
+    other = spark.createDataFrame([("a",), ("b",), (None,)], "v string")
+    assert {r.v: r.v_index for r in with_index(other, index, "v").collect()} == {"a": 0.0, "b": None, None: None}
+
+
+def numpy_auc(score, label):
+    order = np.argsort(score, kind="stable")
+    ranks = np.empty(len(score))
+    ranks[order] = np.arange(1, len(score) + 1)
+    for s in np.unique(score):
+        ranks[score == s] = ranks[score == s].mean()
+    p, n = label.sum(), (1 - label).sum()
+    return (ranks[label == 1].sum() - p * (p + 1) / 2) / (p * n)
+
+
+def test_auc_equals_numpy_with_ties(spark):
+    rng = np.random.default_rng(4)
+    score, label = rng.integers(0, 40, 3000) / 7, rng.integers(0, 2, 3000)
+    df = spark.createDataFrame([(float(s), int(y)) for s, y in zip(score, label)] + [(None, 1), (1.0, None)], "p double, y int")
+    (row,) = area_under_roc(df, "p", "y").collect()
+    assert row.auc == pytest.approx(numpy_auc(score, label), abs=1e-12)
+    assert (row.positives, row.negatives) == (label.sum(), (1 - label).sum())
+    assert area_under_roc(df.filter("y = 1"), "p", "y").head().auc is None

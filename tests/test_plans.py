@@ -23,6 +23,13 @@ EAGER = {
     "model_comparison",
     "stream_decode",
     "stream_landing",
+    "landed_files",
+    "changed_files",
+    "fast_credit_stream",
+    "stream_windows",
+    "stream_dedupe",
+    "stream_blacklist",
+    "runs_compacted",
 }
 
 
