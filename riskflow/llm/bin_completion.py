@@ -7,11 +7,10 @@ known. Best-fit decreasing gives the first one.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
-from functools import cache
 
-MAX_NODES = 20_000
-MAX_CHOICES = 8  # fillings tried per bin beyond which the search does not branch
+MAX_STEPS = 400_000  # lengths and sets that a search may look at, about a microsecond each
 
 
 def best_fit_decreasing(counts: Sequence[int], capacity: int) -> list[list[int]]:
@@ -36,50 +35,101 @@ def best_fit_decreasing(counts: Sequence[int], capacity: int) -> list[list[int]]
     return bins
 
 
-@cache
-def _masks(room: int) -> tuple[int, ...]:
-    """For each length up to ``room`` the set of the lengths up to it; the set of bit 0 is empty."""
-    return tuple((1 << (n + 1)) - 2 for n in range(room + 1))
+class Fillings:
+    """The undominated sets of lengths for the room beside the largest length, those with least waste first.
 
-
-def fillings(counts: list[int], lengths: int, room: int) -> Iterator[tuple[int, ...]]:
-    """Undominated sets of lengths for the room beside the largest length.
-
-    A set is dominated if its members fit into those of another one. So a single length that fills the room
-    leaves no choice, a set that sums to no more than the longest single one is left out, and for each first
-    member only the longest second one counts. Rests are filled with the longest lengths that fit. A set that
-    fills the room comes at once, the others follow by their waste.
+    Pairs that fill the room come before all others, as most bins need no more. Only then the sums are worked out:
+    ``sums[i]`` has a bit for every sum that the i smallest lengths can make, in as many copies as there are. So the
+    enumeration of the sets with a given sum follows only branches that lead to one.
     """
-    up_to = _masks(room)
-    single = max((lengths & up_to[room]).bit_length() - 1, 0)
-    if single in (0, room):
-        yield (single,) if single else ()
-        return
-    found, second_before, first = [(room - single, (single,))], 0, single
-    while first > 0:
-        rest, last = room - first, first
-        below = lengths & up_to[first - 1]
-        fits = below | 1 << first if counts[first] > 1 else below
-        more = second = max((fits & up_to[rest]).bit_length() - 1, 0)
-        if second > second_before:
-            chosen, used = [first], 1
-            while more > 0:
-                chosen.append(more)
-                rest -= more
-                used = used + 1 if more == last else 1
-                last = more
-                if counts[more] == used:
-                    fits &= ~(1 << more)
-                more = (fits & up_to[rest]).bit_length() - 1
-            if room - rest > single:
-                if not rest:
-                    yield tuple(chosen)
-                else:
-                    found.append((rest, tuple(chosen)))
-        second_before = max(second, second_before) if 2 * first > room else 0
-        first = below.bit_length() - 1
-    for _, chosen in sorted(found)[:MAX_CHOICES]:
-        yield chosen
+
+    def __init__(self, counts: Sequence[int], lengths: int, room: int):
+        self.counts, self.room = counts, room
+        self.bits = lengths & (2 << room) - 2
+        self.steps = 0  # lengths and sets looked at since the search last asked
+
+    def __iter__(self) -> Iterator[tuple[int, ...]]:
+        if self.bits >> self.room & 1:
+            yield (self.room,)  # it dominates all others
+            return
+        below = self.bits
+        while below:
+            n = below.bit_length() - 1
+            below ^= 1 << n
+            other = self.room - n
+            if other > n:
+                break
+            if self.bits >> other & 1 and (other < n or self.counts[n] > 1):
+                yield n, other
+        yield from self._others()
+
+    def _others(self) -> Iterator[tuple[int, ...]]:
+        self.lengths = [n for n, bit in enumerate(reversed(bin(self.bits)[2:])) if bit == "1"]
+        self.sums, within = [1], (2 << self.room) - 1
+        for n in self.lengths:
+            reached, copies, step = self.sums[-1], min(self.counts[n], self.room // n), 1
+            while copies and reached != within:
+                step = min(step, copies)
+                reached |= reached << step * n & within
+                copies -= step
+                step *= 2
+            self.sums.append(reached)
+        self.steps += len(self.lengths)
+        top = len(self.lengths)
+        rest = self.sums[top]
+        while rest:
+            total = rest.bit_length() - 1
+            rest ^= 1 << total
+            for chosen in self._with_sum(total, top, 0):
+                self.steps += 1
+                if (total < self.room or len(chosen) > 2) and not self.dominated(chosen):
+                    yield chosen
+
+    def _with_sum(self, total: int, top: int, used: int) -> Iterator[tuple[int, ...]]:
+        """Sets of the ``top`` smallest lengths with this sum; ``used`` copies of the largest of them are taken."""
+        if not total:
+            yield ()
+            return
+        fitting = bisect_right(self.lengths, total, 0, top)
+        if fitting < top:
+            top, used = fitting, 0
+        while top and self.sums[top] >> total & 1:
+            n = self.lengths[top - 1]
+            if used < self.counts[n]:
+                for others in self._with_sum(total - n, top, used + 1):
+                    yield (n, *others)
+            self.steps += 1
+            top, used = top - 1, 0
+
+    def dominated(self, chosen: tuple[int, ...]) -> bool:
+        """Whether a length that was left out fits in place of some of ``chosen`` that are no longer together.
+
+        Then the set with that length leaves shorter ones for other bins, and stands for this set.
+        """
+        slack = self.room - sum(chosen)
+        own = sum(1 << n for n in set(chosen))
+        if _spread(_sums(chosen), slack) & self.bits & ~own:
+            return True
+        again = [n for n in set(chosen) if chosen.count(n) < self.counts[n]]
+        return any(_spread(_sums([m for m in chosen if m != n]), slack) >> n & 1 for n in again)
+
+
+def _sums(chosen: Sequence[int]) -> int:
+    sums = 1
+    for n in chosen:
+        sums |= sums << n
+    return sums
+
+
+def _spread(bits: int, reach: int) -> int:
+    """A bit for every place that is at most ``reach`` above a bit."""
+    step = 1
+    while reach:
+        step = min(step, reach)
+        bits |= bits << step
+        reach -= step
+        step *= 2
+    return bits
 
 
 def lower_bound(counts: Sequence[int], capacity: int) -> int:
@@ -99,8 +149,8 @@ def lower_bound(counts: Sequence[int], capacity: int) -> int:
     return best
 
 
-def pack(counts: Sequence[int], capacity: int, max_nodes: int = MAX_NODES) -> list[list[int]]:
-    """Bins of lengths, as few as the search finds within ``max_nodes`` fillings.
+def pack(counts: Sequence[int], capacity: int, max_steps: int = MAX_STEPS) -> list[list[int]]:
+    """Bins of lengths, as few as the search finds within ``max_steps``; the fewest there are if it ends before.
 
     ``counts[n]`` items have length n; lengths run from 1 to the capacity.
     """
@@ -109,8 +159,9 @@ def pack(counts: Sequence[int], capacity: int, max_nodes: int = MAX_NODES) -> li
     bound = lower_bound(counts, capacity)
     left = list(counts) + [0] * (capacity + 1 - len(counts))
     lengths = sum(1 << n for n in range(1, capacity + 1) if left[n])
-    items, waste, nodes = sum(left[1:]), 0, 0
-    frames: list[list] = []  # per open bin: its largest length, the fillings to come, the one in use
+    items, waste, steps = sum(left[1:]), 0, 0
+    # Per open bin: its largest length, the ways to fill it, those to come, the one in use.
+    frames: list[list] = []
 
     def take(chosen: tuple[int, ...], sign: int) -> None:
         nonlocal lengths, items
@@ -122,27 +173,31 @@ def pack(counts: Sequence[int], capacity: int, max_nodes: int = MAX_NODES) -> li
     def open_bin() -> None:
         largest = lengths.bit_length() - 1
         take((largest,), 1)
-        frames.append([largest, fillings(left, lengths, capacity - largest), None])
+        ways = Fillings(left, lengths, capacity - largest)
+        frames.append([largest, ways, iter(ways), None])
 
     if len(best) > bound:
         open_bin()
-    while frames and len(best) > bound and nodes < max_nodes:
+    while frames and len(best) > bound and steps < max_steps:
         frame = frames[-1]
-        if frame[2] is not None:
-            waste -= capacity - frame[0] - sum(frame[2])
-            take(frame[2], -1)
-        frame[2] = next(frame[1], None)
-        if frame[2] is None:
+        if frame[3] is not None:
+            waste -= capacity - frame[0] - sum(frame[3])
+            take(frame[3], -1)
+        frame[3] = next(frame[2], None)
+        steps += 1 + frame[1].steps
+        frame[1].steps = 0
+        if frame[3] is None:
             take((frame[0],), -1)
             frames.pop()
             continue
-        nodes += 1
-        waste += capacity - frame[0] - sum(frame[2])
-        take(frame[2], 1)
+        waste += capacity - frame[0] - sum(frame[3])
+        take(frame[3], 1)
         if waste > (len(best) - 1) * capacity - total:
-            continue  # no packing below here saves a bin
+            # Ways come by their waste, so no further one saves a bin either.
+            frame[2] = iter(())
+            continue
         if items:
             open_bin()
         else:
-            best = [[largest, *filling] for largest, _, filling in frames]
+            best = [[largest, *filling] for largest, _, _, filling in frames]
     return best

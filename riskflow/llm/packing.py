@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from riskflow.llm.bin_completion import MAX_NODES, pack
+from riskflow.llm.bin_completion import MAX_STEPS, pack
 from riskflow.llm.common import bounded_batches, text_rows
 
 SEQUENCE_TOKENS = 1024
@@ -150,8 +150,8 @@ def cut(length: int, size: int) -> list[tuple[int, int]]:
 class _Packer:
     """Places pieces into sequences; rows come out as they are placed."""
 
-    def __init__(self, size: int, window: int, max_nodes: int, first_id: int) -> None:
-        self._size, self._window, self._max_nodes, self._next = size, window, max_nodes, first_id
+    def __init__(self, size: int, window: int, max_steps: int, first_id: int) -> None:
+        self._size, self._window, self._max_steps, self._next = size, window, max_steps, first_id
         self._waiting: dict[int, list[tuple]] = defaultdict(list)
         self._n_waiting = 0
 
@@ -169,7 +169,7 @@ class _Packer:
 
     def flush(self) -> Iterator[tuple]:
         counts = [len(self._waiting.get(n, ())) for n in range(self._size + 1)]
-        for lengths in pack(counts, self._size, self._max_nodes):
+        for lengths in pack(counts, self._size, self._max_steps):
             offset = 0
             for length in lengths:
                 yield (*self._waiting[length].pop(), self._next, offset)
@@ -186,7 +186,7 @@ def pack_documents(
     text_col: str = "text",
     size: int = SEQUENCE_TOKENS,
     window: int = WINDOW_PIECES,
-    max_nodes: int = MAX_NODES,
+    max_steps: int = MAX_STEPS,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids (binary), sequence_id, offset.
 
@@ -201,7 +201,7 @@ def pack_documents(
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens.at(tokenizer)
-        packer = _Packer(size, window, max_nodes, TaskContext.get().partitionId() << 40)
+        packer = _Packer(size, window, max_steps, TaskContext.get().partitionId() << 40)
         id_type = None
 
         def table(rows: list[tuple]) -> pa.RecordBatch:

@@ -8,10 +8,11 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from conftest import SMALL
-from riskflow.llm.bin_completion import best_fit_decreasing, lower_bound, pack
+from riskflow.llm.bin_completion import Fillings, best_fit_decreasing, lower_bound, pack
 from riskflow.llm.packing import Tokens, cut, pack_documents
 from riskflow.llm.queries import queries
 
@@ -62,6 +63,47 @@ def test_search_beats_best_fit():
     assert lower_bound(counts, 1024) <= len(pack(counts, 1024)) <= len(best_fit_decreasing(counts, 1024))
 
 
+def test_fillings_of_three_and_more():
+    lengths = [13, 12, 12, 10, 7, 7, 5, 5, 4, 2, 2]
+    assert len(best_fit_decreasing(counts_of(lengths, 20), 20)) == 5
+    assert len(pack(counts_of(lengths, 20), 20)) == optimum(lengths, 20) == 4
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=10, max_size=14), st.integers(20, 30))
+def test_lists_of_ten_and_more_are_packed_optimally(lengths, capacity):
+    lengths.sort(reverse=True)
+    bins = pack(counts_of(lengths, capacity), capacity)
+    assert sorted(n for b in bins for n in b) == sorted(lengths) and max(map(sum, bins)) <= capacity
+    assert len(bins) == optimum(lengths, capacity)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 12), min_size=1, max_size=9), st.integers(4, 16))
+def test_fillings_are_those_that_no_other_dominates(lengths, room):
+    """Every set that fits, against all sets: one dominates another if its members hold the other's in groups."""
+    lengths = [n for n in lengths if n <= room]
+    every = {tuple(sorted(c, reverse=True)) for k in range(len(lengths) + 1) for c in itertools.combinations(lengths, k)}
+    every = {c for c in every if sum(c) <= room}
+
+    def holds(large, small):
+        def put(items, rooms):
+            return not items or any(
+                room >= items[0] and put(items[1:], [*rooms[:i], room - items[0], *rooms[i + 1 :]])
+                for i, room in enumerate(rooms)
+            )
+
+        return put(list(small), list(large))
+
+    counts = counts_of(lengths, 16)
+    found = list(Fillings(counts, sum(1 << n for n in set(lengths)), room))
+    assert len(found) == len(set(found)) and set(found) <= every
+    for c in every:
+        assert any(holds(f, c) for f in found) or not found
+    waste = [room - sum(f) for f in found]
+    assert waste == sorted(waste)
+
+
 def test_empty_packing():
     assert pack([0] * 11, 10) == []
 
