@@ -5,7 +5,8 @@ threats in the text; only clauses with one of them are read further, because no
 Such a clause is read twice. A target transducer reads it backwards and marks a match whose target follows in
 its reach ("I will kill you"). What it marks runs forwards through one machine, composed of a target, a negation
 and a reported-speech transducer: each marks a match that follows its trigger in its reach and changes its
-weight. A threat counts only towards a target, which stands within ``REACH`` words before or after it.
+weight. A threat counts only towards a target, which stands within ``REACH`` words before or after it or is part of
+the word, and then one threat that is neither negated nor reported decides: see ``deciding``.
 
 The insult lexicon (words, and stems for inflected forms) and its weights are learned: the log-odds of a term's document
 frequency between toxic and other labelled documents, kept where a likelihood-ratio test is clear. What the
@@ -35,6 +36,7 @@ MAX_TERMS = 4096
 MIN_RATIO_TEST = 20.0  # likelihood-ratio statistic of a term, about p = 1e-5
 MIN_LOG_ODDS = 2.0
 THRESHOLD = 0.7
+THREAT_SCORE = 0.75  # at least, of a text with one threat at a target, neither negated nor reported
 STEM_LENGTHS = (4, 5)
 
 # Words of the grammar, and insults known without any label.
@@ -42,7 +44,25 @@ SEED_INSULTS = (
     "idiot idiots moron morons stupid loser losers scum worthless pathetic disgusting imbecile "
     "dummkopf abschaum versager imbécile crétin connard ordure idiota imbécil estúpido basura"
 ).split()
-THREATS = "kill hurt destroy attack murder töte töten umbringen vernichten tuer tuerai détruire mataré matar destruir".split()
+# Verbs of threats: stems with the endings they take, irregular forms whole.
+THREAT_STEMS = {
+    "kill murder destroy hurt attack shoot behead slaughter butcher beat": "- s ed ing en",
+    "stab": "- s bed bing",
+    "crush smash": "- es ed ing",
+    "strangl tortur chok": "e es ed ing",
+    "töt vernicht ermord erschieß erstech erwürg verprügel zerstör verletz umbring abstech abknall": "e en est et st t te ten",
+    "tu massacr frapp étrangl écras poignard assassin tortur": "er e es ons ez ent erai eras era erons erez eront ant",
+    "détrui abatt": "re s rai ras ra rons rez ront sons sez sent sant",
+    "mat asesin golpe apuñal dispar aplast estrangul tortur": "ar o as a amos an aré arás ará aremos arán ando aría",
+    "destru": "ir iré irás irá iremos irán yo yes ye yendo",
+}
+THREATS = frozenset(
+    stem + end.strip("-") for stems, ends in THREAT_STEMS.items() for stem in stems.split() for end in ends.split()
+)
+# The same with the target at their end.
+AIMED_THREATS = frozenset(
+    stem + end for stem in "mat asesin golpe apuñal aplast estrangul tortur".split() for end in ("arte", "aros", "arles", "arlo")
+)
 TARGETS = (
     "you your yours yourself dich dir dein deine euch ihr te toi tu vous votre ton ta tú te ti usted ustedes tus"
 ).split()
@@ -54,6 +74,7 @@ REPORTING = (
 INSULT, THREAT, TARGET, NEGATION, REPORT, BREAK = "insult", "threat", "target", "negation", "report", "break"
 KINDS = {**dict.fromkeys(TARGETS, TARGET), **dict.fromkeys(NEGATIONS, NEGATION), **dict.fromkeys(REPORTING, REPORT)}
 REACH = 4
+THREAT_WEIGHT = 3.0
 FEATURES = ("insults", "softened", "targeted", "threats", "clauses", "best_clause")
 # Used where labels do not tell: no labels of one kind, or none at all.
 PRIOR = np.array([-4.0, 2.2, 0.4, 0.5, 2.0, 0.0, 0.2])
@@ -91,6 +112,13 @@ def clause_machine() -> Transducer:
     return compose(compose(target, negation, alphabet), report, alphabet)
 
 
+def _symbol(word: str, weight: float) -> Symbol:
+    """The kind of a word that has this weight as an insult."""
+    if word in AIMED_THREATS:
+        return THREAT, "targeted"
+    return (INSULT if weight else THREAT if word in THREATS else KINDS.get(word, ""),)
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights of whole words and of stems, and the logistic coefficients with the intercept first."""
@@ -102,7 +130,7 @@ class Model:
     @cached_property
     def _automaton(self):
         found = ahocorasick.Automaton()
-        for term in {*self.words, *self.stems, *THREATS}:
+        for term in {*self.words, *self.stems, *THREATS, *AIMED_THREATS}:
             found.add_word(term, len(term))
         found.make_automaton()
         return found
@@ -157,10 +185,7 @@ class Model:
             state, score = 0, 0.0
             words = _WORD.findall(clause)
             weights = [self.weight(word) for word in words]
-            symbols: list[Symbol] = [
-                (INSULT if weight else THREAT if word in THREATS else KINDS.get(word, ""),)
-                for word, weight in zip(words, weights)
-            ]
+            symbols = [_symbol(word, weight) for word, weight in zip(words, weights)]
             symbols, ahead = self._followed(symbols) if backwards else (symbols, [0.0] * len(symbols))
             for symbol, weight, more in zip(symbols, weights, ahead):
                 (kind, *marks), bonus, state = self._machine.step(state, symbol)
@@ -175,7 +200,7 @@ class Model:
                 elif kind == THREAT and "targeted" in marks:
                     hard = "negated" not in marks and "reported" not in marks
                     threats += hard
-                    score += 3.0 * hard
+                    score += THREAT_WEIGHT * hard
             matched += score > 0
             best = max(best, score)
         return [math.log1p(x) for x in (plain, soft, aimed, threats, matched, best)]
@@ -209,6 +234,20 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int =
     return tuple(float(b) for b in beta)
 
 
+def deciding(coefficients: tuple[float, ...]) -> tuple[float, ...]:
+    """The coefficients with one threat at a target scoring ``THREAT_SCORE`` at least.
+
+    Labels may hold few threats or none, and a model fitted on insults alone would pass them over. What a threat adds
+    is therefore no less than a rule says, however far the intercept lies below.
+    """
+    found = dict(zip(FEATURES, coefficients[1:]))
+    one = {"threats": math.log1p(1), "clauses": math.log1p(1), "best_clause": math.log1p(THREAT_WEIGHT)}
+    others = coefficients[0] + sum(found[name] * x for name, x in one.items() if name != "threats")
+    needed = (math.log(THREAT_SCORE / (1 - THREAT_SCORE)) - others) / one["threats"]
+    found["threats"] = max(found["threats"], needed)
+    return coefficients[0], *found.values()
+
+
 def _terms(text: Column) -> Column:
     words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+)"), F.lit(1)))
     stems = [
@@ -280,12 +319,12 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS)
     bounded_batches(docs.sparkSession)
     training = training_rows(docs, labels, max_docs)
     words, stems = learn_terms(training)
-    grammar = Model(words, stems, tuple(PRIOR))
+    grammar = Model(words, stems, deciding(tuple(float(x) for x in PRIOR)))
     rows = training.mapInArrow(_features_of(grammar), "toxic int, x array<double>").collect()
     if len({r.toxic for r in rows}) < 2:
         return grammar
     x, y = np.array([r.x for r in rows]), np.array([r.toxic for r in rows], float)
-    return Model(words, stems, fit_logistic(x, y))
+    return Model(words, stems, deciding(fit_logistic(x, y)))
 
 
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

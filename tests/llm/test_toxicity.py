@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import math
+import re
 import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from conftest import MEDIUM
 from riskflow.llm import toxicity
@@ -131,3 +134,78 @@ def test_weight_takes_the_larger_of_word_and_stem(terms):
     model = Model(*terms, tuple(toxicity.PRIOR))
     assert model.weight("abcdef") == terms[1].get("abcd", 0.0)
     assert model.weight("a") == terms[0].get("a", 0.0)
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    read = lambda table: spark.read.parquet(f"{MEDIUM}/{table}.parquet")
+    return train(read("documents"), read("labels"))
+
+
+CLEAR = (
+    "I will kill you", "I will kill your whole family tomorrow", "We are killing you all", "He kills you", "they murdered your dog",
+    "SHOOT YOU", "we will be smashing your face", "ich werde dich töten", "Wir vernichten euch", "er tötet dich", "ich ermorde deine Familie",
+    "je vais te tuer", "nous tuerons ta famille", "il vous massacrera", "te voy a matar", "voy a matarte", "te mataremos", "los asesinará usted",
+)
+HARMLESS = (
+    "I will not kill you", "nobody said they kill you", "He said he will kill you", "they kill time", "kill the process", "I hurt myself",
+    "ich werde dich nicht töten", "er sagte ich werde dich töten", "sie töten die Zeit", "je ne vais pas te tuer", "il a dit je vais te tuer",
+    "tuer le temps", "no te voy a matar", "dijo que te va a matar", "matar el tiempo", "kill it. you know", "",
+)
+
+
+@pytest.mark.parametrize("text", CLEAR)
+def test_a_clear_threat_decides(trained, text):
+    assert trained.score(text) >= 0.7
+
+
+@pytest.mark.parametrize("text", HARMLESS)
+def test_other_sentences_with_those_words_do_not(trained, text):
+    assert trained.score(text) < 0.7
+
+
+def naive(model, text):
+    """The features by looking around each word of a clause."""
+    plain = soft = aimed = threats = matched = best = 0.0
+    for clause in re.split(r"[.!?;\n]", text.lower()):
+        words, score = re.findall(r"[^\W\d_]+(?:'[^\W\d_]+)?", clause), 0.0
+        matches = [toxicity._symbol(w, model.weight(w)) for w in words]
+        kinds = [m[0] for m in matches]
+
+        def near(i, kind, before, after=0):
+            return kind in kinds[max(0, i - before) : i] or kind in kinds[i + 1 : i + 1 + after]
+
+        for i, word in enumerate(words):
+            targeted = "targeted" in matches[i] or near(i, "target", 4, 4)
+            negated, reported = near(i, "negation", 4), near(i, "report", 8)
+            if kinds[i] == INSULT:
+                weight = model.weight(word)
+                if negated or reported:
+                    soft += weight
+                else:
+                    plain += weight
+                    aimed += targeted
+                score += max(weight + targeted - negated - reported, 0.0)
+            elif kinds[i] == THREAT and targeted and not negated and not reported:
+                threats += 1
+                score += 3.0
+        matched += score > 0
+        best = max(best, score)
+    return [math.log1p(x) for x in (plain, soft, aimed, threats, matched, best)]
+
+
+WORDS = "you kill killing idiot gromping matarte tötet not said dog cat the your . ; killer mate".split()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(WORDS), max_size=40))
+def test_grammar_equals_a_naive_matcher(words):
+    text = " ".join(words)
+    assert PLAIN.evidence(text) == pytest.approx(naive(PLAIN, text))
+
+
+def test_a_threat_decides_whatever_was_fitted():
+    for intercept in (-1.0, -4.0, -9.0):
+        model = Model({}, {}, toxicity.deciding((intercept, 2.0, 0.0, 0.0, 0.5, 0.3, 0.1)))
+        assert model.score("I will kill you") == pytest.approx(max(0.75, model.score("I will kill you")))
+        assert model.score("calm") == pytest.approx(1 / (1 + math.exp(-intercept)))
