@@ -15,6 +15,16 @@ def text_rows(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{name}`").alias(name) for name in columns])
 
 
+def packed_rows(df: DataFrame, **columns: Column) -> DataFrame:
+    """``row``, the whole row as one column, and the given columns beside it, which so clash with none of its own."""
+    return df.select(F.struct("*").alias("row"), *[value.alias(name) for name, value in columns.items()])
+
+
+def one_of_each(packed: DataFrame, *key: str) -> DataFrame:
+    """Of packed rows that agree in ``key`` the one with the smallest JSON text; rows equal in that are the same."""
+    return packed.groupBy(*key).agg(F.min_by("row", F.to_json("row")).alias("row"))
+
+
 def fold_ascii(text: Column) -> Column:
     """Lower-case A-Z and nothing else; ``lower`` is faster but right only for texts without other letters."""
     only_ascii = F.length(text) == F.octet_length(text)

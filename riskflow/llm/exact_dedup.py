@@ -20,7 +20,7 @@ from itertools import count
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskflow.llm.common import fold_ascii, once, text_rows, with_value
+from riskflow.llm.common import fold_ascii, once, one_of_each, packed_rows, text_rows, with_value
 from riskflow.session import materialize
 
 BLOCK_BYTES = 4096
@@ -152,18 +152,19 @@ def exact_duplicates(
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns.
+    """The documents that stay, with all their columns, whatever the names of these are.
 
-    The verdict comes back by id and text. Rows that repeat both are told apart only where there are any.
+    The verdict comes back by id and text. Of rows that repeat both, the one with the smallest JSON text stays.
     """
     verdict = materialize(exact_duplicates(docs, id_col, text_col).filter("kept OR doc_id <=> keep_id"), "verdict")
     staying = materialize(
-        verdict.filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_text")),
+        verdict.filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_print")),
         "staying",
     )
-    text = F.sha2(fold_ascii(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), 256)
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_kept_id")) & (text == F.col("_kept_text"))
-    kept = docs.join(staying, same, "left_semi")
-    if verdict.filter("NOT kept").isEmpty():
-        return kept
-    return kept.withColumn("_kept_text", text).dropDuplicates([id_col, "_kept_text"]).drop("_kept_text")
+    print_ = F.sha2(fold_ascii(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), 256)
+    packed = packed_rows(docs, id=F.col(f"`{id_col}`"), print=print_)
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("print") == F.col("kept_print"))
+    kept = packed.join(staying, same, "left_semi")
+    if not verdict.filter("NOT kept").isEmpty():
+        kept = one_of_each(kept, "id", "print")
+    return kept.select("row.*")

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from functools import cached_property
@@ -101,6 +102,11 @@ class Scanner:
     def _shingles(self) -> list[set[tuple[bytes, ...]]]:
         return [set(zip(*(w[i:] for i in range(SHINGLE)))) for w in self._words]
 
+    @cached_property
+    def _versions(self) -> list[set[bytes]]:
+        """The version words of each short template."""
+        return [{w for w in t if any(48 <= b < 58 for b in w)} if len(t) <= SHORT_WORDS else set() for t in self._words]
+
     @cached_property
     def _tables(self) -> dict[tuple[int, int], tuple[np.ndarray, dict[int, list[tuple[int, int]]]]]:
         """By window size and band: a bitmap of the keys' last bits, and the template windows of each key."""
@@ -137,12 +143,13 @@ class Scanner:
                 if (size, band) not in self._tables:
                     continue
                 bitmap, by_key = self._tables[size, band]
-                for at in np.flatnonzero(bitmap[keys & LOW]):
-                    for template, start in by_key.get(int(keys[at]), ()):
-                        text = int(np.searchsorted(ends, base + at, side="right"))
+                hits = np.flatnonzero(bitmap[keys & LOW])
+                in_text = np.searchsorted(ends, base + hits, side="right").tolist()
+                for at, key, text in zip(hits.tolist(), keys[hits].tolist(), in_text):
+                    for template, start in by_key.get(key, ()):
                         if base + at + size + SHINGLE - 1 <= ends[text]:
                             first = int(ends[text]) - len(texts[text])
-                            found[text].add((template, base + int(at) - first - start))
+                            found[text].add((template, base + at - first - start))
         return found
 
     def scan(self, texts: list[str | None]) -> list[list[Match]]:
@@ -168,22 +175,19 @@ class Scanner:
                 if shingle in wanted and (shingle not in places or abs(i - at) < abs(places[shingle] - at)):
                     places[shingle] = i
             share = len(places) / len(wanted)
-            if len(self._words[template]) <= SHORT_WORDS:
-                versions = {w for w in self._words[template] if any(48 <= b < 58 for b in w)}
-                if versions.difference(*places):
-                    continue
-            if share >= CONTAINMENT:
+            if share >= CONTAINMENT and not self._versions[template].difference(*places):
                 scored.append((-share, min(places.values()), max(places.values()) + SHINGLE, template))
         taken: dict[int, list[tuple[int, int]]] = {}
         matches = []
         for share, start, end, template in sorted(scored):
-            if all(end <= a or start >= b for a, b in taken.setdefault(template, [])):
-                taken[template].append((start, end))
+            spans = taken.setdefault(template, [])  # sorted, and none overlaps another
+            place = bisect_left(spans, (start, end))
+            if (not place or spans[place - 1][1] <= start) and (place == len(spans) or spans[place][0] >= end):
+                spans.insert(place, (start, end))
                 matches.append((round(-share * len(self._shingles[template])), Match(*self._names[template], start, end, -share)))
         matches = self._best(matches)
         return sorted(matches, key=lambda m: (m.start_word, m.end_word, m.license_id, m.template))
 
-
     @staticmethod
     def _best(found: list[tuple[int, Match]]) -> list[Match]:
         """The matches that no stretch of matches with more shingles covers by more than half."""

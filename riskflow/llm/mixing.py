@@ -17,14 +17,17 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskflow.llm.common import text_rows
+from riskflow.llm.common import packed_rows, text_rows
 from riskflow.session import materialize
 
 BLOCK_DOCS = 8
 PERIOD = 2000
+STRETCH = 1 << 14
+CROWD = 1000  # different rows with one id and source above which they are spread
 TEMPERATURE = 0.5  # target weights grow with this power of a source's size unless they are given
 
 
@@ -71,18 +74,27 @@ def target_weights(docs: DataFrame, source_col: str = "source", temperature: flo
     return {r.source: r.n**temperature for r in sizes.collect()}
 
 
-def _numbered(rows: DataFrame, order: list) -> DataFrame:
-    """``rows`` with n, a number from 0 within their source, in the order of ``order`` within shards."""
-    sized = rows.groupBy("_source").agg(F.count(F.lit(1)).alias("_rows"))
+def _numbered(units: DataFrame) -> DataFrame:
+    """``units`` with _from, the rows of their source before them, in the order of a hash within shards.
+
+    The hash is that of the id, so that each document has one place whatever its text; units that crowd under one
+    id or none are spread by all that they hold.
+    """
+    sized = units.groupBy("_source").agg(F.sum("_copies").alias("_rows"))
     sized = materialize(sized.select("_source", F.ceil(F.sqrt("_rows")).cast("int").alias("_shards")), "sources")
-    keyed = rows.join(
+    keyed = units.join(
         sized.withColumnRenamed("_source", "_sized"), F.col("_source").eqNullSafe(F.col("_sized"))
     ).drop("_sized")
+    crowded = units.groupBy("_id", "_source").agg(F.count(F.lit(1)).alias("_units")).filter(F.col("_units") > CROWD)
+    crowded = materialize(crowded.select(F.col("_id").alias("_by"), F.col("_source").alias("_with"), "_units"), "crowded")
+    drawn = F.when(F.col("_units").isNull(), F.xxhash64("_id")).otherwise(F.xxhash64("_id", "_print"))
+    same = F.col("_id").eqNullSafe(F.col("_by")) & F.col("_source").eqNullSafe(F.col("_with"))
+    keyed = keyed.join(crowded, same, "left").withColumn("_draw", drawn)
     sharded = keyed.withColumn("_shard", F.pmod(F.col("_draw"), F.col("_shards").cast("bigint")).cast("int"))
     before = Window.partitionBy("_source").orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialize(
         sharded.groupBy("_source", "_shard")
-        .agg(F.count(F.lit(1)).alias("_size"))
+        .agg(F.sum("_copies").alias("_size"))
         .select(
             F.col("_source").alias("_of"),
             F.col("_shard").alias("_in"),
@@ -90,11 +102,43 @@ def _numbered(rows: DataFrame, order: list) -> DataFrame:
         ),
         "offsets",
     )
-    within = Window.partitionBy("_source", "_shard").orderBy("_draw", *order)
+    order = Window.partitionBy("_source", "_shard").orderBy("_draw", "_id", "_print")
+    within = F.coalesce(F.sum("_copies").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return (
-        sharded.withColumn("_place", F.row_number().over(within) - 1)
+        sharded.withColumn("_within", within)
         .join(offsets, F.col("_source").eqNullSafe(F.col("_of")) & (F.col("_shard") == F.col("_in")))
-        .withColumn("_n", F.col("_offset") + F.col("_place"))
+        .withColumn("_from", F.col("_offset") + F.col("_within"))
+        .select("_id", "_source", "_print", "_copies", "_from")
+    )
+
+
+def _placed(
+    units: DataFrame,
+    source_kind: str,
+    weights: Mapping[str | None, float],
+    block_docs: int,
+    period: int,
+) -> DataFrame:
+    """(_id, _source, _print, block, place, slot): a row for every copy of every unit."""
+    units = materialize(units, "units")
+    slots = shares(weights, period)
+    length = sum(slots.values())
+    pattern = units.sparkSession.createDataFrame(
+        [(s, slots[s], at) for s, at in schedule(slots).items()] or [(None, 1, [0])][:0],
+        f"_mixed {source_kind}, _per_period int, _slots array<int>",
+    )
+    # Copies are counted out in stretches, so that no list grows with their number.
+    stretch = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(STRETCH).cast("bigint")))
+    ends = F.least(F.col("_start") + (STRETCH - 1), F.col("_copies") - 1)
+    copies = _numbered(units).withColumn("_start", stretch).withColumn("_copy", F.explode(F.sequence("_start", ends)))
+    n = F.col("_from") + F.col("_copy")
+    block = F.floor(n / block_docs)
+    slot = F.floor(block / F.col("_per_period")) * length + F.get(
+        "_slots", F.pmod(block, F.col("_per_period").cast("bigint")).cast("int")
+    )
+    # One row per source with a weight: the caller's own list, or one as long as the number of sources.
+    return copies.join(pattern, F.col("_source").eqNullSafe(F.col("_mixed")), "left").select(
+        "_id", "_source", "_print", block.alias("block"), F.pmod(n, F.lit(block_docs)).cast("int").alias("place"), slot.alias("slot")
     )
 
 
@@ -105,57 +149,43 @@ def mix_sources(
     source_col: str = "source",
     block_docs: int = BLOCK_DOCS,
     period: int = PERIOD,
-    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per input row: doc_id, source, block, place, slot and the ``carry`` columns.
+    """One row per input row: doc_id, source, block, place and slot.
 
     Order by slot, then place, to read the mix. ``weights`` default to ``target_weights``. A null source is a
-    source of its own. Rows without an id and repeated ids each get a place; the order of rows that agree in
-    id and source is not fixed. A slot is null for sources without a weight: they come last. An empty
-    table gives an empty result.
+    source of its own. Rows without an id and repeated ids each get a place: rows that agree in id and source are
+    counted first, so a third of all rows may do so. A slot is null for sources without a weight: they come last.
+    Other columns are ignored. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
     chosen = target_weights(docs, source_col) if weights is None else weights
-    slots = shares(chosen, period)
-    length = sum(slots.values())
-    kind = docs.schema[source_col].dataType.simpleString()
-    pattern = spark.createDataFrame(
-        [(s, slots[s], at) for s, at in schedule(slots).items()] or [(None, 1, [0])][:0],
-        f"_mixed {kind}, _per_period int, _slots array<int>",
-    )
-    source = docs.select(
-        F.col(f"`{id_col}`").alias("_id"),
-        F.col(f"`{source_col}`").alias("_source"),
-        F.xxhash64(F.col(f"`{id_col}`")).alias("_draw"),
-        *[F.col(f"`{c}`").alias(f"_carry_{c}") for c in carry],
-    )
-    block = F.floor(F.col("_n") / block_docs)
-    slot = F.floor(block / F.col("_per_period")) * length + F.get(
-        "_slots", F.pmod(block, F.col("_per_period").cast("bigint")).cast("int")
-    )
-    # One row per source with a weight: the caller's own list, or one as long as the number of sources.
-    return (
-        _numbered(source, ["_id"])
-        .join(pattern, F.col("_source").eqNullSafe(F.col("_mixed")), "left")
-        .select(
-            F.col("_id").alias("doc_id"),
-            F.col("_source").alias("source"),
-            block.alias("block"),
-            F.pmod(F.col("_n"), F.lit(block_docs)).cast("int").alias("place"),
-            slot.alias("slot"),
-            *[F.col(f"_carry_{c}").alias(c) for c in carry],
-        )
+    units = (
+        text_rows(docs, id_col, source_col)
+        .select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{source_col}`").alias("_source"), F.lit("").alias("_print"))
+        .groupBy("_id", "_source", "_print")
+        .agg(F.count(F.lit(1)).alias("_copies"))
     )
+    kind = docs.schema[source_col].dataType.simpleString()
+    placed = _placed(units, kind, chosen, block_docs, period)
+    return placed.select(F.col("_id").alias("doc_id"), F.col("_source").alias("source"), "block", "place", "slot")
 
 
 def in_mixed_order(docs: DataFrame, weights: Mapping[str | None, float] | None = None) -> DataFrame:
     """All documents, with all their columns, sorted into the mix over consecutive partitions.
 
     Files written from the result hold the mix in the order of their names, and each of them a run of it, so
-    whoever reads a file sees the target weights.
+    whoever reads a file sees the target weights. Rows that agree in all columns are counted and move as one.
     """
-    whole = docs.select(F.struct("*").alias("_document"), "doc_id", "source")
-    mixed = mix_sources(whole, weights, carry=("_document",))
-    key = [F.asc_nulls_last("slot"), F.asc("place"), F.asc("block")]
+    chosen = target_weights(docs) if weights is None else weights
+    whole = F.to_json(F.struct("*"))
+    packed = packed_rows(docs, _id=F.col("doc_id"), _source=F.col("source"), _print=F.sha2(whole, 256))
+    key = ["_id", "_source", "_print"]
+    units = packed.groupBy(*key).agg(F.count(F.lit(1)).alias("_copies"))
+    kind = docs.schema["source"].dataType.simpleString()
+    placed = _placed(units, kind, chosen, BLOCK_DOCS, PERIOD)
+    places = placed.select(*[F.col(c).alias(f"_to{c}") for c in key], "block", "place", "slot")
+    found = packed.groupBy(*key).agg(F.any_value("row").alias("row"))
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_to{c}")) for c in key])
+    mixed = found.join(places, same)
+    order = [F.asc_nulls_last("slot"), F.asc("place"), F.asc("block")]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return mixed.repartitionByRange(parts, *key).sortWithinPartitions(*key).select("_document.*")
+    return mixed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("row.*")

@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskflow.llm.common import bounded_batches, text_rows
+from riskflow.llm.common import bounded_batches, one_of_each, packed_rows, text_rows
 from riskflow.llm.components import connected_components
 from riskflow.session import materialize
 
@@ -237,8 +237,8 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component stays, that with the smallest id, a null id being the largest.
 
-    Columns are those of the input. Of a component's rows that share this id one text stays, that with the smallest
-    digest, and rows that repeat both id and text shrink to one. The verdict comes back by id and text, so rows
+    Columns are those of the input, whatever their names. Of a component's rows that share this id one text stays,
+    that with the smallest digest, and of rows that repeat both id and text the one with the smallest JSON text. The verdict comes back by id and text, so rows
     of other components stay or go by their own, whatever ids they have in common and even without any.
     """
     found = _labelled(fingerprints(docs, id_col, text_col, digests=True))
@@ -249,15 +249,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         .groupBy("root")
         .agg(F.min(F.struct("digest", "doc_id", "rows")).alias("leader"))
         .select(
-            F.col("leader.doc_id").alias("_leader"),
-            F.col("leader.digest").alias("_leader_text"),
-            F.col("leader.rows").alias("_rows"),
+            F.col("leader.doc_id").alias("leader_id"),
+            F.col("leader.digest").alias("leader_print"),
+            F.col("leader.rows").alias("n_rows"),
         ),
         "leaders",
     )
-    text = _digest(F.col(f"`{text_col}`"))
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_leader")) & (text == F.col("_leader_text"))
-    kept = docs.join(leaders.drop("_rows"), same, "left_semi")
-    if leaders.filter("_rows > 1").isEmpty():
-        return kept
-    return kept.withColumn("_leader_text", text).dropDuplicates([id_col, "_leader_text"]).drop("_leader_text")
+    packed = packed_rows(docs, id=F.col(f"`{id_col}`"), print=_digest(F.col(f"`{text_col}`")))
+    same = F.col("id").eqNullSafe(F.col("leader_id")) & (F.col("print") == F.col("leader_print"))
+    kept = packed.join(leaders.drop("n_rows"), same, "left_semi")
+    if not leaders.filter("n_rows > 1").isEmpty():
+        kept = one_of_each(kept, "id", "print")
+    return kept.select("row.*")

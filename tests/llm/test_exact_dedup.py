@@ -82,3 +82,19 @@ def test_empty_table(spark, call):
 def test_plan_has_no_python(spark):
     plan = queries()["op1_exact_dedup"](spark, MEDIUM)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_stage_with_clashing_names_and_repeated_rows(spark):
+    from riskflow.llm.exact_dedup import drop_exact_duplicates
+    from riskflow.llm.simhash import drop_near_duplicates
+
+    names = "doc_id long, text string, _kept_id long, _kept_text string, row int, id int, print string, _leader int, leader_id int"
+    data = [(1, "a b c", 1, "x", 2, 1, "p", 1, 1), (1, "a b c", 1, "x", 1, 1, "p", 1, 1), (2, "d e f g", 9, "y", 3, 3, "q", 2, 2)]
+    docs = spark.createDataFrame(data, names)
+    for stage in (drop_exact_duplicates, drop_near_duplicates):
+        kept = stage(docs)
+        assert kept.columns == docs.columns
+        # Of rows that agree in id and text the one with the smaller JSON text, that is, with row = 1.
+        assert sorted(map(tuple, kept.collect())) == [data[1], data[2]]
+        assert stage(docs.filter("row <> 2")).count() == 2
+        assert stage(docs.limit(0)).count() == 0

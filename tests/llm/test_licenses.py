@@ -105,3 +105,19 @@ def test_edge_cases(spark):
     assert scan_licenses(docs.limit(0)).count() == 0
     own = scan_licenses(docs, {("X", "x"): "one two three four five"})
     assert own.count() == 0
+
+
+def test_many_short_lines_cost_in_proportion():
+    import time
+
+    from riskflow.llm.licenses import Scanner
+
+    scanner = Scanner({("X", "line"): "licensed under the terms of the plain example license of this very test"})
+    line = "licensed under the terms of the plain example license of this very test\n"
+    seconds = []
+    for n in (1000, 8000):
+        start = time.perf_counter()
+        (found,) = scanner.scan([line * n])
+        seconds.append(time.perf_counter() - start)
+        assert len(found) == n
+    assert seconds[1] < 24 * seconds[0]  # eight times as many lines; in proportion to their square it would be 64

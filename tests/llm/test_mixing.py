@@ -93,3 +93,46 @@ def test_edge_cases(spark):
 def test_empty_order(spark, weights):
     docs = spark.createDataFrame([], "doc_id int, source string")
     assert in_mixed_order(docs, weights).count() == 0
+
+
+def brute_places(data, weights):
+    """The slots and places by walking through the schedule, given each source's documents in their order."""
+    slots = shares(weights)
+    pattern = schedule(slots)
+    out = {}
+    for source, ids in data.items():
+        for n, i in enumerate(ids):
+            block, place = divmod(n, BLOCK_DOCS)
+            turn, at = divmod(block, slots[source])
+            out[i] = (turn * sum(slots.values()) + pattern[source][at], place)
+    return out
+
+
+def test_places_equal_the_schedule(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "source")
+    rows = mix_sources(docs).collect()
+    sizes = Counter(r.source for r in rows)
+    own = {s: [r.doc_id for r in sorted((r for r in rows if r.source == s), key=lambda r: (r.block, r.place))] for s in sizes}
+    places = brute_places(own, {s: n**0.5 for s, n in sizes.items()})
+    assert {r.doc_id: (r.slot, r.place) for r in rows} == places
+
+
+def test_a_third_of_all_rows_without_an_id_or_alike(spark, monkeypatch):
+    from riskflow.llm import mixing
+
+    monkeypatch.setattr(mixing, "CROWD", 5)
+    monkeypatch.setattr(mixing, "STRETCH", 7)
+    data = [(None, f"text {i}", "a") for i in range(300)] + [(7, "same", "a")] * 300 + [(8, f"own {i}", "b") for i in range(50)]
+    data += [(100 + i, "t", "a") for i in range(300)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    for got in (mix_sources(docs, {"a": 2.0, "b": 1.0}).collect(),):
+        assert Counter((r.doc_id, r.source) for r in got) == Counter((i, s) for i, _, s in data)
+        check_mix(got, {"a": 2.0, "b": 1.0})
+    ordered = in_mixed_order(docs, {"a": 2.0, "b": 1.0})
+    assert ordered.columns == docs.columns and Counter(map(tuple, ordered.collect())) == Counter(data)
+
+
+def test_clashing_columns_in_the_order(spark):
+    names = "doc_id int, source string, row int, _id int, _print int, slot int, place int, block int"
+    docs = spark.createDataFrame([(1, "a", 1, 1, 1, 1, 1, 1), (2, "a", 2, 2, 2, 2, 2, 2)], names)
+    assert sorted(map(tuple, in_mixed_order(docs).collect())) == sorted(map(tuple, docs.collect()))
