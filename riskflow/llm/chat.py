@@ -5,7 +5,7 @@ and whether it ends with a question mark. Start, transition and emission counts
 roles. The most likely roles of a conversation are found by Viterbi's algorithm in its (max, +) matrix form: a
 line is a matrix of the best scores from the role before it to its own role, and the product over a run of
 lines is again such a matrix. So long conversations need no task of their own: lines form runs of ``FANOUT``
-numbers, runs form longer runs, up to one matrix per conversation; then the roles at the ends of each run are
+lines, runs form longer runs, up to one matrix per conversation; then the roles at the ends of each run are
 chosen from the top down, and the lines of a run last. Each step shuffles by conversation and run.
 """
 
@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskflow.llm.common import bounded_batches, held_out
+from riskflow.operators.ranking import running_totals
 from riskflow.session import materialize
 
 # The canonical roles and the names that transcripts give them.
@@ -36,7 +37,9 @@ FEATURES = {"marker": STATES, "length": 16, "breaks": 4, "question": 2}
 # Counts that a marker has before any line is seen: it nearly always tells the truth.
 MARKER_PRIOR, OTHER_PRIOR, WRONG_PRIOR = 10.0, 10.0, 0.01
 _NAMES = "|".join(sorted((name for names in SPEAKERS.values() for name in names), key=lambda n: (-len(n), n)))
-MARKER = rf"(?i)^\s*(?:(?:#+\s*|\*\*|>\s*)?({_NAMES})(?:\s*\d+)?(?:\*\*)?\s*:(?:\*\*)?|(?:<\|(?:im_start\|>)?|\[)({_NAMES})(?:\|>|\]|\b(?=\s*\n))|#+\s*({_NAMES})\s*\n)\s*"
+_MARKED = rf"(?:(?:#+\s*|\*\*|>\s*)?({_NAMES})(?:\s*\d+)?(?:\*\*)?\s*:(?:\*\*)?|(?:<\|(?:im_start\|>)?|\[)({_NAMES})(?:\|>|\]|\b(?=\s*\n))|#+\s*({_NAMES})\s*\n)"
+MARKER = rf"(?i)^\s*{_MARKED}\s*"
+NEXT_SPEAKER = rf"(?i)\n(?=[ \t]*{_MARKED})"  # the line end before a marked line
 
 
 @dataclass(frozen=True)
@@ -73,39 +76,49 @@ def role_number(role: Column) -> Column:
 
 def observed_lines(
     lines: DataFrame, conv_col: str = "conv_id", order_col: str = "turn", text_col: str = "text", role_col: str | None = "role"
-) -> DataFrame:
-    """conv, at, text, given and the observed features of each line.
+) -> tuple[DataFrame, DataFrame]:
+    """The parts of all texts, and their places without text: what is shown there, and a number in the conversation.
 
-    A line without a conversation or without a number stands alone: it gets a conversation of its own.
+    A text is a transcript of its own: it is cut before each line that starts with a speaker marker. A line without
+    a conversation or without a number is a conversation of its own. Numbers are running totals by turn, row and
+    part, so lines that share a turn are told apart, and any number of them may.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     given = F.col(f"`{role_col}`") if role_col else F.lit(None).cast("string")
-    alone = F.col(f"`{conv_col}`").isNull() | F.col(f"`{order_col}`").isNull()
-    first = lines.agg(F.min(F.col(f"`{order_col}`"))).head()[0] or 0
-    return lines.select(
-        F.col(f"`{conv_col}`").alias("conv"),
-        F.col(f"`{order_col}`").alias("at"),
-        text.alias("text"),
-        given.alias("given"),
-        alone.alias("alone"),
-        _marked_role(text).alias("marker"),
-        F.least(F.floor(F.log2(F.length(text) + 1)), F.lit(FEATURES["length"] - 1)).cast("int").alias("length"),
-        F.least(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))), F.lit(3)).cast("int").alias("breaks"),
-        F.rtrim(text).endswith("?").cast("int").alias("question"),
-        F.floor((F.col(f"`{order_col}`") - first) / FANOUT).cast("bigint").alias("run"),
+    conv, at = F.col(f"`{conv_col}`"), F.col(f"`{order_col}`")
+    alone = conv.isNull() | at.isNull()
+    row = F.monotonically_increasing_id()
+    rows = lines.select(conv.alias("conv"), at.alias("at"), given.alias("given"), alone.alias("alone"), row.alias("row"), text.alias("whole"))
+    cut = rows.select("conv", "at", "given", "alone", "row", F.posexplode(F.split("whole", NEXT_SPEAKER)).alias("part", "text"))
+    text = F.col("text")
+    parts = materialize(
+        cut.select(
+            "*",
+            _marked_role(text).alias("marker"),
+            F.least(F.floor(F.log2(F.length(text) + 1)), F.lit(FEATURES["length"] - 1)).cast("int").alias("length"),
+            F.least(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))), F.lit(3)).cast("int").alias("breaks"),
+            F.rtrim(text).endswith("?").cast("int").alias("question"),
+        ),
+        "parts",
+    )
+    own = F.when(F.col("alone"), F.concat(F.lit("row "), F.col("row"))).otherwise(F.concat(F.lit("conversation "), F.col("conv")))
+    taught = ~F.col("alone") & ~held_out(F.col("conv")) & (F.col("part") == 0)
+    role = F.when(taught, role_number(F.col("given")))
+    keys = parts.select(
+        own.alias("conv"), F.col("at").alias("turn"), "row", "part", role.alias("role"), *FEATURES, F.lit(1).alias("one")
     )
+    numbered = running_totals(keys, [F.asc("turn"), F.asc("row"), F.asc("part")], "one", ["conv"], "at")
+    run = F.floor(F.col("at") / FANOUT).cast("bigint").alias("run")
+    places = numbered.select("conv", run, F.col("at").cast("bigint").alias("at"), "row", "part", "role", *FEATURES)
+    return parts, materialize(places, "places")
 
 
-def train(observed: DataFrame) -> Model:
+def train(places: DataFrame) -> Model:
     """Counts over all lines with a known role outside the held-out third of conversations.
 
-    Neighbours are found within runs, and across runs through the first and last role of each. Lines that
-    share a number count in no fixed order.
+    Neighbours are found within runs, and across runs through the first and last role of each.
     """
-    known = observed.select("*", role_number(F.col("given")).alias("role")).filter(
-        "NOT alone AND role IS NOT NULL"
-    ).filter(~held_out(F.col("conv")))
-    known = materialize(known.select("conv", "run", "at", "role", *FEATURES), "known-lines")
+    known = places.filter("role IS NOT NULL")
     before = F.lag("role").over(Window.partitionBy("conv", "run").orderBy("at"))
     inner = known.select("role", before.alias("before")).filter("before IS NOT NULL")
     runs = known.groupBy("conv", "run").agg(F.min_by("role", "at").alias("role"), F.max_by("role", "at").alias("last"))
@@ -174,7 +187,7 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*waiting), schema)], schema=schema)
 
 
-def _summaries(nodes: DataFrame, matrix_of, conv_type: str) -> DataFrame:
+def _summaries(nodes: DataFrame, matrix_of) -> DataFrame:
     """(conv, at, m): the product over each run. ``nodes`` has conv, run, at and what ``matrix_of`` reads."""
     dealt = nodes.repartition("conv", "run").sortWithinPartitions("conv", "run", "at")
 
@@ -188,49 +201,38 @@ def _summaries(nodes: DataFrame, matrix_of, conv_type: str) -> DataFrame:
 
         return _batches(rows(), schema)
 
-    schema = pa.schema([("conv", _arrow(conv_type)), ("at", pa.int64()), ("m", pa.list_(pa.float64()))])
-    return materialize(dealt.mapInArrow(compute, f"conv {conv_type}, at bigint, m array<double>"), "runs")
-
-
-def _arrow(simple: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[simple]
+    schema = pa.schema([("conv", pa.string()), ("at", pa.int64()), ("m", pa.list_(pa.float64()))])
+    return materialize(dealt.mapInArrow(compute, "conv string, at bigint, m array<double>"), "runs")
 
 
 def _of_list(values: tuple) -> np.ndarray:
     return np.array(values[0]).reshape(STATES, STATES)
 
 
-def decode(observed: DataFrame, model: Model) -> DataFrame:
-    """conv, at, text, given, role and opens (whether a turn starts) of each line."""
-    bounded_batches(observed.sparkSession)
-    kind = observed.schema["conv"].dataType.simpleString()
-    chained = observed.filter("NOT alone")
-    levels = [_summaries(chained.select("conv", "run", "at", *FEATURES), model.matrix, kind)]
+def decode(places: DataFrame, model: Model) -> DataFrame:
+    """row, part, role and opens (whether a turn starts) of each place."""
+    bounded_batches(places.sparkSession)
+    levels = [_summaries(places.select("conv", "run", "at", *FEATURES), model.matrix)]
     while True:
         # ``at`` of a level numbers its runs; a run of runs is the next number up.
         grouped = levels[-1].select("conv", F.floor(F.col("at") / FANOUT).cast("bigint").alias("run"), "at", "m")
-        ends = levels[-1].agg(F.min("at"), F.max("at")).head()
-        if ends[0] is None or ends[0] == ends[1]:
+        if not levels[-1].agg(F.max("at")).head()[0]:
             break
-        levels.append(_summaries(grouped, _of_list, kind))
+        levels.append(_summaries(grouped, _of_list))
     # The top level has one run per conversation. Its ends are free; every other run gets both ends from above.
     chosen = levels[-1].select("conv", "at", F.lit(BEGIN).alias("before"), F.lit(None).cast("int").alias("end"))
     for level in reversed(levels[:-1]):
-        chosen = _ends_of_parts(level, chosen, kind)
-    lines = chained.join(chosen.select("conv", F.col("at").alias("run"), "before", "end"), ["conv", "run"])
-    decoded = _roles(lines.select("conv", "run", "at", "before", "end", *FEATURES, "text", "given"), model, observed)
-    single = observed.filter("alone").select(
-        "conv", "at", F.lit(BEGIN).alias("before"), F.lit(None).cast("int").alias("end"), *FEATURES, "text", "given"
-    )
-    return decoded.unionByName(_roles(single, model, observed, alone=True))
+        chosen = _ends_of_parts(level, chosen)
+    lines = places.join(chosen.select("conv", F.col("at").alias("run"), "before", "end"), ["conv", "run"])
+    return _roles(lines.select("conv", "run", "at", "before", "end", *FEATURES, "row", "part"), model)
 
 
-def _ends_of_parts(level: DataFrame, chosen: DataFrame, kind: str) -> DataFrame:
+def _ends_of_parts(level: DataFrame, chosen: DataFrame) -> DataFrame:
     """For the parts of each chosen run the states before them and at their ends."""
     parts = level.select("conv", F.floor(F.col("at") / FANOUT).cast("bigint").alias("run"), "at", "m")
     joined = parts.join(chosen.select("conv", F.col("at").alias("run"), "before", "end"), ["conv", "run"])
     dealt = joined.select("conv", "run", "at", "m", "before", "end").repartition("conv", "run")
-    schema = pa.schema([("conv", _arrow(kind)), ("at", pa.int64()), ("before", pa.int32()), ("end", pa.int32())])
+    schema = pa.schema([("conv", pa.string()), ("at", pa.int64()), ("before", pa.int32()), ("end", pa.int32())])
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -243,32 +245,26 @@ def _ends_of_parts(level: DataFrame, chosen: DataFrame, kind: str) -> DataFrame:
         return _batches(rows(), schema)
 
     sorted_ = dealt.sortWithinPartitions("conv", "run", "at")
-    return materialize(sorted_.mapInArrow(compute, f"conv {kind}, at bigint, before int, end int"), "run-ends")
-
-
-def _roles(lines: DataFrame, model: Model, observed: DataFrame, alone: bool = False) -> DataFrame:
-    if alone:
-        dealt = lines.select("conv", F.lit(0).cast("bigint").alias("run"), "at", "before", "end", *FEATURES, "text", "given")
-    else:
-        dealt = lines.repartition("conv", "run").sortWithinPartitions("conv", "run", "at")
-    conv, at = (observed.schema[name].dataType.simpleString() for name in ("conv", "at"))
-    names = ["conv", "at", "text", "given", "role", "opens"]
-    types = [_arrow(conv), _arrow(at), pa.string(), pa.string(), pa.string(), pa.bool_()]
-    schema = pa.schema(list(zip(names, types)))
+    return materialize(sorted_.mapInArrow(compute, "conv string, at bigint, before int, end int"), "run-ends")
+
+
+def _roles(lines: DataFrame, model: Model) -> DataFrame:
+    dealt = lines.repartition("conv", "run").sortWithinPartitions("conv", "run", "at")
+    types = [pa.int64(), pa.int32(), pa.string(), pa.bool_()]
+    schema = pa.schema(list(zip(["row", "part", "role", "opens"], types)))
     n = 5 + len(FEATURES)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            for run in ([[row] for one in _runs(batches, 2) for row in one] if alone else _runs(batches, 2)):
+            for run in _runs(batches, 2):
                 before = run[0][3]
-                states = _path([model.matrix(row[5:n]) for row in run], before, run[0][4])
-                for row, state in zip(run, states):
-                    yield row[0], row[2], row[n], row[n + 1], ROLES[state], state != before or row[5] != BEGIN
+                for row, state in zip(run, _path([model.matrix(row[5:n]) for row in run], before, run[0][4])):
+                    yield row[n], row[n + 1], ROLES[state], state != before or row[5] != BEGIN
                     before = state
 
         return _batches(rows(), schema)
 
-    return dealt.mapInArrow(compute, f"conv {conv}, at {at}, text string, given string, role string, opens boolean")
+    return dealt.mapInArrow(compute, "row bigint, part int, role string, opens boolean")
 
 
 def format_chat(
@@ -279,23 +275,26 @@ def format_chat(
     role_col: str | None = "role",
     model: Model | None = None,
 ) -> DataFrame:
-    """One row per line: conv_id, turn, held_out, given_role, role, opens, rendered.
+    """One row per line and speaker in it: conv_id, turn, part, held_out, given_role, role, opens, rendered.
 
-    ``role`` comes from the lines alone; ``given_role`` is what the input says, which only lines of
-    conversations that are not held out teach the model. ``rendered`` is the line without its marker, after
-    a header where a turn opens; the parts of a conversation in order are its canonical form. A null
+    A text in which several marked speakers follow each other gives a part for each, numbered from 0; other texts
+    are one part. ``role`` comes from the lines alone; ``given_role`` is what the input says of the whole line, which
+    only first parts in conversations that are not held out teach the model. ``rendered`` is the part without its
+    marker, after a header where a turn opens; the parts of a conversation in order are its canonical form. A null
     text is empty. A line without a conversation or number stands alone. Lines that share both, repeated ones
-    included, all stay, in no fixed order. Other columns are ignored, whatever their names.
+    included, all stay and follow each other in one order. Keys may be of any type that has an order. Other columns
+    are ignored, whatever their names; an empty table gives an empty result.
     """
-    observed = observed_lines(lines, conv_col, order_col, text_col, role_col)
-    decoded = decode(observed, model or train(observed))
+    parts, places = observed_lines(lines, conv_col, order_col, text_col, role_col)
+    decoded = decode(places, model or train(places))
     header = F.when(
         F.col("opens"), F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"))
     ).otherwise(F.lit(""))
     body = F.trim(F.regexp_replace("text", MARKER, ""))
-    return decoded.select(
+    return parts.join(decoded, ["row", "part"]).select(
         F.col("conv").alias("conv_id"),
         F.col("at").alias("turn"),
+        "part",
         held_out(F.col("conv")).alias("held_out"),
         F.col("given").alias("given_role"),
         "role",

@@ -81,3 +81,39 @@ def test_edge_cases(spark):
     assert len(rows) == 5 and {r.role for r in rows} <= set(ROLES)
     assert all(r.opens for r in rows if r.conv_id != 1)
     assert format_chat(lines.limit(0)).count() == 0
+
+
+def test_transcripts_in_one_text_are_cut_at_their_speakers(spark):
+    texts = ["User: hi\nmore\nAssistant: hello\n  User: bye", "Assistant: done", "plain\ntext: none"]
+    lines = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts)], "conv_id long, turn int, text string")
+    counts = {f: np.zeros((BEGIN, n)) for f, n in chat.FEATURES.items()}
+    counts["marker"] = np.log(np.full((BEGIN, BEGIN + 1), 0.01) + np.eye(BEGIN, BEGIN + 1) * 0.96)
+    model = Model(np.log(np.full((BEGIN + 1, BEGIN), 1 / 3)), counts)
+    rows = sorted(format_chat(lines, role_col=None, model=model).collect(), key=lambda r: (r.turn, r.part))
+    assert [(r.turn, r.part) for r in rows] == [(0, 0), (0, 1), (0, 2), (1, 0), (2, 0)]
+    assert [r.role for r in rows[:4]] == ["user", "assistant", "user", "assistant"]
+    assert "".join(r.rendered for r in rows[:4]) == (
+        "<|user|>\nhi\nmore\n<|assistant|>\nhello\n<|user|>\nbye\n<|assistant|>\ndone\n"
+    )
+
+
+@pytest.mark.parametrize("kinds", ["conv_id smallint, turn tinyint", "conv_id string, turn decimal(9,2)", "conv_id date, turn long"])
+def test_keys_of_any_type(spark, kinds):
+    lines = spark.range(6).selectExpr("CAST(id % 2 AS int) AS c", "id AS t", "'User: x' AS text", "'user' AS role")
+    c, t = kinds.split(", ")
+    cast = f"date_add(DATE'2024-01-01', c) AS conv_id" if "date" in c else f"CAST(c AS {c.split()[1]}) AS conv_id"
+    typed = lines.selectExpr(cast, f"CAST(t AS {t.split()[1]}) AS turn", "text", "role")
+    found = format_chat(typed)
+    assert found.schema["conv_id"].dataType == typed.schema["conv_id"].dataType
+    assert found.schema["turn"].dataType == typed.schema["turn"].dataType
+    assert found.count() == 6
+
+
+def test_a_hot_turn_is_many_runs(spark, monkeypatch):
+    monkeypatch.setattr(chat, "FANOUT", 8)
+    data = [(1, 5, f"User: {i}") for i in range(100)] + [(1, 5, "User: same")] * 100 + [(2, 1, "Assistant: x")]
+    lines = spark.createDataFrame(data, "conv_id long, turn int, text string")
+    _, places = chat.observed_lines(lines, role_col=None)
+    assert places.groupBy("conv", "run").count().agg({"count": "max"}).head()[0] <= 8
+    found = format_chat(lines, role_col=None, model=random_model()).collect()
+    assert len(found) == len(data) and sum(r.turn == 5 for r in found) == 200
