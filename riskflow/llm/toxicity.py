@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskflow.llm.common import bounded_batches, held_out, text_rows
+from riskflow.llm.common import bounded_batches, held_out, text_rows, with_value
 from riskflow.llm.transducers import Symbol, Transducer, compose, marked_inputs, window
 from riskflow.session import materialize
 
@@ -260,7 +260,8 @@ def _terms(text: Column) -> Column:
 def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> DataFrame:
     """(text, toxic) of labelled documents outside the held-out third, about ``max_docs`` at most.
 
-    A document counts once per label row; documents that are labelled both ways or null are left out.
+    Documents that are labelled both ways or null are left out. Of texts that are copies or near copies of each other
+    one is taken per label: else every word of a large group would look like a sign of its label.
     """
     verdicts = (
         text_rows(labels, "doc_id", "toxic")
@@ -275,7 +276,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINI
     share = min(1.0, max_docs / max(1, verdicts.count()))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)
     texts = text_rows(docs, "doc_id", "text").filter(draw)
-    return materialize(texts.join(verdicts.filter(draw), "doc_id").select("text", "toxic"), "training")
+    labelled = texts.join(verdicts.filter(draw), "doc_id").select("text", "toxic", _likeness(F.col("text")).alias("like"))
+    return materialize(labelled.groupBy("toxic", "like").agg(F.min("text").alias("text")).select("text", "toxic"), "training")
+
+
+def _likeness(text: Column) -> Column:
+    """The smallest hash of five words in a row: the same for copies, and nearly always for near copies."""
+
+    def least(words: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(words) - 4, F.lit(1)))
+        return F.array_min(F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, 5))))
+
+    return with_value(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), least)
 
 
 def learn_terms(training: DataFrame, max_terms: int = MAX_TERMS) -> tuple[dict[str, float], dict[str, float]]:
