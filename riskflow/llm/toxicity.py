@@ -258,10 +258,10 @@ def _terms(text: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> DataFrame:
-    """(text, toxic) of labelled documents outside the held-out third, about ``max_docs`` at most.
+    """(text, toxic, like) of labelled documents outside the held-out third, about ``max_docs`` at most.
 
-    Documents that are labelled both ways or null are left out. Of texts that are copies or near copies of each other
-    one is taken per label: else every word of a large group would look like a sign of its label.
+    A document counts once per label row; documents that are labelled both ways or null are left out. ``like`` is the
+    same for copies.
     """
     verdicts = (
         text_rows(labels, "doc_id", "toxic")
@@ -277,7 +277,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINI
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)
     texts = text_rows(docs, "doc_id", "text").filter(draw)
     labelled = texts.join(verdicts.filter(draw), "doc_id").select("text", "toxic", _likeness(F.col("text")).alias("like"))
-    return materialize(labelled.groupBy("toxic", "like").agg(F.min("text").alias("text")).select("text", "toxic"), "training")
+    return materialize(labelled, "training")
 
 
 def _likeness(text: Column) -> Column:
@@ -291,7 +291,12 @@ def _likeness(text: Column) -> Column:
 
 
 def learn_terms(training: DataFrame, max_terms: int = MAX_TERMS) -> tuple[dict[str, float], dict[str, float]]:
-    """Insult words and stems with their log-odds. At most ``max_terms`` come to the driver."""
+    """Insult words and stems with their log-odds. At most ``max_terms`` come to the driver.
+
+    Of texts that are copies or near copies of each other one counts per label: else every word of a large group
+    would look like a sign of its label.
+    """
+    training = training.groupBy("toxic", "like").agg(F.min("text").alias("text"))
     n1, n0 = training.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).head()
     words = dict.fromkeys(SEED_INSULTS, MIN_LOG_ODDS)
     if not n1 or not n0:
