@@ -16,7 +16,8 @@ from riskflow.llm.mixing import in_mixed_order
 from riskflow.llm.packing import pack_documents, with_digests
 from riskflow.llm.simhash import drop_near_duplicates
 from riskflow.llm.toxicity import drop_toxic, train
-from riskflow.session import materialize
+from riskflow.session import new_path, run_scope
+from riskflow.sinks import write_table
 from riskflow.sources import read_table
 
 ORACLE_SQL = None  # learned scores, fingerprints and token ids are beyond SQL
@@ -57,7 +58,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of the whole pipeline. Of each stage but the last only its result is kept on disk."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = new_path(spark, name.replace(" ", "-"))
+        with run_scope(spark):
+            kept = stage(spark, docs, sf_dir)
+            write_table(kept, path, "errorifexists")
+        docs = spark.read.schema(kept.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -28,6 +28,7 @@ BLOCK_DOCS = 8
 PERIOD = 2000
 STRETCH = 1 << 14
 CROWD = 1000  # different rows with one id and source above which they are spread
+MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"  # rows are told apart by all that a timestamp holds
 TEMPERATURE = 0.5  # target weights grow with this power of a source's size unless they are given
 
 
@@ -173,19 +174,22 @@ def in_mixed_order(docs: DataFrame, weights: Mapping[str | None, float] | None =
     """All documents, with all their columns, sorted into the mix over consecutive partitions.
 
     Files written from the result hold the mix in the order of their names, and each of them a run of it, so
-    whoever reads a file sees the target weights. Rows that agree in all columns are counted and move as one.
+    whoever reads a file sees the target weights. Rows that agree in all columns are counted and move as one. An
+    empty table gives an empty result.
     """
     chosen = target_weights(docs) if weights is None else weights
-    whole = F.to_json(F.struct("*"))
+    whole = F.to_json(F.struct("*"), {"timestampFormat": MICROS, "timestampNTZFormat": MICROS})
     packed = packed_rows(docs, _id=F.col("doc_id"), _source=F.col("source"), _print=F.sha2(whole, 256))
     key = ["_id", "_source", "_print"]
     units = packed.groupBy(*key).agg(F.count(F.lit(1)).alias("_copies"))
     kind = docs.schema["source"].dataType.simpleString()
-    placed = _placed(units, kind, chosen, BLOCK_DOCS, PERIOD)
-    places = placed.select(*[F.col(c).alias(f"_to{c}") for c in key], "block", "place", "slot")
-    found = packed.groupBy(*key).agg(F.any_value("row").alias("row"))
-    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_to{c}")) for c in key])
-    mixed = found.join(places, same)
+    placed = materialize(_placed(units, kind, chosen, BLOCK_DOCS, PERIOD), "places")
     order = [F.asc_nulls_last("slot"), F.asc("place"), F.asc("block")]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return mixed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("row.*")
+    # Ranges are drawn from the places alone; drawn from whole rows, these would be joined and read once more for it.
+    dealt = placed.repartitionByRange(parts, *order).withColumn("_file", F.spark_partition_id())
+    places = dealt.select(*[F.col(c).alias(f"_to{c}") for c in key], "block", "place", "slot", "_file")
+    found = packed.groupBy(*key).agg(F.any_value("row").alias("row"))
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_to{c}")) for c in key])
+    mixed = found.join(places, same).repartitionById(parts, "_file")
+    return mixed.sortWithinPartitions(*order).select("row.*")

@@ -136,3 +136,20 @@ def test_clashing_columns_in_the_order(spark):
     names = "doc_id int, source string, row int, _id int, _print int, slot int, place int, block int"
     docs = spark.createDataFrame([(1, "a", 1, 1, 1, 1, 1, 1), (2, "a", 2, 2, 2, 2, 2, 2)], names)
     assert sorted(map(tuple, in_mixed_order(docs).collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_rows_that_differ_by_a_microsecond_both_stay(spark):
+    docs = spark.sql(
+        "SELECT 1 AS doc_id, 'a' AS source, timestamp_micros(n) AS seen, timestamp_ntz '2024-01-01 00:00:00' AS at"
+        " FROM VALUES (1L), (2L), (2L) AS t(n)"
+    )
+    mixed = in_mixed_order(docs)
+    assert sorted(map(tuple, mixed.collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_ranges_are_drawn_from_places_not_from_texts(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    plan = in_mixed_order(docs)._jdf.queryExecution().executedPlan().toString()
+    ranged = next(line for line in plan.splitlines() if "rangepartitioning" in line)
+    below = plan.split(ranged)[1]
+    assert " text" not in below and "row#" not in below

@@ -54,6 +54,15 @@ def test_run_equals_stages(spark, stages):
     assert pack_documents(stages[-2], corpus_pipeline.public_tokenizers.path("byte_bpe_50k.json")).count() == whole.total()
 
 
+def test_run_leaves_only_what_stages_keep(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("riskflow.session.scratch_dir", lambda spark: str(tmp_path))
+    corpus_pipeline.run(spark, SMALL).count()
+    left = sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir())
+    names = [name.replace(" ", "-") for name, _ in corpus_pipeline.STAGES[:-1]]
+    assert all(left.count(name) == 1 for name in names)
+    assert not {"units", "places", "sources", "offsets"} & set(left)
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None, None, None, None), (1, None, None, None, None), (None, "a b c", "en", "s", 5)]])
 def test_stages_on_empty_and_null_rows(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
