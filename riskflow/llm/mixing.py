@@ -17,7 +17,6 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -120,7 +119,7 @@ def _placed(
     block_docs: int,
     period: int,
 ) -> DataFrame:
-    """(_id, _source, _print, block, place, slot): a row for every copy of every unit."""
+    """(_id, _source, _print, _copies, _start, block, place, slot): a row for every copy of every unit."""
     units = materialize(units, "units")
     slots = shares(weights, period)
     length = sum(slots.values())
@@ -139,7 +138,10 @@ def _placed(
     )
     # One row per source with a weight: the caller's own list, or one as long as the number of sources.
     return copies.join(pattern, F.col("_source").eqNullSafe(F.col("_mixed")), "left").select(
-        "_id", "_source", "_print", block.alias("block"), F.pmod(n, F.lit(block_docs)).cast("int").alias("place"), slot.alias("slot")
+        *("_id", "_source", "_print", "_copies", "_start"),
+        block.alias("block"),
+        F.pmod(n, F.lit(block_docs)).cast("int").alias("place"),
+        slot.alias("slot"),
     )
 
 
@@ -180,16 +182,23 @@ def in_mixed_order(docs: DataFrame, weights: Mapping[str | None, float] | None =
     chosen = target_weights(docs) if weights is None else weights
     whole = F.to_json(F.struct("*"), {"timestampFormat": MICROS, "timestampNTZFormat": MICROS})
     packed = packed_rows(docs, _id=F.col("doc_id"), _source=F.col("source"), _print=F.sha2(whole, 256))
-    key = ["_id", "_source", "_print"]
-    units = packed.groupBy(*key).agg(F.count(F.lit(1)).alias("_copies"))
+    counted = F.count(F.lit(1)).alias("_copies")
+    units = packed.groupBy("_print").agg(F.any_value("_id").alias("_id"), F.any_value("_source").alias("_source"), counted)
     kind = docs.schema["source"].dataType.simpleString()
     placed = materialize(_placed(units, kind, chosen, BLOCK_DOCS, PERIOD), "places")
     order = [F.asc_nulls_last("slot"), F.asc("place"), F.asc("block")]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Ranges are drawn from the places alone; drawn from whole rows, these would be joined and read once more for it.
     dealt = placed.repartitionByRange(parts, *order).withColumn("_file", F.spark_partition_id())
-    places = dealt.select(*[F.col(c).alias(f"_to{c}") for c in key], "block", "place", "slot", "_file")
-    found = packed.groupBy(*key).agg(F.any_value("row").alias("row"))
-    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_to{c}")) for c in key])
-    mixed = found.join(places, same).repartitionById(parts, "_file")
+    places = dealt.select("_print", "_start", F.col("_copies") > STRETCH, "block", "place", "slot", "_file")
+    places = places.toDF("_print", "_start", "_crowd", "block", "place", "slot", "_file")
+    found = packed.groupBy("_print").agg(F.any_value("row").alias("row"), counted)
+    # Rows meet their places where they were counted; only those with more copies than a stretch holds move again.
+    kept = ["row", "block", "place", "slot", "_file"]
+    mixed = found.filter(F.col("_copies") <= STRETCH).join(places.filter("NOT _crowd"), "_print").select(*kept)
+    if not placed.filter(F.col("_copies") > STRETCH).isEmpty():
+        starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(STRETCH).cast("bigint")))
+        crowds = found.filter(F.col("_copies") > STRETCH).withColumn("_start", starts)
+        mixed = mixed.unionByName(crowds.join(places.filter("_crowd"), ["_print", "_start"]).select(*kept))
+    mixed = mixed.repartitionById(parts, "_file")
     return mixed.sortWithinPartitions(*order).select("row.*")
