@@ -21,7 +21,7 @@ from riskflow.fixed_values import (
     REG_PARAM,
     TUNING_TRAIN_RATIO,
 )
-from riskflow.operators.encode import SCALED
+from riskflow.operators.encode import FEATURES, SCALED
 from riskflow.operators.evaluate import confusion, metrics
 
 
@@ -115,6 +115,19 @@ def parameters(spark: SparkSession, model: Model) -> DataFrame:
     return spark.createDataFrame(rows, "name string, value string")
 
 
+def coefficients(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """What a saved model has learned: (name, value), a row per encoded feature and one for the intercept.
+
+    Features are named as ``df``, rows like those it was fitted on, is encoded; only the schema of ``df`` is used.
+    """
+    encoded = PipelineModel(stages=model.stages[:-1]).transform(df)
+    kinds = encoded.schema[FEATURES].metadata["ml_attr"]["attrs"]
+    names = {a["idx"]: a["name"] for attributes in kinds.values() for a in attributes}
+    fitted = model.stages[-1]
+    rows = [(names[i], float(value)) for i, value in enumerate(fitted.coefficients.toArray())]
+    return df.sparkSession.createDataFrame([*rows, ("intercept", float(fitted.intercept))], "name string, value double")
+
+
 def search_results(spark: SparkSession, fitted, grid: list[dict]) -> DataFrame:
     """One row per grid point: its parameters, validation AUC and whether it was chosen."""
     scores = getattr(fitted, "validationMetrics", None) or fitted.avgMetrics

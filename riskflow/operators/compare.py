@@ -173,11 +173,13 @@ def mean_interval(
 ) -> DataFrame:
     """t-interval of each model's mean: (model, metric, low, mean, high).
 
-    It rests on as many values as were measured; ``replicates`` is the largest number that can have been.
-    Fewer than two values give no bounds.
+    It rests on as many values as were measured; ``replicates`` is the largest number that can have been, and a
+    mean of more values is refused. Fewer than two values give no bounds.
     """
     points = F.array(*[F.lit(t_critical(confidence, dof)) for dof in range(1, replicates)])
-    half = F.col("std") / F.sqrt("n") * F.get(points, F.col("n").cast("int") - 2)
+    many = F.concat(F.lit(f"more than {replicates} values: "), F.col("n").cast("string"))
+    point = F.when(F.col("n") > replicates, F.raise_error(many)).otherwise(F.get(points, F.col("n").cast("int") - 2))
+    half = F.col("std") / F.sqrt("n") * point
     mean = F.col("mean")
     return measured.filter(F.col("metric") == metric).select(
         model, "metric", (mean - half).alias("low"), "mean", (mean + half).alias("high")

@@ -469,6 +469,29 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.compare_job(spark, _features(spark, sf_dir), SEARCH_PARALLELISM).select("section", "name")
 
 
+def model_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a training run logs, read back from the run table, and the coefficients of the model that it saves."""
+    prepared = _features(spark, sf_dir)
+    runs, path = new_path(spark, "runs"), new_path(spark, "model")
+    jobs.train_job(spark, prepared, runs, path, "catalog")
+    logged = read_runs(spark, runs).filter("kind = 'metric'").select("kind", "name", F.col("value").cast("double"))
+    learned = classify.coefficients(classify.load_model(path), prepared)
+    return logged.unionByName(learned.select(F.lit("coefficient").alias("kind"), "name", "value"))
+
+
+def comparison_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of the fixed and the tuned model with all its values."""
+    return jobs.compare_job(spark, _features(spark, sf_dir), SEARCH_PARALLELISM)
+
+
+def search_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every point of the grid with its area under ROC on the validation rows, and which was chosen."""
+    estimator = classify.logistic()
+    grid = classify.parameter_grid(estimator)
+    ready = jobs.prepare(_features(spark, sf_dir))
+    return classify.search_results(spark, classify.tune(ready.train, estimator, grid, parallelism=SEARCH_PARALLELISM), grid)
+
+
 def ab_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long_metrics(compare.summary(_rules(spark, sf_dir)), by=("model",))
 
@@ -723,6 +746,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cross_validation": cross_validation,
         "score_saved": score_saved,
         "model_comparison": model_comparison,
+        "model_values": model_values,
+        "comparison_values": comparison_values,
+        "search_values": search_values,
         "json_decode": json_decode,
         "stream_decode": stream_decode,
         "stream_landing": stream_landing,

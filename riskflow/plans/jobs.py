@@ -25,8 +25,9 @@ from riskflow.fixed_values import (
 )
 from riskflow.operators import classify, compare
 from riskflow.operators.encode import SCALED, check_categories, feature_pipeline, fit_features
-from riskflow.operators.evaluate import long_metrics
+from riskflow.operators.evaluate import area_under_roc, long_metrics
 from riskflow.operators.features import enrich, terminal_profile, typed
+from riskflow.operators.joins import small_enough
 from riskflow.operators.quality import KEPT, Rules, audit_lines, profile, reject_reasons
 from riskflow.operators.sampling import COPY, hash_split, oversample, with_split
 from riskflow.session import materialize, pin_time_zone, run_scope, small_result
@@ -73,12 +74,20 @@ def clean_job(
 def feature_job(spark: SparkSession, clean_path: str, target: str) -> str:
     """Clean text columns to typed transactions with their terminal's risk, by source date if known.
 
-    Rows only meet the broadcast terminals and are not moved, so a task writes the dates it read.
+    Where the terminals are few enough to be broadcast, rows are not moved and a task writes the dates it read.
+    More terminals are joined by shuffle, which leaves rows of every date in every task; they are brought together
+    by date before they are written, a large date in several files.
     """
     pin_time_zone(spark)
     cleaned = spark.read.parquet(clean_path)
     dates = [c for c in ("source_date",) if c in cleaned.columns]
-    return write_table(enrich(typed(cleaned, keep=dates)), target, "overwrite", dates)
+    transactions = typed(cleaned, keep=dates)
+    with run_scope(spark):
+        profiles = materialize(terminal_profile(transactions), "profiles")
+        enriched = enrich(transactions, profiles)
+        if dates and not small_enough(profiles):
+            enriched = enriched.hint("rebalance", *dates)
+        return write_table(enriched, target, "overwrite", dates)
 
 
 @dataclass
@@ -148,14 +157,18 @@ def prepare_leak_free(
 def train_job(
     spark: SparkSession, features: DataFrame, runs_path: str, model_path: str, run_id: str
 ) -> DataFrame:
-    """Fit the fixed-parameter model, log parameters and metrics, save encoding and model together."""
+    """Fit the fixed-parameter model, log parameters and metrics, save encoding and model together.
+
+    ``testAreaUnderROC`` is exact on the test rows; ``areaUnderROC`` is what fitting reports of the training rows.
+    """
     with run_scope(spark):
         ready = prepare(features)
         model = classify.logistic().fit(ready.train)
         predictions = classify.predict(model, ready.test, [ID, COPY])
         measured = small_result(classify.evaluate(predictions))
         logged = run_rows(classify.parameters(spark, model), run_id, "LR", "param", "name")
-        for values in (classify.training_summary(spark, model), long_metrics(measured)):
+        ranked = area_under_roc(predictions).select(F.lit("testAreaUnderROC").alias("metric"), F.col("auc").alias("value"))
+        for values in (classify.training_summary(spark, model), long_metrics(measured), ranked):
             logged = logged.unionByName(run_rows(values, run_id, "LR", "metric"))
         log_run(logged, runs_path)
         classify.save_model(PipelineModel(stages=[*ready.encoding.stages, model]), model_path)

@@ -12,7 +12,7 @@ from riskflow.plans.oracles import oracle_sql
 from conftest import MEDIUM
 
 QUERIES, ORACLES = queries(), oracle_sql()
-WITHOUT_SQL = {"sample_with_replacement"}
+WITHOUT_SQL = {"sample_with_replacement", "model_values", "comparison_values", "search_values"}
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +20,7 @@ def connection():
     return compare.oracle(MEDIUM)
 
 
-def test_only_a_random_sample_lacks_sql():
+def test_only_random_samples_and_fitted_values_lack_sql():
     assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
     assert set(ORACLES) <= set(QUERIES)
 

@@ -83,6 +83,27 @@ def test_clean_and_feature_jobs(spark, raw_file, tmp_path):
     assert {str(r["source_date"]) for r in enriched.collect()} == {"2020-01-02"}
 
 
+def test_features_of_many_terminals_are_written_by_date(spark, tmp_path, monkeypatch):
+    days = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 20).cast("int"))
+    rows = spark.range(0, 4000, 1, 8).select(
+        F.col("id").cast("string").alias("tranaction_id"),
+        F.lit("2020-01-01 03:04:05").alias("tx_datetime"),
+        F.lit("17").alias("customer_id"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 900).cast("string").alias("terminal_id"),
+        F.lit("2.5").alias("tx_amount"),
+        (F.col("id") % 7 == 0).cast("int").cast("string").alias("tx_fraud"),
+        F.lit("0").alias("tx_fraud_scenario"),
+        days.alias("source_date"),
+    )
+    source = write_table(rows, str(tmp_path / "clean"))
+    few = spark.read.parquet(jobs.feature_job(spark, source, str(tmp_path / "few")))
+    for module in ("riskflow.operators.joins", "riskflow.plans.jobs"):
+        monkeypatch.setattr(f"{module}.small_enough", lambda *_: False)
+    many = spark.read.parquet(jobs.feature_job(spark, source, str(tmp_path / "many")))
+    assert many.count() == 4000 and many.exceptAll(few).isEmpty()
+    assert len(many.inputFiles()) == 20 < len(few.inputFiles())
+
+
 def test_clean_job_with_strict_rules(spark, raw_file, tmp_path):
     paths = jobs.clean_job(spark, raw_file, str(tmp_path / "clean"), Rules(require_timestamp=True))
     assert spark.read.parquet(paths["clean"]).count() == 2
